@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.time import MICROS_PER_DAY, day_number, days_between, epoch_micros, moment
 from tidemark.functions.time import trailing
-from tidemark.plans.snapshots import each_snapshot
+from tidemark.functions.snapshots import each_snapshot
 from tidemark.sources.adapters import Commerce
 
 VIEW = "user_purchase_stats"
