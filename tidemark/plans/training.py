@@ -14,6 +14,7 @@ from tidemark.operators.labels import bought_within, require_final
 from tidemark.plans.compute import view_frame
 from tidemark.plans.historical import historical_features
 from tidemark.plans.store import FeatureStore
+from tidemark.session import cut
 from tidemark.sources.adapters import Commerce
 
 
@@ -57,6 +58,6 @@ def build_training_set(
     An entity has at most one request per snapshot and a few values per day, so there are no hot
     entities to look for.
     """
-    labels = label.rows(store.raw.read(), snapshots)
+    labels = cut(label.rows(store.raw.read(), snapshots))
     training = historical_features(store, labels, feature_names, hot_rows=None)
     return training.select("entity_id", "event_timestamp", *feature_names, "label")
