@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.snapshots import daily_snapshots, monthly_snapshots
-from tidemark.functions.time import midnight
 from tidemark.operators.reshape import to_long
 from tidemark.plans.purchase_stats import FEATURES, purchase_stats_at
 from tidemark.session import shared_folder
-from tidemark.sources.adapters import Commerce, from_events, from_trade, load
+from tidemark.sources.adapters import Commerce, load
 from tidemark.sources.schemas import zoneless
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,10 +138,3 @@ long AS (SELECT entity_id, event_timestamp, t.feature_name, t.value FROM f,
 
 EVENT_DAYS = f"WITH {EVENTS_SQL}, {DAYS_SQL}, {STATS_SQL}"
 TRADE_MONTHS = f"WITH {TRADE_SQL}, {MONTHS_SQL}, {STATS_SQL}"
-
-__all__ = [
-    "AS_OF", "DAYS", "MONTHS", "query", "work_folder", "daily_values", "observations",
-    "event_requests", "from_events", "from_trade", "midnight", "EVENTS_SQL", "TRADE_SQL",
-    "MOMENT_SQL", "DAYS_SQL", "MONTHS_SQL", "STATS_SQL", "FEATURES_SQL", "LONG_SQL",
-    "EVENT_DAYS", "TRADE_MONTHS",
-]

@@ -7,9 +7,22 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import (
-    AS_OF, DAYS, EVENT_DAYS, EVENTS_SQL, FEATURES_SQL, LONG_SQL, MOMENT_SQL, MONTHS, MONTHS_SQL,
-    STATS_SQL, TRADE_MONTHS, TRADE_SQL, from_events, from_trade, midnight, query,
-)
+    AS_OF,
+    DAYS,
+    EVENT_DAYS,
+    EVENTS_SQL,
+    FEATURES_SQL,
+    LONG_SQL,
+    MOMENT_SQL,
+    MONTHS,
+    MONTHS_SQL,
+    STATS_SQL,
+    TRADE_MONTHS,
+    TRADE_SQL,
+    query,
+)
+from tidemark.functions.time import midnight
+from tidemark.sources.adapters import from_events, from_trade
 from tidemark.operators.integrity import commerce_checks
 from tidemark.operators.labels import bought_within, buyers
 from tidemark.operators.reshape import to_long, to_wide

@@ -7,9 +7,17 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import (
-    AS_OF, EVENT_DAYS, FEATURES_SQL, LONG_SQL, MONTHS, TRADE_MONTHS, daily_values, event_requests,
-    from_events, from_trade, midnight, observations, query,
-)
+    AS_OF,
+    EVENT_DAYS,
+    LONG_SQL,
+    MONTHS,
+    TRADE_MONTHS,
+    daily_values,
+    event_requests,
+    observations,
+    query,
+)
+from tidemark.functions.time import midnight
 from tidemark.operators.asof import asof_join
 from tidemark.operators.explore import (
     describe, label_rate_by_snapshot, means_by_label, missing_share,
@@ -20,7 +28,7 @@ from tidemark.plans.historical import features_at
 from tidemark.plans.publish import stale_entities
 from tidemark.plans.purchase_stats import FEATURES
 from tidemark.session import cut
-from tidemark.sources.adapters import load
+from tidemark.sources.adapters import from_events, from_trade, load
 from tidemark.sources.online import read_entities, read_features
 
 STORED = ["purchase", "view", "click"]
@@ -323,5 +331,3 @@ def online_enrich_features(spark, folder):
     published = cut(_published(spark, folder))
     return read_features(requests, published, ["click", "purchase"], hot_rows=60)
 
-
-__all__ = ["FEATURES_SQL", "TRAINING_SQL", "training_frame"]

@@ -6,14 +6,16 @@ from datetime import UTC, datetime
 
 from pyspark.sql import functions as F
 
-from tidemark.catalog.base import query
+from tidemark.catalog.base import query, work_folder
 from tidemark.catalog.joins import TRAINING_SQL, training_frame
 from tidemark.operators.metrics import (
     classification_metrics, precision_at_recall, roc_auc, score_counts,
 )
 from tidemark.plans.modeling import (
-    baselines, fit_boosting, fit_logistic, overfit_report, score, temporal_split, weights,
+    MODEL_NAME, baselines, fit_boosting, fit_logistic, overfit_report, score, temporal_split,
+    train_and_register, weights,
 )
+from tidemark.plans.store import FeatureStore
 from tidemark.session import cut
 
 TEST_FROM = datetime(2000, 1, 1, tzinfo=UTC)
@@ -117,3 +119,17 @@ def model_weights(spark, folder):
     rows = [(f"weight {name}", weight) for name, weight in weights(model)]
     rows += [(f"roc_auc {side}", auc) for side, auc in overfit_report(model, train, test).items()]
     return spark.createDataFrame(rows, "name string, value double")
+
+
+@query()
+def train_and_promote(spark, folder):
+    """Train, train again later if that is better, and list both versions with their metrics."""
+    store = FeatureStore(spark, work_folder(spark))
+    frame = cut(training_frame(spark, folder))
+    earlier = frame.where(F.col("event_timestamp") < F.lit(datetime(2000, 7, 1, tzinfo=UTC)))
+    train_and_register(store, earlier, TEST_FROM)
+    later = datetime(2001, 1, 1, tzinfo=UTC)
+    train_and_register(store, frame, later, promote_if_better=True)
+    return store.models.versions(MODEL_NAME).select(
+        "version", "promoted", F.explode("metrics").alias("metric", "value")
+    )

@@ -9,9 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import (
-    AS_OF, DAYS, EVENT_DAYS, LONG_SQL, MONTHS, TRADE_MONTHS, daily_values, from_events, from_trade,
-    midnight, observations, query,
-)
+    AS_OF,
+    EVENT_DAYS,
+    LONG_SQL,
+    MONTHS,
+    TRADE_MONTHS,
+    daily_values,
+    observations,
+    query,
+)
+from tidemark.functions.time import midnight
+from tidemark.sources.adapters import from_events, from_trade
 from tidemark.operators.drift import (
     drift_checks, reference_distribution, stability_index, value_counts,
 )
@@ -256,5 +264,3 @@ def status_per_name(spark, folder):
 def status_overall(spark, folder):
     return overall_status(cut(status_by_name(_outcomes(spark, folder))))
 
-
-__all__ = ["DAYS"]

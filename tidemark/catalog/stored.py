@@ -9,15 +9,20 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import (
-    AS_OF, EVENT_DAYS, FEATURES_SQL, LONG_SQL, from_events, query, work_folder,
-)
+    AS_OF,
+    EVENT_DAYS,
+    LONG_SQL,
+    query,
+    work_folder,
+)
+from tidemark.sources.adapters import from_events
 from tidemark.plans.compute import backfill, compute_features
 from tidemark.plans.historical import historical_features
 from tidemark.plans.jobs import apply_definitions
 from tidemark.plans.modeling import MODEL_FEATURES, MODEL_NAME, MODEL_VIEW, train_and_register
 from tidemark.plans.monitoring import monitor_features, monitor_status
 from tidemark.plans.publish import materialize, parity_differences, published_wide
-from tidemark.plans.retraining import performance_check, retrain, retrain_reasons
+from tidemark.plans.retraining import performance_check, retrain_reasons
 from tidemark.plans.store import FeatureStore
 from tidemark.plans.training import Label, build_training_set
 from tidemark.streaming.scoring import score_and_log, score_stream
@@ -158,16 +163,6 @@ def online_offline_parity(spark, folder):
     )
 
 
-@query()
-def train_and_promote(spark, folder):
-    """Train, promote if better, and list all versions with their metrics."""
-    store = trained_store(spark, folder)
-    retrain(store, _day(23), FIRST.replace(month=1, day=1), NEXT_3_DAYS)
-    return store.models.versions(MODEL_NAME).select(
-        "version", "promoted", F.explode("metrics").alias("metric", "value")
-    )
-
-
 @query()
 def retrain_reasons_found(spark, folder):
     reasons = retrain_reasons(trained_store(spark, folder), _day(25), NEXT_3_DAYS)
@@ -222,5 +217,3 @@ def score_as_stream(spark, folder):
         "job", "batch", "features", "predicted_at"
     )
 
-
-__all__ = ["FEATURES_SQL"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources import schemas
-from tidemark.sources.tables import CommitLog, nullable
+from tidemark.sources.tables import CommitLog, exists, nullable
 
 _VERSIONS = T.StructType(
     [
@@ -54,28 +54,36 @@ class ModelStore:
     def _path(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v={version}"
 
+    def save(
+        self, name: str, pipeline: PipelineModel, reference: DataFrame | None = None
+    ) -> tuple[int, PipelineModel]:
+        """Write a model and its drift reference; returns its number and the model read back.
+
+        The version does not exist for readers before it is registered.
+        """
+        version = self._log(name).next_version()
+        path = self._path(name, version)
+        pipeline.write().overwrite().save(f"{path}/pipeline")
+        if reference is not None:
+            reference.select(*schemas.DRIFT_REFERENCE.names).coalesce(1).write.mode(
+                "overwrite"
+            ).parquet(f"{path}/drift_reference")
+        return version, PipelineModel.load(f"{path}/pipeline")
+
     def register(
         self,
         name: str,
-        pipeline: PipelineModel,
+        version: int,
         metrics: dict[str, float],
         params: dict[str, str],
         promoted: bool,
-        reference: DataFrame | None = None,
     ) -> str:
-        """Store a new version with its drift reference; returns its number as text."""
-        log = self._log(name)
-        version = log.next_version()
-        path = self._path(name, version)
-        pipeline.write().overwrite().save(f"{path}/pipeline")
-        if reference is not None:
-            reference.select(*schemas.DRIFT_REFERENCE.names).coalesce(1).write.mode(
-                "overwrite"
-            ).parquet(f"{path}/drift_reference")
-        log.commit(
+        """Record a saved version and whether it becomes the champion."""
+        has_reference = exists(self.spark, f"{self._path(name, version)}/drift_reference")
+        self._log(name).commit(
             version,
             promoted=promoted,
-            has_reference=reference is not None,
+            has_reference=has_reference,
             metrics=metrics,
             params=params,
         )
