@@ -25,14 +25,14 @@ DAYS = daily_snapshots(date(2024, 1, 2), date(2024, 1, 30))
 MONTHS = monthly_snapshots(date(1995, 2, 1), date(2001, 7, 1))
 
 
-def query(sql: str | None = None):
-    """Register a function under its name; `sql` gives the same result in DuckDB."""
+def query(sql: str | None = None, name: str | None = None):
+    """Register a function by name (its own by default); `sql` gives the same result in DuckDB."""
 
     def register(function):
-        name = function.__name__
-        QUERIES[name] = lambda spark, folder: comparable(function(spark, folder))
+        key = name or function.__name__
+        QUERIES[key] = lambda spark, folder: comparable(function(spark, folder))
         if sql is not None:
-            SQL[name] = sql
+            SQL[key] = sql
         return function
 
     return register

@@ -111,13 +111,13 @@ def pit_join_null_wins(spark, folder):
 
 @query(_pit_sql({"purchase": "2 DAY", "view": None, "click": "1 HOUR"}))
 def pit_join_split_entities(spark, folder):
-    """The same join, every entity with more than 60 rows cut into slices of its timeline."""
+    """The same join, entities with more than 1/150 of all rows cut into slices of their time."""
     ttls = {"purchase": TWO_DAYS, "view": None, "click": timedelta(hours=1)}
     return asof_join(
         event_requests(spark, folder, ASKED),
         observations(spark, folder, STORED),
         ttls,
-        hot_rows=60,
+        hot_rows=load(spark, folder, "events").count() // 150,
     )
 
 
@@ -160,7 +160,7 @@ FROM req LEFT JOIN f ON f.entity_id = req.entity_id
 def pit_join_daily_values(spark, folder):
     """Daily stored values, pruned to the days and entities of the requests before the join."""
     requests = event_requests(spark, folder, ASKED)
-    values = daily_values(from_events(spark, folder))
+    values = cut(daily_values(from_events(spark, folder)))
     return features_at(requests, values, dict.fromkeys(FEATURES, TWO_DAYS))
 
 
@@ -197,7 +197,8 @@ def training_set(spark, folder):
 
 @query(
     f"""{TRAINING_SQL} SELECT event_timestamp, round(avg(label), 6) AS label_rate
-FROM t GROUP BY ROLLUP (event_timestamp)"""
+FROM t GROUP BY ROLLUP (event_timestamp)""",
+    name="label_rate_by_snapshot",
 )
 def label_rates(spark, folder):
     return label_rate_by_snapshot(training_frame(spark, folder))
@@ -210,7 +211,8 @@ def label_rates(spark, folder):
        avg(CAST(view_count_7d IS NULL AS INT)) AS d FROM t)
 SELECT x.column_name, round(x.missing_share, 6) AS missing_share FROM m, LATERAL (VALUES
        ('order_count_30d', a), ('avg_order_value_30d', b), ('days_since_last_order', c),
-       ('view_count_7d', d)) x(column_name, missing_share)"""
+       ('view_count_7d', d)) x(column_name, missing_share)""",
+    name="missing_share",
 )
 def missing_shares(spark, folder):
     return missing_share(training_frame(spark, folder), FEATURES)
@@ -220,7 +222,8 @@ def missing_shares(spark, folder):
     f"""{TRAINING_SQL} SELECT label, round(avg(order_count_30d), 6) AS order_count_30d,
        round(avg(avg_order_value_30d), 6) AS avg_order_value_30d,
        round(avg(days_since_last_order), 6) AS days_since_last_order,
-       round(avg(view_count_7d), 6) AS view_count_7d FROM t GROUP BY label"""
+       round(avg(view_count_7d), 6) AS view_count_7d FROM t GROUP BY label""",
+    name="means_by_label",
 )
 def means_per_label(spark, folder):
     return means_by_label(training_frame(spark, folder), FEATURES)
@@ -232,7 +235,8 @@ SELECT feature_name AS column_name, count(value) AS count, round(avg(value), 6)
        round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min,
        round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50,
        round(quantile_cont(value, 0.75), 6) AS q75, round(max(value), 6) AS max
-FROM long GROUP BY feature_name"""
+FROM long GROUP BY feature_name""",
+    name="describe",
 )
 def describe_features(spark, folder):
     return describe(training_frame(spark, folder), FEATURES)
@@ -242,7 +246,8 @@ def describe_features(spark, folder):
     """SELECT user_id AS entity_id, event_type AS feature_name, max(ts) AS event_timestamp,
        round(arg_max_null(CASE WHEN value <= 100 THEN value END, ts), 6) AS value FROM events
 WHERE event_type IN ('purchase', 'view', 'click') AND ts <= TIMESTAMP '2024-01-20'
-      AND ts >= TIMESTAMP '2024-01-18' GROUP BY ALL"""
+      AND ts >= TIMESTAMP '2024-01-18' GROUP BY ALL""",
+    name="latest_values",
 )
 def latest_per_feature(spark, folder):
     return latest_values(observations(spark, folder, STORED), AS_OF, TWO_DAYS)
@@ -267,7 +272,8 @@ def _published(spark, folder, as_of=AS_OF, ttl=TWO_DAYS):
 
 @query(
     f"""WITH {_LATEST_SQL} SELECT entity_id, event_timestamp, n_values,
-       round(purchase, 6) AS purchase, round(view, 6) AS view, round(click, 6) AS click FROM w"""
+       round(purchase, 6) AS purchase, round(view, 6) AS view, round(click, 6) AS click FROM w""",
+    name="latest_values_map",
 )
 def latest_per_entity(spark, folder):
     """The published row of each entity: a map without the null features."""
@@ -323,11 +329,11 @@ def online_enrich(spark, folder):
 FROM events e LEFT JOIN w ON w.entity_id = e.user_id"""
 )
 def online_enrich_features(spark, folder):
-    """Every event with two requested features, users with more than 60 events joined apart."""
+    """Every event with two requested features, users with 1/150 of all events joined apart."""
     events = load(spark, folder, "events")
     requests = events.select(
         F.col("event_id").alias("row_id"), F.col("user_id").alias("entity_id")
     )
     published = cut(_published(spark, folder))
-    return read_features(requests, published, ["click", "purchase"], hot_rows=60)
+    return read_features(requests, published, ["click", "purchase"], events.count() // 150)
 

@@ -29,7 +29,8 @@ b AS (SELECT 'always_no' AS model, label, 0.0 AS score, 0 AS prediction FROM t
 
 @query(
     f"""{TRAINING_SQL} SELECT event_timestamp >= TIMESTAMP '2000-01-01' AS is_test,
-       count(*) AS n, round(avg(label), 6) AS label_rate FROM t GROUP BY ALL"""
+       count(*) AS n, round(avg(label), 6) AS label_rate FROM t GROUP BY ALL""",
+    name="temporal_split",
 )
 def training_split(spark, folder):
     train, test = temporal_split(training_frame(spark, folder), TEST_FROM)
@@ -73,15 +74,16 @@ def _recency_counts(spark, folder):
     return score_counts(frame.select("label", recency.alias("score")))
 
 
-@query(_AUC_SQL)
+@query(_AUC_SQL, name="roc_auc_rank")
 def roc_auc_of_recency(spark, folder):
     return roc_auc(_recency_counts(spark, folder))
 
 
 @query(_AUC_SQL)
 def roc_auc_sliced(spark, folder):
-    """The same with ranks added up over slices of 100 distinct scores."""
-    return roc_auc(_recency_counts(spark, folder), slice_rows=100)
+    """The same with ranks added up over twenty slices of the distinct scores."""
+    counts = _recency_counts(spark, folder)
+    return roc_auc(counts, slice_rows=max(1, counts.count() // 20))
 
 
 @query(
@@ -90,7 +92,8 @@ x AS (SELECT CAST(order_count_30d AS DOUBLE) AS score, count(*) FILTER (WHERE la
              count(*) AS n FROM t GROUP BY score),
 c AS (SELECT sum(pos) OVER w AS hits, sum(n) OVER w AS yes, sum(pos) OVER () AS all_pos FROM x
       WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING))
-SELECT round(max(hits / yes), 6) AS precision FROM c WHERE hits / all_pos >= 0.25"""
+SELECT round(max(hits / yes), 6) AS precision FROM c WHERE hits / all_pos >= 0.25""",
+    name="precision_at_recall",
 )
 def best_precision_at_recall(spark, folder):
     frame = training_frame(spark, folder)
@@ -98,14 +101,14 @@ def best_precision_at_recall(spark, folder):
     return precision_at_recall(counts, 0.25)
 
 
-@query()
+@query(name="lr_scores")
 def logistic_scores(spark, folder):
     """Test rows with the probability a logistic regression gives them."""
     train, test = temporal_split(cut(training_frame(spark, folder)), TEST_FROM)
     return score(fit_logistic(train), test)
 
 
-@query()
+@query(name="gbt_scores")
 def boosting_scores(spark, folder):
     train, test = temporal_split(cut(training_frame(spark, folder)), TEST_FROM)
     return score(fit_boosting(train, trees=20), test)

@@ -83,7 +83,8 @@ def _snapshot_checks(spark, folder, as_of=AS_OF):
 
 @query(
     f"""{_quality_sql("TIMESTAMP '2024-01-20'")}
-SELECT name, metric, round(value, 6) AS value, status, message FROM checks"""
+SELECT name, metric, round(value, 6) AS value, status, message FROM checks""",
+    name="quality_checks",
 )
 def snapshot_quality_checks(spark, folder):
     return _snapshot_checks(spark, folder)
@@ -91,7 +92,8 @@ def snapshot_quality_checks(spark, folder):
 
 @query(
     f"""{_quality_sql("TIMESTAMP '2024-01-20'")}
-SELECT name || ': ' || message AS problem FROM checks WHERE status = 'alert'"""
+SELECT name || ': ' || message AS problem FROM checks WHERE status = 'alert'""",
+    name="quality_problems",
 )
 def snapshot_problems(spark, folder):
     return problems(_snapshot_checks(spark, folder))
@@ -116,7 +118,8 @@ SELECT name, 'freshness_hours' AS metric, round(age, 6) AS value,
        CASE WHEN age IS NULL THEN 'no values at all'
             ELSE format('newest values are {:.1f} hours old, allowed {}', age, allowed) END
            AS message
-FROM a"""
+FROM a""",
+    name="freshness",
 )
 def feature_freshness(spark, folder):
     values = observations(spark, folder, ["purchase", "view", "click"])
@@ -175,9 +178,9 @@ SELECT shares.feature_name, bin, round(e.edges[bin + 1], 6) AS upper_edge, round
 FROM shares JOIN e USING (feature_name)"""
 )
 def drift_reference_sliced(spark, folder):
-    """The same distribution with ranks added up over slices of 2,000 distinct values."""
-    values = daily_values(from_events(spark, folder))
-    return _exploded(reference_distribution(values, slice_rows=2000))
+    """The same kind of distribution with ranks added up over about ten slices of the values."""
+    values = cut(daily_values(from_events(spark, folder)))
+    return _exploded(reference_distribution(values, slice_rows=max(1, values.count() // 10)))
 
 
 _PSI_SQL = f"""{EVENT_DAYS}, {LONG_SQL},
@@ -208,7 +211,8 @@ def drift_psi(spark, folder):
        CASE WHEN psi >= 0.25 THEN 'alert' WHEN psi >= 0.1 THEN 'warning' ELSE 'ok' END AS status,
        format('PSI {{:.3f}} against the model''s training data '
               '(warning from 0.1, alert from 0.25)', psi) AS message
-FROM psi"""
+FROM psi""",
+    name="drift_checks",
 )
 def snapshot_drift_checks(spark, folder):
     reference, today = _reference_and_today(spark, folder)
@@ -249,7 +253,8 @@ def latest_check_outcomes(spark, folder):
 
 @query(
     f"""{_LOG_SQL} SELECT 'feature' AS kind, name, n_checks,
-       CASE code WHEN 2 THEN 'alert' WHEN 1 THEN 'warning' ELSE 'ok' END AS status FROM by_name"""
+       CASE code WHEN 2 THEN 'alert' WHEN 1 THEN 'warning' ELSE 'ok' END AS status FROM by_name""",
+    name="status_by_name",
 )
 def status_per_name(spark, folder):
     return status_by_name(_outcomes(spark, folder)).select(

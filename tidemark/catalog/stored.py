@@ -163,13 +163,13 @@ def online_offline_parity(spark, folder):
     )
 
 
-@query()
+@query(name="retrain_reasons")
 def retrain_reasons_found(spark, folder):
     reasons = retrain_reasons(trained_store(spark, folder), _day(25), NEXT_3_DAYS)
     return spark.createDataFrame([(reason,) for reason in reasons], "reason string")
 
 
-@query()
+@query(name="performance_check")
 def champion_performance(spark, folder):
     store = trained_store(spark, folder)
     return performance_check(store, store.models.champion(MODEL_NAME), _day(25), NEXT_3_DAYS)
@@ -204,7 +204,7 @@ def score_batch(spark, folder):
     return store.predictions.read().where("job = 'batch'").drop("job", "batch", "features")
 
 
-@query()
+@query(name="score_stream")
 def score_as_stream(spark, folder):
     """The same requests read as a stream and logged batch by batch."""
     store = trained_store(spark, folder)

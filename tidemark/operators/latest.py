@@ -19,15 +19,17 @@ def _valid(values: DataFrame, as_of: datetime, ttl: timedelta | None) -> DataFra
 def latest_values(values: DataFrame, as_of: datetime, ttl: timedelta | None) -> DataFrame:
     """One row per entity and feature: the newest value, a stored null included.
 
-    Values after `as_of` or older than the ttl do not count. The maximum of (moment, value) pairs
-    combines on the map side, so long histories shrink before they are shuffled.
+    Values after `as_of` or older than the ttl do not count. Both aggregates keep plain numbers, so
+    they run as hash aggregation and long histories shrink before they are shuffled.
     """
-    newest = F.max(F.struct("event_timestamp", "value"))
     return (
         _valid(values, as_of, ttl)
         .groupBy("entity_id", "feature_name")
-        .agg(newest.alias("newest"))
-        .select("entity_id", "feature_name", "newest.*")
+        .agg(
+            F.max_by("value", "event_timestamp").alias("value"),
+            F.max("event_timestamp").alias("event_timestamp"),
+        )
+        .select("entity_id", "feature_name", "event_timestamp", "value")
     )
 
 
@@ -39,23 +41,23 @@ def latest_rows(
     `values` maps the features that have a valid value to it (null if null was stored);
     `event_timestamp` is the newest moment among them. One grouping by entity does it all.
     """
-    observed = F.struct("event_timestamp", "value")
+    newest = []
+    for number, name in enumerate(features):
+        own = F.when(F.col("feature_name") == name, F.col("event_timestamp"))
+        newest += [
+            F.max(own).alias(f"_at_{number}"),
+            F.max_by("value", own).alias(f"_value_{number}"),
+        ]
     wide = (
         _valid(values, as_of, ttl)
         .where(F.col("feature_name").isin(list(features)))
         .groupBy("entity_id")
-        .agg(
-            F.max("event_timestamp").alias("event_timestamp"),
-            *[
-                F.max(F.when(F.col("feature_name") == name, observed)).alias(f"_newest_{number}")
-                for number, name in enumerate(features)
-            ],
-        )
+        .agg(F.max("event_timestamp").alias("event_timestamp"), *newest)
     )
     entries = [
         F.when(
-            F.col(f"_newest_{number}").isNotNull(),
-            F.struct(F.lit(name).alias("key"), F.col(f"_newest_{number}.value").alias("value")),
+            F.col(f"_at_{number}").isNotNull(),
+            F.struct(F.lit(name).alias("key"), F.col(f"_value_{number}").alias("value")),
         )
         for number, name in enumerate(features)
     ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Iterable, Mapping
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
@@ -18,13 +18,18 @@ def _days_back(ttl: timedelta) -> int:
     return -(-ttl // DAY)
 
 
-def request_days(requests: DataFrame) -> list[date]:
-    """The distinct days of the requests; at most one row per calendar day."""
-    days = requests.select(F.to_date("event_timestamp").alias("day")).distinct()
-    return sorted(row["day"] for row in days.dropna().collect())
+def request_days(requests: DataFrame) -> dict[date, int]:
+    """The days of the requests in order, each with about how many entities ask on it.
+
+    One small aggregation; at most one row per calendar day comes back.
+    """
+    day = F.to_date("event_timestamp").alias("day")
+    per_day = requests.groupBy(day).agg(F.approx_count_distinct("entity_id").alias("entities"))
+    found = per_day.where(F.col("day").isNotNull()).collect()
+    return {row["day"]: row["entities"] for row in sorted(found)}
 
 
-def visible_days(days: list[date], ttl: timedelta | None) -> list[date] | None:
+def visible_days(days: Iterable[date], ttl: timedelta | None) -> list[date] | None:
     """The days whose values can be valid on the given days; None stands for every earlier day."""
     if ttl is None:
         return None
@@ -32,7 +37,7 @@ def visible_days(days: list[date], ttl: timedelta | None) -> list[date] | None:
 
 
 def on_visible_days(
-    values: DataFrame, days: list[date], ttls: Mapping[str, timedelta | None], group: str
+    values: DataFrame, days: Collection[date], ttls: Mapping[str, timedelta | None], group: str
 ) -> DataFrame:
     """Bound the `snapshot_date` partitions: `ttls` gives the ttl for each value of `group`."""
     if not days:
@@ -41,7 +46,7 @@ def on_visible_days(
     for name, ttl in ttls.items():
         visible = visible_days(days, ttl)
         in_time = (
-            F.col("snapshot_date") <= F.lit(days[-1])
+            F.col("snapshot_date") <= F.lit(max(days))
             if visible is None
             else F.col("snapshot_date").isin(visible)
         )
@@ -52,24 +57,26 @@ def on_visible_days(
 def near_requests(
     values: DataFrame,
     requests: DataFrame,
+    days: Mapping[date, int],
     ttl: timedelta | None,
     limit: int = BROADCAST_PAIRS,
 ) -> DataFrame:
     """Keep the values of requested entities (within reach of a requested day, with a ttl).
 
-    The requested (entity, day) pairs are counted first and only broadcast up to `limit`; with
-    more of them the values pass unfiltered, which changes the work but not the result. It is a
-    semi join: a value is kept once, however many requests could see it.
+    `days` is the result of `request_days`. The requested (entity, day) pairs are only broadcast
+    up to about `limit` of them; with more the values pass unfiltered, which changes the work but
+    not the result. It is a semi join: a value is kept once, however many requests could see it.
     """
+    reach = 1 if ttl is None else _days_back(ttl) + 1
+    if sum(days.values()) * reach > limit:
+        return values
     day = F.to_date("event_timestamp")
     if ttl is None:
         wanted = requests.select("entity_id").distinct()
-        keys = ["entity_id"]
-    else:
-        days = F.sequence(F.date_sub(day, _days_back(ttl)), day)
-        wanted = requests.select("entity_id", F.explode(days).alias("_day")).distinct()
-        keys = ["entity_id", "_day"]
-    if wanted.count() > limit:
-        return values
-    kept = values.withColumn("_day", day).join(F.broadcast(wanted), keys, "left_semi")
-    return kept.select(*values.columns)
+        return values.join(F.broadcast(wanted), "entity_id", "left_semi").select(*values.columns)
+    asked = F.sequence(F.date_sub(day, reach - 1), day)
+    wanted = requests.select("entity_id", F.explode(asked).alias("_day")).distinct()
+    near = values.withColumn("_day", day).join(
+        F.broadcast(wanted), ["entity_id", "_day"], "left_semi"
+    )
+    return near.select(*values.columns)

@@ -47,7 +47,7 @@ def features_at(
     for name, ttl in ttls.items():
         by_ttl.setdefault(ttl, []).append(name)
     near = [
-        near_requests(visible.where(F.col("feature_name").isin(names)), requests, ttl)
+        near_requests(visible.where(F.col("feature_name").isin(names)), requests, days, ttl)
         for ttl, names in by_ttl.items()
     ]
     return asof_join(requests, reduce(DataFrame.unionByName, near), ttls, hot_rows)

@@ -159,18 +159,22 @@ def purchase_stats_at(
         .unionByName(daily_views, allowMissingColumns=True)
     )
     by_day = Window.partitionBy("user_id").orderBy("day")
-    order_window = by_day.rangeBetween(-order_days, -1)
+
+    def before(window_days: int) -> Window:
+        return by_day.rangeBetween(Window.unboundedPreceding, -1 - window_days)
+
+    def within(column: str, window_days: int) -> Column:
+        """A total over a trailing window, as the difference of two running totals."""
+        total = F.coalesce(F.sum(column).over(before(0)), F.lit(0))
+        return total - F.coalesce(F.sum(column).over(before(window_days)), F.lit(0))
+
     stats = days.select(
         "user_id",
         "event_timestamp",
-        F.coalesce(F.sum("day_orders").over(order_window), F.lit(0)).alias("orders"),
-        F.sum("day_amount").over(order_window).alias("amount"),
-        F.max("day_last")
-        .over(by_day.rangeBetween(Window.unboundedPreceding, -1))
-        .alias("last_order"),
-        F.coalesce(
-            F.sum("day_views").over(by_day.rangeBetween(-view_days, -1)), F.lit(0)
-        ).alias("views"),
+        within("day_orders", order_days).alias("orders"),
+        within("day_amount", order_days).alias("amount"),
+        F.max("day_last").over(before(0)).alias("last_order"),
+        within("day_views", view_days).alias("views"),
     )
     return stats.where(F.col("event_timestamp").isNotNull()).select(
         F.col("user_id").alias("entity_id"),
