@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import UTC, date, datetime, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MICROS_PER_DAY = 86_400_000_000
@@ -74,3 +74,19 @@ def day_number(ts: Column) -> Column:
 
 def iso_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssxxx")
+
+
+def within_days(
+    frame: DataFrame, column: str, since: datetime | None = None, until: datetime | None = None
+) -> DataFrame:
+    """Bound the day column of a table partitioned by day, so that only those days are read.
+
+    Frames without that column pass as they are; the exact bounds are up to the caller.
+    """
+    if column not in frame.columns:
+        return frame
+    if since is not None:
+        frame = frame.where(F.col(column) >= F.lit(since.astimezone(UTC).date()))
+    if until is not None:
+        frame = frame.where(F.col(column) <= F.lit(until.astimezone(UTC).date()))
+    return frame

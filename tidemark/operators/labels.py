@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import MICROSECOND, epoch_micros, forward, from_epoch_micros, moment
+from tidemark.functions.time import MICROSECOND, forward, from_epoch_micros, moment, within_days
 from tidemark.functions.snapshots import each_snapshot
 
 def bought_within(
@@ -33,7 +33,7 @@ def bought_within(
         F.lit(0).alias("label"),
     )
     ordered = F.unix_micros(F.col("order_ts"))
-    within = orders.where(
+    within = within_days(orders, "order_date", first, last + horizon).where(
         (F.col("order_ts") >= F.lit(moment(first))) & (F.col("order_ts") < F.lit(last + horizon))
     )
     bought = within.select(
@@ -55,18 +55,25 @@ def bought_within(
 
 def buyers(orders: DataFrame, as_of: datetime, horizon: timedelta) -> DataFrame:
     """The entities with label 1 at one moment."""
-    within = orders.where(forward(F.col("order_ts"), moment(as_of), horizon))
+    orders = within_days(orders, "order_date", moment(as_of), as_of + horizon)
+    within = orders.where(forward(F.col("order_ts"), as_of, horizon))
     return within.select(F.col("user_id").alias("entity_id")).distinct()
 
 
 def require_final(orders: DataFrame, snapshots: Sequence[datetime], horizon: timedelta) -> None:
-    """Raise unless the data covers the label window of every snapshot."""
+    """Raise unless the data covers the label window of every snapshot.
+
+    One order at or after the end of the last window is proof enough and stops the look; the end
+    of the data is only searched for the message.
+    """
+    needed = max(moment(snapshot) for snapshot in snapshots) + horizon
+    later = within_days(orders, "order_date", needed).where(F.col("order_ts") >= F.lit(needed))
+    if not later.isEmpty():
+        return
     data_end = orders.agg(F.max(F.unix_micros("order_ts")).alias("end")).first()["end"]
-    for as_of in sorted(snapshots):
-        needed = moment(as_of) + horizon
-        if data_end is None or epoch_micros(needed) > data_end:
-            end = "nothing" if data_end is None else from_epoch_micros(data_end)
-            raise ValueError(
-                f"Labels for {as_of.date()} are not final: they need data up to "
-                f"{needed.date()}, but the raw data ends at {end}"
-            )
+    end = None if data_end is None else from_epoch_micros(data_end)
+    open_at = min(at for at in snapshots if end is None or at + horizon > end)
+    raise ValueError(
+        f"Labels for {open_at.date()} are not final: they need data up to "
+        f"{(open_at + horizon).date()}, but the raw data ends at {end or 'nothing'}"
+    )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame
@@ -15,8 +16,30 @@ from tidemark.plans import purchase_stats
 from tidemark.plans.store import FeatureStore
 from tidemark.sources.adapters import Commerce
 
-# Views that can be computed at many midnights in one pass: fn(raw tables, snapshots).
-MANY_SNAPSHOTS = {purchase_stats.VIEW: purchase_stats.purchase_stats_at}
+
+@dataclass(frozen=True)
+class FrameView:
+    """A view as DataFrame functions, used in place of its SQL while the registry has that SQL.
+
+    `at_once` computes many midnights in one pass; both read only the days they need.
+    """
+
+    sql: str
+    at: Callable[[Commerce, datetime], DataFrame]
+    at_once: Callable[[Commerce, Sequence[datetime]], DataFrame]
+
+
+FRAME_VIEWS = {
+    purchase_stats.VIEW: FrameView(
+        purchase_stats.SQL, purchase_stats.purchase_stats, purchase_stats.purchase_stats_at
+    )
+}
+
+
+def frame_view(view_name: str, sql: str) -> FrameView | None:
+    found = FRAME_VIEWS.get(view_name)
+    return found if found is not None and found.sql == sql else None
+
 
 
 def view_frame(commerce: Commerce, sql: str, as_of: datetime) -> DataFrame:
@@ -55,7 +78,8 @@ def compute_features(
     """
     moment(as_of)
     sql, features = _source(store, view_name)
-    wide = view_frame(store.raw.read(), sql, as_of)
+    built, raw = frame_view(view_name, sql), store.raw.read()
+    wide = view_frame(raw, sql, as_of) if built is None else built.at(raw, as_of)
     values = view_values(wide, view_name, features, as_of)
     return store.values.upsert(values, [as_of.astimezone(UTC).date()], now)
 
@@ -65,15 +89,15 @@ def backfill(
 ) -> int:
     """Compute a view at midnight UTC of every day from start to end, inclusive.
 
-    Views with a many-snapshot form take one pass over the events; others run day by day.
+    Views with a DataFrame form take one pass over the events; SQL runs day by day.
     """
     sql, features = _source(store, view_name)
     days = [day.date() for day in daily_snapshots(start, end)]
     if not days:
         return 0
-    many = MANY_SNAPSHOTS.get(view_name)
-    if many is None or sql != purchase_stats.SQL:
+    built = frame_view(view_name, sql)
+    if built is None:
         return sum(compute_features(store, view_name, midnight(day), now) for day in days)
-    wide = many(store.raw.read(), [midnight(day) for day in days])
+    wide = built.at_once(store.raw.read(), [midnight(day) for day in days])
     values = view_values(wide, view_name, features, F.col("event_timestamp"))
     return store.values.upsert(values, days, now)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.functions.values import ALERT
 from tidemark.operators.drift import drift_checks
@@ -15,7 +16,7 @@ from tidemark.plans.modeling import MODEL_NAME
 from tidemark.plans.store import FeatureStore
 from tidemark.session import cut
 from tidemark.sources import schemas
-from tidemark.sources.registry import definitions_frame, list_definitions
+from tidemark.sources.registry import definitions_frame
 
 
 def snapshot_quality(store: FeatureStore, view_name: str, as_of: datetime) -> DataFrame:
@@ -42,9 +43,19 @@ def snapshot_drift(store: FeatureStore, reference: DataFrame, as_of: datetime) -
 
 
 def freshness(store: FeatureStore, as_of: datetime) -> DataFrame:
-    """The freshness checks of every active feature."""
-    active = list_definitions(store.registry.definitions())
-    return freshness_checks(active, store.values.until(as_of), as_of)
+    """The freshness checks of every active feature.
+
+    Fresh values lie in the last days, so those partitions are read first; the whole history is
+    only searched for features without a value there.
+    """
+    active = store.registry.list_features()
+    hours = max((feature.freshness_hours for feature in active), default=0)
+    recent = store.values.until(as_of, ttl=timedelta(hours=hours, days=1))
+    found = {row[0] for row in recent.select("feature_name").distinct().collect()}
+    missing = [f.feature_name for f in active if f.feature_name not in found]
+    older = store.values.until(as_of).where(F.col("feature_name").isin(missing))
+    values = recent.unionByName(older) if missing else recent
+    return freshness_checks(definitions_frame(store.spark, active), values, as_of)
 
 
 def monitor_features(

@@ -12,9 +12,16 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import MICROS_PER_DAY, day_number, days_between, epoch_micros, moment
-from tidemark.functions.time import trailing
 from tidemark.functions.snapshots import each_snapshot
+from tidemark.functions.time import (
+    MICROS_PER_DAY,
+    day_number,
+    days_between,
+    epoch_micros,
+    moment,
+    trailing,
+    within_days,
+)
 from tidemark.sources.adapters import Commerce
 
 VIEW = "user_purchase_stats"
@@ -47,14 +54,6 @@ WHERE users.signup_ts < :as_of
 """
 
 
-def _within_dates(frame: DataFrame, column: str, since: datetime | None, until: datetime):
-    """Bound the partition column of a date-partitioned table, where there is one."""
-    if column not in frame.columns:
-        return frame
-    frame = frame.where(F.col(column) <= F.lit(until.date()))
-    return frame if since is None else frame.where(F.col(column) >= F.lit(since.date()))
-
-
 def purchase_stats(
     commerce: Commerce,
     as_of: datetime,
@@ -72,8 +71,8 @@ def purchase_stats(
     views_since = as_of - timedelta(days=view_days)
 
     users = commerce.users.where(F.col("signup_ts") < F.lit(as_of))
-    orders = _within_dates(commerce.orders, "order_date", None, as_of)
-    views = _within_dates(commerce.product_views, "view_date", views_since, as_of)
+    orders = within_days(commerce.orders, "order_date", until=as_of)
+    views = within_days(commerce.product_views, "view_date", views_since, as_of)
     facts = (
         users.select("user_id", F.lit(True).alias("known"))
         .unionByName(
@@ -137,7 +136,7 @@ def purchase_stats_at(
             snapshots, lambda at: at > F.unix_micros(F.col("signup_ts"))
         ).alias("event_timestamp"),
     )
-    orders = _within_dates(commerce.orders, "order_date", None, last)
+    orders = within_days(commerce.orders, "order_date", until=last)
     daily_orders = (
         orders.where(F.col("order_ts") < F.lit(last))
         .groupBy("user_id", day_number(F.col("order_ts")).alias("day"))
@@ -147,7 +146,7 @@ def purchase_stats_at(
             F.max("order_ts").alias("day_last"),
         )
     )
-    views = _within_dates(commerce.product_views, "view_date", views_since, last)
+    views = within_days(commerce.product_views, "view_date", views_since, last)
     daily_views = (
         views.where((F.col("view_ts") < F.lit(last)) & (F.col("view_ts") >= F.lit(views_since)))
         .groupBy("user_id", day_number(F.col("view_ts")).alias("day"))

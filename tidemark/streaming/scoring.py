@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -52,13 +53,17 @@ def score_and_log(
     champion = store.models.champion(MODEL_NAME)
     if champion is None:
         raise LookupError("there is no champion model yet")
-    predictions, rejected = score_requests(
-        requests, store.online.read(MODEL_VIEW), champion, predicted_at or datetime.now(UTC)
-    )
-    store.predictions.write(predictions, job, batch)
-    rejected.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-        f"{store.root}/rejected/job={job}/batch={batch}"
-    )
+    published, now = store.online.read(MODEL_VIEW), predicted_at or datetime.now(UTC)
+    # Looked through for hot entities, scored and searched for rejects: read the source once
+    requests = requests.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        predictions, rejected = score_requests(requests, published, champion, now)
+        store.predictions.write(predictions, job, batch)
+        rejected.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{store.root}/rejected/job={job}/batch={batch}"
+        )
+    finally:
+        requests.unpersist()
 
 
 def score_stream(
