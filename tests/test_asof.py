@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.asof import asof_join
 from tidemark.operators.hot import hot_keys, lookup_join, running_totals
-from tidemark.plans.historical import features_at, historical_features, request_rows
+from tidemark.plans.historical import (
+    exploded_requests,
+    features_at,
+    historical_features,
+    request_rows,
+)
 from tidemark.session import cut
 from tidemark.sources.registry import FeatureDefinition, FeatureView, NotRegisteredError
 
@@ -70,6 +75,18 @@ def test_order_duplicates_and_unknown_entities(spark):
     assert ask(spark, values, requests, hot_rows=1) == expected
 
 
+def test_requests_from_parallel_arrays(spark):
+    lists = spark.createDataFrame(
+        [("a", [2, 1], [day(2), day(1)])],
+        "who string, entity_ids array<bigint>, timestamps array<timestamp>",
+    )
+    rows = rows_of(exploded_requests(lists).orderBy("row_id"), "who", "row_id", "entity_id")
+    assert rows == [("a", 0, 2), ("a", 1, 1)]
+    values = long_values(spark, [("spend", 1, day(1), 10.0)])
+    joined = asof_join(exploded_requests(lists), values, {"spend": None})
+    assert rows_of(joined.orderBy("row_id"), "spend") == [(None,), (10.0,)]
+
+
 def test_no_requests(spark):
     assert ask(spark, [("spend", 1, day(1), 10.0)], []) == []
 

@@ -4,7 +4,6 @@ import math
 import random
 import statistics
 from bisect import bisect_left
-from datetime import timedelta
 
 import pytest
 from conftest import day, long_values, put, rows_of
@@ -20,6 +19,7 @@ from tidemark.operators.drift import (
 )
 from tidemark.operators.explore import (
     describe,
+    exploration_report,
     label_rate,
     label_rate_by_snapshot,
     means_by_label,
@@ -263,4 +263,7 @@ def test_exploration(spark):
         "std": pytest.approx(statistics.stdev([1, 2, 4])), "min": 1.0, "q25": 1.5, "q50": 2.0,
         "q75": 3.0, "max": 4.0,
     }
-    assert timedelta(days=1) == day(2) - day(1)
+    report = exploration_report(frame, ["a", "b"])
+    assert {name: part.count() for name, part in report.items()} == {
+        "describe": 2, "label_rate": 3, "missing_share": 2, "means_by_label": 2,
+    }

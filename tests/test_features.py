@@ -9,11 +9,12 @@ from conftest import day, rows_of
 from pyspark.sql import functions as F
 
 from tidemark.functions.snapshots import daily_snapshots, monthly_snapshots
-from tidemark.functions.time import parse_moment
+from tidemark.functions.time import iso_text, parse_moment
 from tidemark.operators.labels import bought_within, require_final
 from tidemark.operators.reshape import check_columns, to_long, to_wide
 from tidemark.plans.compute import view_frame
 from tidemark.plans.purchase_stats import FEATURES, SQL, purchase_stats, purchase_stats_at
+from tidemark.session import prepare
 from tidemark.sources import schemas
 from tidemark.sources.adapters import Commerce
 
@@ -103,6 +104,22 @@ def test_moments_must_be_clear(spark):
     assert parse_moment("2026-03-01T02:00:00+02:00") == day(1)
 
 
+def test_timestamps_as_text(spark):
+    frame = spark.createDataFrame([(day(5, 7),)], "ts timestamp")
+    (text,) = rows_of(frame.select(iso_text(F.col("ts"))))[0]
+    assert text == "2026-03-05T07:00:00+00:00"
+    assert parse_moment(text) == day(5, 7)
+
+
+def test_shuffle_partitions_follow_the_size(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    prepare(spark, 1024**2)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    prepare(spark, 100 * 1024**4)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == str(100 * 1024**4 // 256 // 1024**2)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_monthly_grid_crosses_the_year():
     firsts = monthly_snapshots(date(2026, 11, 15), date(2027, 2, 1))
     assert [(d.year, d.month, d.day) for d in firsts] == [

@@ -76,3 +76,13 @@ def describe(
         quartile("q75").alias("q75"),
         "max",
     )
+
+
+def exploration_report(training: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:
+    """Everything above for one training set; pass a written frame, it is read once per part."""
+    return {
+        "describe": describe(training, columns),
+        "label_rate": label_rate_by_snapshot(training),
+        "missing_share": missing_share(training, columns),
+        "means_by_label": means_by_label(training, columns),
+    }

@@ -30,6 +30,21 @@ def request_rows(spark: SparkSession, rows: Sequence[tuple[int, datetime]]) -> D
     return spark.createDataFrame(numbered, schema)
 
 
+def exploded_requests(lists: DataFrame) -> DataFrame:
+    """Parallel arrays `entity_ids` and `timestamps` as requests, one per position.
+
+    `row_id` is the position within the row's arrays, other columns are kept.
+    """
+    others = [name for name in lists.columns if name not in ("entity_ids", "timestamps")]
+    pairs = F.posexplode(F.arrays_zip("entity_ids", "timestamps")).alias("row_id", "pair")
+    return lists.select(*others, pairs).select(
+        *others,
+        "row_id",
+        F.col("pair.entity_ids").alias("entity_id"),
+        F.col("pair.timestamps").alias("event_timestamp"),
+    )
+
+
 def features_at(
     requests: DataFrame,
     values: DataFrame,

@@ -16,8 +16,8 @@ from tidemark.sources.values import ValueStore
 class FeatureStore:
     """Raw tables, registry, values, published rows, logs and models of one project."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = prepare(spark)
+    def __init__(self, spark: SparkSession, root: str, shuffled_bytes: int | None = None):
+        self.spark = prepare(spark, shuffled_bytes)
         self.root = root
         self.raw = RawTables(spark, root)
         self.registry = FeatureRegistry(spark, root)

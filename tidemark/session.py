@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +17,24 @@ SETTINGS = {
 }
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the engine's settings to a session and return it."""
+# What one shuffle partition should hold at most, so that it sorts in an executor's memory.
+PARTITION_BYTES = 256 * 1024**2
+
+
+def prepare(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession:
+    """Apply the engine's settings to a session and return it.
+
+    `shuffled_bytes`, the size of the largest table that is shuffled, raises the number of shuffle
+    partitions to fit it. Adaptive execution joins partitions that turn out small, so a number that
+    is too large costs little; one that is too small spills.
+    """
     for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    if shuffled_bytes is not None:
+        needed = math.ceil(shuffled_bytes / PARTITION_BYTES)
+        if needed > int(spark.conf.get("spark.sql.shuffle.partitions")):
+            spark.conf.set("spark.sql.shuffle.partitions", str(needed))
     return spark
 
 
