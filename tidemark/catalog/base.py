@@ -100,10 +100,12 @@ v AS (SELECT l_orderkey AS view_id, o_custkey AS user_id, l_shipdate AS view_ts
 MOMENT_SQL = "s AS (SELECT TIMESTAMP '2024-01-20' AS event_timestamp)"
 DAYS_SQL = """
 s AS (SELECT CAST(d AS TIMESTAMP) AS event_timestamp
-      FROM generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-30', INTERVAL 1 DAY) g(d))"""
+      FROM generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-30',
+                           INTERVAL 1 DAY) g(d))"""
 MONTHS_SQL = """
 s AS (SELECT CAST(d AS TIMESTAMP) AS event_timestamp
-      FROM generate_series(TIMESTAMP '1995-02-01', TIMESTAMP '2001-07-01', INTERVAL 1 MONTH) g(d))"""
+      FROM generate_series(TIMESTAMP '1995-02-01', TIMESTAMP '2001-07-01',
+                           INTERVAL 1 MONTH) g(d))"""
 STATS_SQL = """
 so AS (SELECT u.user_id, s.event_timestamp,
               count(*) FILTER (WHERE o.order_ts >= s.event_timestamp - INTERVAL 30 DAY) AS n,

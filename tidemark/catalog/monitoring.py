@@ -155,7 +155,8 @@ def _shares_sql(name: str, rows: str) -> str:
 
 def _exploded(reference: DataFrame) -> DataFrame:
     """A distribution as one row per bin, to compare it with SQL."""
-    return reference.select("feature_name", "edges", F.posexplode("shares").alias("bin", "share")).select(
+    bins = F.posexplode("shares").alias("bin", "share")
+    return reference.select("feature_name", "edges", bins).select(
         "feature_name",
         F.col("bin").cast("bigint").alias("bin"),
         F.get("edges", "bin").alias("upper_edge"),
@@ -220,13 +221,15 @@ def snapshot_drift_checks(spark, folder):
 
 
 _LOG_DAYS = [midnight(AS_OF.replace(day=day).date()) for day in (5, 12, 20, 26)]
-_LOG_SQL = f"""{_quality_sql(", ".join(f"TIMESTAMP '2024-01-{day:02}'" for day in (5, 12, 20, 26)))},
+_LOG_MOMENTS = ", ".join(f"TIMESTAMP '{day:%Y-%m-%d}'" for day in _LOG_DAYS)
+_LOG_SQL = f"""{_quality_sql(_LOG_MOMENTS)},
 latest AS (SELECT name, metric, max(event_timestamp) AS snapshot_at,
                   arg_max_null(value, event_timestamp) AS value,
                   arg_max(status, event_timestamp) AS status,
                   arg_max(message, event_timestamp) AS message
            FROM checks WHERE event_timestamp <= TIMESTAMP '2024-01-21' GROUP BY ALL),
-by_name AS (SELECT name, max(CASE status WHEN 'alert' THEN 2 WHEN 'warning' THEN 1 ELSE 0 END) AS code,
+by_name AS (SELECT name, max(CASE status WHEN 'alert' THEN 2 WHEN 'warning' THEN 1 ELSE 0 END)
+                       AS code,
                    count(*) AS n_checks FROM latest GROUP BY name)"""
 
 

@@ -12,6 +12,7 @@ from tidemark.catalog.base import (
     AS_OF,
     EVENT_DAYS,
     LONG_SQL,
+    event_requests,
     query,
     work_folder,
 )
@@ -35,14 +36,9 @@ def _day(number: int) -> datetime:
     return datetime(2024, 1, number, tzinfo=UTC)
 
 
+@cache
 def events_store(spark: SparkSession, folder: str) -> FeatureStore:
     """A store of the events with all days computed; built once per session."""
-    return _events_store(spark.sparkContext.applicationId, folder)
-
-
-@cache
-def _events_store(application: str, folder: str) -> FeatureStore:
-    spark = SparkSession.active()
     store = FeatureStore(spark, work_folder(spark))
     store.raw.replace_tables(from_events(spark, folder).present())
     apply_definitions(store)
@@ -51,9 +47,9 @@ def _events_store(application: str, folder: str) -> FeatureStore:
 
 
 @cache
-def _trained_store(application: str, folder: str) -> FeatureStore:
+def trained_store(spark: SparkSession, folder: str) -> FeatureStore:
     """The store with a champion, trained on snapshots of the first half of the month."""
-    store = _events_store(application, folder)
+    store = events_store(spark, folder)
     days = [_day(number) for number in (5, 9, 13, 17)]
     frame = build_training_set(store, days, MODEL_FEATURES, NEXT_3_DAYS)
     train_and_register(store, frame, _day(17))
@@ -61,10 +57,6 @@ def _trained_store(application: str, folder: str) -> FeatureStore:
     return store
 
 
-def trained_store(spark: SparkSession, folder: str) -> FeatureStore:
-    return _trained_store(spark.sparkContext.applicationId, folder)
-
-
 @query(
     f"""{EVENT_DAYS}, {LONG_SQL} SELECT 'user_purchase_stats' AS view_name, entity_id,
        feature_name, event_timestamp, round(value, 6) AS value FROM long"""
@@ -104,16 +96,8 @@ FROM req LEFT JOIN f ON f.entity_id = req.entity_id
 )
 def historical_features_stored(spark, folder):
     """Features of two days of validity at every click, out of the partitioned store."""
-    clicks = (
-        events_store(spark, folder).spark.read.parquet(f"{folder}/events.parquet")
-        .where("event_type = 'click'")
-        .select(
-            F.col("event_id").alias("row_id"),
-            F.col("user_id").alias("entity_id"),
-            F.col("ts").cast("timestamp").alias("event_timestamp"),
-        )
-    )
     store = events_store(spark, folder)
+    clicks = event_requests(spark, folder, ["click"])
     return historical_features(store, clicks, ["view_count_7d", "avg_order_value_30d"])
 
 

@@ -28,12 +28,13 @@ def merge_values(stored: DataFrame, new: DataFrame, now: datetime) -> DataFrame:
         .otherwise("changed")
     )
     written = F.col("change").isin("inserted", "changed")
+    value = F.when(F.col("change") == "kept", F.col("_old")).otherwise(F.col("_new"))
     return (
         old_side.join(new_side, KEYS, "full_outer")
         .withColumn("change", change)
         .select(
             *KEYS,
-            F.when(F.col("change") == "kept", F.col("_old")).otherwise(F.col("_new")).alias("value"),
+            value.alias("value"),
             F.when(written, F.lit(now)).otherwise(F.col("created_at")).alias("created_at"),
             "change",
         )
