@@ -224,7 +224,7 @@ m AS (SELECT doc_id, list_slice(words, i, i + {MAX_REPEAT}) AS run
             WHERE len(words) > {MAX_REPEAT})),
 long AS (SELECT DISTINCT doc_id FROM (SELECT doc_id, run FROM m GROUP BY ALL HAVING count(*) > 1)),
 f AS (SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words,
-       CAST(coalesce(list_sum(list_transform(words, x -> length(x))), 0) AS BIGINT) AS word_chars,
+       CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
        CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT)
            AS n_symbols,
        CAST(coalesce(d.n, 0) AS BIGINT) AS n_dup_lines,

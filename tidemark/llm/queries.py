@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import exact_dedup as exact
 from tidemark.llm import line_runs as lines
 from tidemark.llm import quality_rules as rules
+from tidemark.llm import substring_dedup as substring
 from tidemark.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +49,10 @@ def op4_line_runs(spark: SparkSession, folder: str) -> DataFrame:
 @query(exact.SQL)
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_dedup(table(spark, folder, "documents"))
+
+
+@query(substring.sql())
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring.substring_dedup(table(spark, folder, "documents"))
+    n_chars = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return found.withColumn("n_removed_chars", n_chars).drop("spans")
