@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup as exact
+from tidemark.llm import jaccard_join as jaccard
 from tidemark.llm import line_runs as lines
 from tidemark.llm import quality_rules as rules
 from tidemark.llm import substring_dedup as substring
@@ -40,6 +41,11 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("repeat_too_long", too_long).drop("longest_repeat")
 
 
+@query(jaccard.sql())
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, folder, "documents"))
+
+
 @query(lines.sql())
 def op4_line_runs(spark: SparkSession, folder: str) -> DataFrame:
     found = lines.line_runs(table(spark, folder, "documents"))
