@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import bpe, packing, token_counts
 from tidemark.llm import exact_dedup as exact
 from tidemark.llm import jaccard_join as jaccard
 from tidemark.llm import line_runs as lines
@@ -52,6 +53,27 @@ def op4_line_runs(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_deleted", F.sha2("text", 256).alias("text_sha256"))
 
 
+@query()
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.digests(packing.packed(table(spark, folder, "documents")))
+
+
+@query()
+def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    coded = bpe.decode(bpe.encode(table(spark, folder, "documents")))
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.length_histogram(table(spark, folder, "documents"))
+
+
 @query(exact.SQL)
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_dedup(table(spark, folder, "documents"))
