@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, token_counts
+from tidemark.llm import bpe, gam, packing, token_counts
 from tidemark.llm import exact_dedup as exact
 from tidemark.llm import jaccard_join as jaccard
 from tidemark.llm import line_runs as lines
@@ -42,6 +42,12 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("repeat_too_long", too_long).drop("longest_repeat")
 
 
+@query()
+def op2_gam(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels")
+    return gam.quality_scores(table(spark, folder, "documents"), labels)
+
+
 @query(jaccard.sql())
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, folder, "documents"))
