@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, gam, packing, token_counts
+from tidemark.llm import bpe, gam, lm_scoring, packing, token_counts
 from tidemark.llm import exact_dedup as exact
 from tidemark.llm import jaccard_join as jaccard
 from tidemark.llm import line_runs as lines
@@ -80,6 +80,11 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.length_histogram(table(spark, folder, "documents"))
 
 
+@query()
+def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.lm_scores(table(spark, folder, "documents"))
+
+
 @query(exact.SQL)
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_dedup(table(spark, folder, "documents"))
