@@ -75,6 +75,23 @@ def exact_dedup(
     return _merged(runs, id_col)
 
 
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that `exact_dedup` keeps, with all of their columns."""
+    kept = (
+        exact_dedup(docs, id_col, text_col)
+        .where("kept")
+        .select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_digest"))
+    )
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col(id_col).alias("doc_id"),
+        F.sha2(normalised(F.col(text_col)), 256).alias("digest"),
+    )
+    # The digest first: it is never null, and no key of the join is hot, as one id is kept of each.
+    same = (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["digest", "doc_id"]).select("row.*")
+
+
 def _merged(runs: DataFrame, id_col: str) -> DataFrame:
     """Puts the shares of hot texts together again."""
     single = runs.where("NOT is_hot").select(

@@ -13,11 +13,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import WordHashes, Words, documents, in_one_text, mixed, slices, window_hashes
-from tidemark.session import cut
+from tidemark.llm.text import (
+    WordHashes,
+    Words,
+    documents,
+    few_rows_a_batch,
+    in_one_text,
+    mixed,
+    slices,
+    window_hashes,
+)
 
 # The most labelled rows that are collected for training, by the order of a hash of their id.
 MAX_ROWS = 40_000
@@ -273,62 +282,88 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(True))
 
 
-def quality_scores(
+def fit_scores(
     docs: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     max_rows: int = MAX_ROWS,
-) -> DataFrame:
-    """One row per row of `docs`: id, held_out, score (0 to 1), predicted (1 from 0.5 on).
+) -> Model:
+    """A model of `labels.quality` from the texts of labelled documents that are not held out.
 
-    `labels` has the id and `quality`, 0 or 1; other and null labels are not learned from, nor are
-    those of held-out ids. Only the text is an input of the score; a null text counts as empty and
-    is scored like any other. Labels that repeat count as often as they do. Without labels all
-    scores are 0.5. At most `max_rows` labelled rows are learned from. Other columns are not read.
+    Labels other than 0 and 1 are not learned from. Labels that repeat count as often as they do.
+    At most `max_rows` labels are learned from; without any, all scores are 0.5.
     """
-    rows = documents(docs, id_col, text_col)
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    sample = (
+        labels.select(F.col(id_col).alias("doc_id"), F.col("quality").cast("int").alias("label"))
+        .where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
+        .limit(max_rows)
+    )
+    # A bounded number of ids and labels, some 12 bytes each.
+    rows = documents(docs, id_col, text_col).join(F.broadcast(sample), "doc_id")
 
     def measured(batches):
         cache = WordHashes()
         for batch in slices(batches):
             found = features(batch.column("text").to_pylist(), cache)
-            width = pa.array(found.ravel())
+            listed = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), len(FEATURES))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.FixedSizeListArray.from_arrays(width, len(FEATURES)).cast(
-                        pa.list_(pa.float32())
-                    ),
-                ],
-                ["doc_id", "features"],
+                [batch.column("label"), listed.cast(pa.list_(pa.float32()))], ["label", "features"]
             )
 
-    measures = cut(rows.mapInArrow(measured, f"doc_id {kind}, features array<float>"))
-    known = labels.select(F.col(id_col).alias("doc_id"), F.col("quality").cast("int").alias("label"))
-    sample = (
-        known.where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
-        .join(measures, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "label", "features")
-        .limit(max_rows)
-        .select("label", "features")
+    found = (
+        rows.select("label", "text")
+        .mapInArrow(measured, "label int, features array<float>")
         .toArrow()
+        .combine_chunks()
     )
-    model = fit(
-        sample.column("features").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES)),
-        sample.column("label").to_numpy().astype(float),
-    )
+    numbers = found.column("features").combine_chunks().flatten().to_numpy()
+    numbers = numbers.reshape(-1, len(FEATURES))
+    wanted = found.column("label").to_numpy().astype(float)
+    # The same rows in the same order, however they were dealt out.
+    order = np.lexsort([*numbers.T, wanted])
+    return fit(numbers[order], wanted[order])
+
+
+def quality_scores(
+    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per row of `docs`: id, held_out, score (0 to 1), predicted (1 from 0.5 on).
+
+    Only the text is an input of the score; a null text counts as empty and is scored like any
+    other. Ids may be null or repeat. Other columns are not read. No shuffle.
+    """
+    rows = documents(docs, id_col, text_col)
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def scored(batches):
-        for batch in batches:
-            found = batch.column("features").flatten().to_numpy().reshape(-1, len(FEATURES))
-            score = model.score(found)
+        cache = WordHashes()
+        for batch in slices(batches):
+            score = model.score(features(batch.column("text").to_pylist(), cache))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
                 ["doc_id", "score", "predicted"],
             )
 
-    return measures.mapInArrow(scored, f"doc_id {kind}, score double, predicted int").select(
+    return rows.mapInArrow(scored, f"doc_id {kind}, score double, predicted int").select(
         F.col("doc_id").alias(id_col), held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
     )
+
+
+def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that score 0.5 or more, with all of their columns. No shuffle."""
+    few_rows_a_batch(docs.sparkSession)
+
+    def chosen(batches):
+        cache = WordHashes()
+        for batch in batches:
+            texts = pc.fill_null(batch.column(text_col).cast(pa.binary()), b"")
+            own = pa.RecordBatch.from_arrays([texts], ["text"])
+            score = [
+                model.score(features(part.column("text").to_pylist(), cache))
+                for part in slices([own])
+            ]
+            yield batch.filter(pa.array(np.concatenate([*score, np.empty(0)]) >= 0.5))
+
+    return docs.mapInArrow(chosen, docs.schema)

@@ -44,8 +44,8 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op2_gam(spark: SparkSession, folder: str) -> DataFrame:
-    labels = table(spark, folder, "labels")
-    return gam.quality_scores(table(spark, folder, "documents"), labels)
+    docs = table(spark, folder, "documents")
+    return gam.quality_scores(docs, gam.fit_scores(docs, table(spark, folder, "labels")))
 
 
 @query(jaccard.sql())

@@ -18,13 +18,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import exchange
 from tidemark.llm.text import (
     WordHashes,
     Words,
     documents,
-    few_rows_a_batch,
     in_one_text,
     slices,
     utf8,
@@ -33,6 +33,7 @@ from tidemark.llm.text import (
 
 UNIT_WORDS = 50
 
+SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
 RECORD = {"digest": "u8", "doc_id": "i8", "place": "i4", "known": "?"}
 PLACES = {"doc_id": "i8", "place": "i4"}
 
@@ -49,24 +50,43 @@ def substring_dedup(
     one document, and what is removed from one is removed from all. A row without an id keeps its
     text and is compared with nothing. Other columns are not read.
     """
+    return _applied(docs, id_col, text_col, unit_words).drop("carried")
+
+
+def deduplicated(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit_words: int = UNIT_WORDS
+) -> DataFrame:
+    """The rows of `docs` with all of their columns and the shortened texts."""
+    found = _applied(docs, id_col, text_col, unit_words)
+    return found.select(
+        *[F.col("text" if name == text_col else f"carried.{name}").alias(name) for name in docs.columns]
+    )
+
+
+def _applied(docs: DataFrame, id_col: str, text_col: str, unit_words: int) -> DataFrame:
     later = later_units(docs, id_col, text_col, unit_words)
-    few_rows_a_batch(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), utf8(F.col(text_col)).alias("text"))
+    others = F.struct(*[name for name in docs.columns if name != text_col])
+    rows = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"),
+        utf8(F.col(text_col)).alias("text"),
+        others.alias("carried"),
+    )
+    schema = T.StructType(
+        [
+            rows.schema["doc_id"],
+            T.StructField("text", T.StringType()),
+            T.StructField("n_words", T.LongType()),
+            T.StructField("n_removed", T.LongType()),
+            T.StructField("spans", T.ArrayType(SPAN)),
+            rows.schema["carried"],
+        ]
+    )
 
     def applied(batches):
         for batch in slices(batches):
             yield _removed(batch)
 
-    return (
-        rows.join(later, "doc_id", "left")
-        .select("doc_id", "text", "places")
-        .mapInArrow(
-            applied,
-            "doc_id bigint, text string, n_words bigint, n_removed bigint, "
-            "spans array<struct<start:bigint,end:bigint>>",
-        )
-        .withColumnRenamed("doc_id", id_col)
-    )
+    return rows.join(later, "doc_id", "left").mapInArrow(applied, schema).withColumnRenamed("doc_id", id_col)
 
 
 def later_units(docs: DataFrame, id_col: str, text_col: str, unit_words: int) -> DataFrame:
@@ -263,6 +283,7 @@ def _removed(batch: pa.RecordBatch) -> pa.RecordBatch:
             "n_words": pa.array(n_words, pa.int64()),
             "n_removed": pa.array(n_removed, pa.int64()),
             "spans": pa.array(spans, kind),
+            "carried": batch.column("carried"),
         }
     )
 
