@@ -47,8 +47,7 @@ def put(store, view_name, rows, now=None):
     from pyspark.sql import functions as F
 
     frame = long_values(store.spark, rows).withColumn("view_name", F.lit(view_name))
-    days = sorted({moment.date() for _, _, moment, _ in rows})
-    return store.values.upsert(frame, days, now)
+    return store.values.upsert(frame, now)
 
 
 def rows_of(frame, *columns):

@@ -8,7 +8,6 @@ from bisect import bisect_left
 import pytest
 from conftest import day, long_values, put, rows_of
 
-from tidemark.functions.values import worst
 from tidemark.operators.drift import (
     PSI_ALERT,
     drift_checks,
@@ -237,7 +236,6 @@ def test_status_takes_the_latest_and_the_worst(checked):
 def test_status_of_nothing_is_ok(store):
     row = monitor_status(store, day(1)).first()
     assert (row["status"], row["features"], row["models"]) == ("ok", {}, {})
-    assert worst([]) == "ok" and worst(["ok", "alert", "warning"]) == "alert"
 
 
 def test_monitor_without_champion_logs_quality(checked):

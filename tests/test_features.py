@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.snapshots import daily_snapshots, monthly_snapshots
 from tidemark.functions.time import iso_text, parse_moment
+from tidemark.functions.values import general, percent
 from tidemark.operators.labels import bought_within, require_final
 from tidemark.operators.reshape import check_columns, to_long, to_wide
 from tidemark.plans.compute import view_frame
@@ -111,6 +112,13 @@ def test_timestamps_as_text(spark):
     assert parse_moment(text) == day(5, 7)
 
 
+def test_ties_in_messages(spark):
+    frame = spark.createDataFrame([(0.0015, 1000005.0), (0.0025, 1000015.0)], "a double, b double")
+    assert rows_of(frame.select(percent(F.col("a")), general(F.col("b")))) == [
+        ("0.2%", "1.00001e+06"), ("0.2%", "1.00002e+06"),
+    ]
+
+
 def test_shuffle_partitions_follow_the_size(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     prepare(spark, 1024**2)

@@ -196,7 +196,7 @@ def fill(store, *moments):
 
     wide = purchase_stats_at(store.raw.read(), list(moments))
     values = view_values(wide, MODEL_VIEW, MODEL_FEATURES, F.col("event_timestamp"))
-    store.values.upsert(values, sorted({moment.date() for moment in moments}))
+    store.values.upsert(values)
 
 
 def test_retraining(shop):

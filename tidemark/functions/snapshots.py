@@ -24,6 +24,14 @@ def monthly_snapshots(start: date, end: date) -> list[datetime]:
     return [midnight(first) for first in firsts if start <= first <= end]
 
 
+def closed_months(start: date, by: datetime, horizon: timedelta) -> list[datetime]:
+    """Firsts of a month from start on whose window of `horizon` has ended by a moment."""
+    found = monthly_snapshots(start, (moment(by) - horizon).date())
+    if not found:
+        raise ValueError(f"No training snapshots between {start} and {by - horizon}")
+    return found
+
+
 def micros_array(snapshots: Sequence[datetime]) -> Column:
     """All snapshots as one literal, ascending and without repeats."""
     micros = sorted({epoch_micros(moment(snapshot)) for snapshot in snapshots})

@@ -36,7 +36,9 @@ def asof_join(
     entity with more than `hot_rows` rows gets its timeline cut into slices instead.
     `hot_rows=None` skips the look for such entities, for inputs whose rows per entity are bounded.
     """
-    values = values.where(F.col("feature_name").isin(list(ttls))).select(*VALUE_COLUMNS)
+    values = values.where(
+        F.col("feature_name").isin(list(ttls)) & F.col("entity_id").isNotNull()
+    ).select(*VALUE_COLUMNS)
     if hot_rows is None:
         return _one_timeline(requests, values, ttls)
     ids = requests.select("entity_id").unionByName(values.select("entity_id"))

@@ -1,8 +1,8 @@
-"""Drift: how far a feature's values have moved from a reference distribution.
+"""Population stability of features against a stored reference.
 
-The reference cuts a feature's values at their own quantiles. The population stability index adds
-`(now - then) * ln(now / then)` over the shares per bin: 0 is identical, below 0.1 stable, from
-0.1 a moderate and from 0.25 a significant shift. Missing values (null or NaN) are a bin as well.
+Reference: per feature, edges at the quantiles of its values, and the share of rows in each bin
+between them; rows without a value (null or NaN) fill a bin of their own. Index: the sum over the
+bins of `(now - then) * ln(now / then)`, graded by the fixed limits below.
 """
 
 from __future__ import annotations

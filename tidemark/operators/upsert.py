@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -39,9 +38,3 @@ def merge_values(stored: DataFrame, new: DataFrame, now: datetime) -> DataFrame:
             "change",
         )
     )
-
-
-def replace_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The new rows, and the old rows whose key is not among them."""
-    untouched = old.join(new.select(*keys), list(keys), "left_anti")
-    return untouched.select(*new.columns).unionByName(new)

@@ -81,7 +81,7 @@ def compute_features(
     built, raw = frame_view(view_name, sql), store.raw.read()
     wide = view_frame(raw, sql, as_of) if built is None else built.at(raw, as_of)
     values = view_values(wide, view_name, features, as_of)
-    return store.values.upsert(values, [as_of.astimezone(UTC).date()], now)
+    return store.values.upsert(values, now)
 
 
 def backfill(
@@ -100,4 +100,4 @@ def backfill(
         return sum(compute_features(store, view_name, midnight(day), now) for day in days)
     wide = built.at_once(store.raw.read(), [midnight(day) for day in days])
     values = view_values(wide, view_name, features, F.col("event_timestamp"))
-    return store.values.upsert(values, days, now)
+    return store.values.upsert(values, now)

@@ -12,6 +12,7 @@ from tidemark.operators.latest import latest_rows, without_nulls
 from tidemark.operators.reshape import to_wide
 from tidemark.plans.historical import features_at
 from tidemark.plans.store import FeatureStore
+from tidemark.session import cut
 
 
 def current_rows(store: FeatureStore, view_name: str, as_of: datetime) -> DataFrame:
@@ -44,14 +45,21 @@ def stale_entities(published: DataFrame, current: DataFrame) -> DataFrame:
 def parity_differences(store: FeatureStore, view_name: str) -> DataFrame:
     """Where the published values differ from the point-in-time join at the published moment.
 
-    `entity_id, feature_name, published, stored`; no rows means both agree.
+    `entity_id, feature_name, published, stored`; no rows means both agree. Entities come from
+    both sides, so one that was published without a valid value is found, and one that has a value
+    but was not published.
     """
     until = store.online.until(view_name)
     if until is None:
         raise LookupError(f"view '{view_name}' was never published")
     features = [feature.feature_name for feature in store.registry.in_use(view_name)]
+    view = store.registry.get_view(view_name)
     published = store.online.read(view_name)
-    requests = published.select("entity_id", F.lit(until).alias("event_timestamp"))
+    visible = store.values.until(until, view_name, view.ttl).where(
+        F.col("feature_name").isin(features)
+    )
+    entities = published.select("entity_id").union(visible.select("entity_id")).distinct()
+    requests = cut(entities.withColumn("event_timestamp", F.lit(until)))
     ttls = store.registry.ttls(features)
     stored = features_at(requests, store.values.read(view_name), ttls, hot_rows=None)
     long_published = published.select(
@@ -59,7 +67,7 @@ def parity_differences(store: FeatureStore, view_name: str) -> DataFrame:
     )
     long_stored = stored.unpivot(["entity_id"], features, "feature_name", "stored")
     return (
-        long_stored.join(long_published, ["entity_id", "feature_name"], "left")
+        long_stored.join(long_published, ["entity_id", "feature_name"], "full_outer")
         .where(~F.col("stored").eqNullSafe(F.col("published")))
         .select("entity_id", "feature_name", "published", "stored")
     )

@@ -31,26 +31,23 @@ VIEW_DAYS = 7
 
 # The same view as SQL over the raw tables, with the moment as parameter `as_of`.
 SQL = """
-WITH recent_orders AS (
-    SELECT user_id,
-           count_if(order_ts >= :as_of - INTERVAL '30' DAY) AS n,
-           sum(total_amount) FILTER (WHERE order_ts >= :as_of - INTERVAL '30' DAY) AS amount,
-           max(order_ts) AS last_ts
-    FROM orders WHERE order_ts < :as_of GROUP BY user_id
-), recent_views AS (
-    SELECT user_id, count(*) AS n
-    FROM product_views
-    WHERE view_ts < :as_of AND view_ts >= :as_of - INTERVAL '7' DAY GROUP BY user_id
-)
-SELECT users.user_id AS entity_id,
-       coalesce(o.n, 0) AS order_count_30d,
-       try_divide(CAST(o.amount AS DOUBLE), o.n) AS avg_order_value_30d,
-       (unix_micros(:as_of) - unix_micros(o.last_ts)) / 86400000000D AS days_since_last_order,
-       coalesce(v.n, 0) AS view_count_7d
-FROM users
-LEFT JOIN recent_orders o ON users.user_id = o.user_id
-LEFT JOIN recent_views v ON users.user_id = v.user_id
-WHERE users.signup_ts < :as_of
+SELECT user_id AS entity_id,
+       count_if(order_ts >= :as_of - INTERVAL '30' DAY) AS order_count_30d,
+       try_divide(
+           CAST(sum(total_amount) FILTER (WHERE order_ts >= :as_of - INTERVAL '30' DAY) AS DOUBLE),
+           count_if(order_ts >= :as_of - INTERVAL '30' DAY)) AS avg_order_value_30d,
+       (unix_micros(:as_of) - unix_micros(max(order_ts))) / 86400000000D AS days_since_last_order,
+       count(view_ts) AS view_count_7d
+FROM (SELECT user_id, true AS known, CAST(null AS TIMESTAMP) AS order_ts,
+             CAST(null AS DECIMAL(12,2)) AS total_amount, CAST(null AS TIMESTAMP) AS view_ts
+      FROM users WHERE signup_ts < :as_of
+      UNION ALL
+      SELECT user_id, null, order_ts, total_amount, null FROM orders WHERE order_ts < :as_of
+      UNION ALL
+      SELECT user_id, null, null, null, view_ts FROM product_views
+      WHERE view_ts < :as_of AND view_ts >= :as_of - INTERVAL '7' DAY)
+GROUP BY user_id
+HAVING max(known)
 """
 
 

@@ -58,6 +58,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def discard(*frames: DataFrame) -> None:
+    """Empty the work tables of frames that `cut` returned and nothing reads any more.
+
+    The folder stays, with an empty table, as Spark's writers only replace what is in it.
+    """
+    for frame in frames:
+        folder = {file.rpartition("/")[0] for file in frame.inputFiles()}
+        for path in folder:
+            if "/cut-" in path:
+                frame.sparkSession.createDataFrame([], "none int").write.mode("overwrite").parquet(path)
+
+
 def cut(frame: DataFrame) -> DataFrame:
     """Write the frame to a new table in the shared folder and go on from there.
 

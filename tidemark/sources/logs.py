@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.upsert import replace_by_key
 from tidemark.sources import schemas
 from tidemark.sources.tables import nullable, read_or_empty
 
@@ -19,25 +19,30 @@ _KEY = ["kind", "name", "metric", "snapshot_at"]
 class MonitorLog:
     """One row per thing checked, metric and snapshot; a repeated check replaces its row.
 
-    Partitioned by the day of the snapshot, so logging rewrites only that day.
+    Checks are only ever added, numbered in the order they were logged; readers take the last of
+    each. Nothing that was logged is written again, so a lost writer loses nothing.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.path = f"{root}/monitor_logs"
         self.schema = T.StructType(
-            [*nullable(schemas.MONITOR_LOG).fields, T.StructField("snapshot_date", T.DateType())]
+            [*nullable(schemas.MONITOR_LOG).fields, T.StructField("entry", T.LongType())]
         )
 
     def read(self) -> DataFrame:
-        return read_or_empty(self.spark, self.path, self.schema).drop("snapshot_date")
+        entries = read_or_empty(self.spark, self.path, self.schema)
+        columns = [name for name in self.schema.names if name not in [*_KEY, "entry"]]
+        last = F.max_by(F.struct(*columns), "entry").alias("last")
+        return entries.groupBy(*_KEY).agg(last).select(*_KEY, "last.*").select(
+            *schemas.MONITOR_LOG.names
+        )
 
     def log(
         self, kind: str, snapshot_at: datetime, checks: DataFrame, now: datetime | None = None
     ) -> None:
         if kind not in KINDS:
             raise ValueError(f"kind must be one of {KINDS}, not '{kind}'")
-        day = snapshot_at.astimezone(UTC).date()
         new = checks.select(
             F.lit(kind).alias("kind"),
             "name",
@@ -47,14 +52,9 @@ class MonitorLog:
             "status",
             "message",
             F.lit(now or datetime.now(UTC)).alias("checked_at"),
-            F.lit(day).alias("snapshot_date"),
-        )
-        same_day = read_or_empty(self.spark, self.path, self.schema).where(
-            F.col("snapshot_date") == F.lit(day)
+            F.lit(time.time_ns()).alias("entry"),
         )
-        replace_by_key(same_day, new, _KEY).coalesce(1).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("snapshot_date").parquet(self.path)
+        new.coalesce(1).write.mode("append").parquet(self.path)
 
 
 class PredictionLog:

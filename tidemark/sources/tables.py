@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,8 +16,13 @@ def nullable(schema: T.StructType) -> T.StructType:
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether anything was written at the path, on whatever file system it names."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    try:
+        spark.read.schema("exists int").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -50,6 +58,13 @@ class CommitLog:
         return 1 if last is None else last["version"] + 1
 
     def commit(self, version: int, **fields) -> None:
-        row = tuple({"version": version, **fields}[name] for name in self.schema.names)
-        frame = self.spark.createDataFrame([row], self.schema)
+        self.commit_all(version, [fields])
+
+    def commit_all(self, version: int, entries: Sequence[dict]) -> None:
+        """Several rows of one version, in one file and so all at once."""
+        rows = [
+            tuple({"version": version, **entry}[name] for name in self.schema.names)
+            for entry in entries
+        ]
+        frame = self.spark.createDataFrame(rows, self.schema)
         frame.coalesce(1).write.mode("append").parquet(self.path)

@@ -2,38 +2,64 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import UTC, date, datetime
+from datetime import UTC, datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.upsert import merge_values
+from tidemark.session import cut, discard
 from tidemark.sources import schemas
-from tidemark.sources.tables import nullable, read_or_empty
+from tidemark.sources.tables import CommitLog, nullable
 
 PARTITIONS = ["view_name", "snapshot_date"]
+_MARKS = T.StructType(
+    [T.StructField("view_name", T.StringType()), T.StructField("snapshot_date", T.DateType())]
+)
 
 
 class ValueStore:
     """Long values in Parquet, partitioned by view and by the day of their timestamp.
 
     A snapshot, a validity window or a range of days reads only its own partitions; new features
-    need no rewrite of old data.
+    need no rewrite of old data. A partition that changes is written again under a new version
+    and then committed, one row per partition: readers see the old or the new one whole, and a
+    writer that dies leaves nothing behind that is read.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.path = f"{root}/feature_values"
+        self.commits = CommitLog(spark, f"{root}/feature_value_commits", _MARKS)
         self.schema = T.StructType(
             [*nullable(schemas.FEATURE_VALUES).fields, T.StructField("snapshot_date", T.DateType())]
         )
 
     def read(self, view_name: str | None = None) -> DataFrame:
-        values = read_or_empty(self.spark, self.path, self.schema)
-        return values if view_name is None else values.where(F.col("view_name") == view_name)
+        commits = self.commits.rows()
+        if view_name is not None:
+            commits = commits.where(F.col("view_name") == view_name)
+        # One row per view, day and time that the day was written
+        listed = [(r["view_name"], r["snapshot_date"], r["version"]) for r in commits.collect()]
+        if not listed:
+            return self.spark.createDataFrame([], self.schema)
+        stored = T.StructType([*self.schema.fields, T.StructField("version", T.LongType())])
+        values = self.spark.read.schema(stored).parquet(self.path)
+        values = values.where(F.col("version").isin(sorted({version for *_, version in listed})))
+        last: dict[tuple, int] = {}
+        for view, day, version in listed:
+            last[view, day] = max(version, last.get((view, day), 0))
+        for view, day, version in listed:
+            if version < last[view, day]:
+                values = values.where(
+                    (F.col("version") != version)
+                    | (F.col("view_name") != view)
+                    | (F.col("snapshot_date") != F.lit(day))
+                )
+        if view_name is not None:
+            values = values.where(F.col("view_name") == view_name)
+        return values.drop("version")
 
     def snapshot(self, as_of: datetime, view_name: str | None = None) -> DataFrame:
         """The values stamped exactly `as_of`."""
@@ -56,37 +82,51 @@ class ValueStore:
             & (F.col("event_timestamp") >= F.lit(as_of - ttl))
         )
 
-    def upsert(
-        self, values: DataFrame, days: Sequence[date], now: datetime | None = None
-    ) -> int:
+    def upsert(self, values: DataFrame, now: datetime | None = None) -> int:
         """Insert or update values; returns how many rows were inserted or changed.
 
-        `days` are the days the values are stamped with. Only those partitions are read, and only
-        the ones in which something changed are written again; the same values a second time write
-        nothing. Values that were not computed this time stay.
+        Only the views and days that the values are stamped with are read, and only those in which
+        something changed are written again; the same values a second time write nothing. Values
+        that were not computed this time stay.
         """
         now = now or datetime.now(UTC)
-        wanted = F.col("snapshot_date").isin(list(days))
-        merged = merge_values(self.read().where(wanted), values, now).withColumn(
-            "snapshot_date", F.to_date("event_timestamp")
+        new = cut(values.withColumn("snapshot_date", F.to_date("event_timestamp")))
+        stamped = new.select(*PARTITIONS).distinct()
+        days = [(row["view_name"], row["snapshot_date"]) for row in stamped.collect()]
+        by_view: dict[str, list] = {}
+        for view, day in days:
+            by_view.setdefault(view, []).append(day)
+        touched = F.lit(False)
+        for view, own in by_view.items():
+            touched |= (F.col("view_name") == view) & F.col("snapshot_date").isin(own)
+        merged = cut(
+            merge_values(self.read().where(touched), new, now).withColumn(
+                "snapshot_date", F.to_date("event_timestamp")
+            )
         )
-        merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            written = F.count_if(F.col("change").isin("inserted", "changed"))
-            per_partition = merged.groupBy(*PARTITIONS).agg(written.alias("written"))
-            changed = per_partition.where(F.col("written") > 0).collect()
-            if not changed:
-                return 0
-            touched = self.spark.createDataFrame(changed, per_partition.schema)
-            # Rebalancing gives each day few files and splits days that are too large
-            rewritten = (
-                merged.join(F.broadcast(touched.select(*PARTITIONS)), PARTITIONS, "left_semi")
-                .select(*[field.name for field in self.schema.fields])
-                .hint("rebalance", *[F.col(name) for name in PARTITIONS])
-            )
-            rewritten.write.mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic"
-            ).partitionBy(*PARTITIONS).parquet(self.path)
-            return sum(row["written"] for row in changed)
+            return self._write(merged)
         finally:
-            merged.unpersist()
+            discard(new, merged)
+
+    def _write(self, merged: DataFrame) -> int:
+        written = F.count_if(F.col("change").isin("inserted", "changed"))
+        per_partition = merged.groupBy(*PARTITIONS).agg(written.alias("written"))
+        changed = per_partition.where(F.col("written") > 0).collect()
+        if not changed:
+            return 0
+        version = self.commits.next_version()
+        listed = self.spark.createDataFrame(changed, per_partition.schema)
+        # Rebalancing gives each day few files and splits days that are too large
+        rewritten = (
+            merged.join(F.broadcast(listed.select(*PARTITIONS)), PARTITIONS, "left_semi")
+            .select(*[field.name for field in self.schema.fields])
+            .hint("rebalance", *[F.col(name) for name in PARTITIONS])
+        )
+        rewritten.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            *PARTITIONS
+        ).parquet(f"{self.path}/version={version}")
+        self.commits.commit_all(
+            version, [{name: row[name] for name in PARTITIONS} for row in changed]
+        )
+        return sum(row["written"] for row in changed)
