@@ -74,21 +74,21 @@ def stored_point_in_time(spark: SparkSession, folder: str):
     """The point-in-time join as published for comparison: a large store, 11,000 training rows.
 
     The store holds monthly values of all customers in daily partitions, written once; the
-    requests are customers on the days they ordered, one day after a snapshot.
+    requests are customers drawn from all months, each one day after a snapshot.
     """
     path = work_folder(spark)
     values = daily_values(from_trade(spark, folder), MONTHS)
     values.repartition("snapshot_date").write.partitionBy("snapshot_date").parquet(f"{path}/values")
     stored = spark.read.parquet(f"{path}/values")
+    # One customer in some, so that about 11,000 rows are spread over all months
+    asked = stored.where("feature_name = 'view_count_7d'")
+    every = max(1, asked.count() // 11_346)
     rows = (
-        stored.where("feature_name = 'view_count_7d'")
-        .where(F.col("snapshot_date") >= "2001-06-01")
+        asked.where(F.pmod(F.xxhash64("entity_id", "event_timestamp"), F.lit(every)) == 0)
         .select(
             "entity_id",
             (F.col("event_timestamp") + F.expr("interval 1 day")).alias("event_timestamp"),
         )
-        .orderBy("entity_id", "event_timestamp")
-        .limit(11_346)
         .withColumn("row_id", F.monotonically_increasing_id())
     )
     rows.write.parquet(f"{path}/requests")

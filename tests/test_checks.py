@@ -158,8 +158,8 @@ def test_edges_by_slices(spark):
     values += [("b", rng.random()) for _ in range(400)]
     frame = long_values(spark, [(f, n, day(1), v) for n, (f, v) in enumerate(values)])
     counts = value_counts(frame)
-    for slice_rows in (10_000, 90):
-        found = dict(rows_of(quantile_edges(counts, 10, slice_rows)))
+    for slices in (1, 7):
+        found = dict(rows_of(quantile_edges(counts, 10, slices)))
         for name in "ab":
             own = [v for f, v in values if f == name]
             assert found[name] == sorted(set(statistics.quantiles(own, n=10, method="inclusive")))

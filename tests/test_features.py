@@ -13,7 +13,7 @@ from tidemark.functions.time import iso_text, parse_moment
 from tidemark.functions.values import general, percent
 from tidemark.operators.labels import bought_within, require_final
 from tidemark.operators.reshape import check_columns, to_long, to_wide
-from tidemark.plans.compute import view_frame
+from tidemark.plans.compute import sql_at
 from tidemark.plans.purchase_stats import FEATURES, SQL, purchase_stats, purchase_stats_at
 from tidemark.session import prepare
 from tidemark.sources import schemas
@@ -78,7 +78,8 @@ def test_mean_is_not_rounded_to_cents(spark):
 def test_sql_view_agrees(spark):
     raw = random_commerce(spark)
     for as_of in (day(20), day(20, 13)):
-        by_sql, by_frame = view_frame(raw, SQL, as_of), purchase_stats(raw, as_of)
+        by_sql = sql_at(raw, SQL, [as_of]).drop("event_timestamp")
+        by_frame = purchase_stats(raw, as_of)
         assert by_sql.columns == by_frame.columns
         assert sorted(rows_of(by_sql)) == sorted(rows_of(by_frame))
 

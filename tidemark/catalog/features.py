@@ -27,7 +27,7 @@ from tidemark.operators.integrity import commerce_checks
 from tidemark.operators.labels import bought_within, buyers
 from tidemark.operators.reshape import to_long, to_wide
 from tidemark.operators.upsert import merge_values
-from tidemark.plans.compute import view_frame
+from tidemark.plans.compute import sql_at
 from tidemark.plans.purchase_stats import FEATURES, SQL, VIEW, purchase_stats, purchase_stats_at
 
 _ONE_MOMENT = f"""WITH {EVENTS_SQL}, {MOMENT_SQL}, {STATS_SQL}
@@ -41,7 +41,7 @@ def purchase_stats_asof(spark, folder):
 
 @query(_ONE_MOMENT)
 def purchase_stats_sql_view(spark, folder):
-    return view_frame(from_events(spark, folder), SQL, AS_OF)
+    return sql_at(from_events(spark, folder), SQL, [AS_OF]).drop("event_timestamp")
 
 
 @query(

@@ -45,8 +45,8 @@ d AS (SELECT * FROM (VALUES ('order_count_30d', 1.0, 40.0, 0.01),
       t(feature_name, expected_min, expected_max, null_threshold))"""
 
 
-def _quality_sql(snapshots: str) -> str:
-    return f"""{EVENT_DAYS}, {LONG_SQL}, {_DEFINITIONS_SQL},
+def quality_sql(snapshots: str, definitions: str = _DEFINITIONS_SQL) -> str:
+    return f"""{EVENT_DAYS}, {LONG_SQL}, {definitions},
 days AS (SELECT event_timestamp FROM s WHERE event_timestamp IN ({snapshots})),
 q AS (SELECT feature_name, event_timestamp, count(*) AS n, avg(CAST(value IS NULL AS INT)) AS nulls,
              min(value) AS low, max(value) AS high FROM long GROUP BY ALL),
@@ -82,7 +82,7 @@ def _snapshot_checks(spark, folder, as_of=AS_OF):
 
 
 @query(
-    f"""{_quality_sql("TIMESTAMP '2024-01-20'")}
+    f"""{quality_sql("TIMESTAMP '2024-01-20'")}
 SELECT name, metric, round(value, 6) AS value, status, message FROM checks""",
     name="quality_checks",
 )
@@ -91,7 +91,7 @@ def snapshot_quality_checks(spark, folder):
 
 
 @query(
-    f"""{_quality_sql("TIMESTAMP '2024-01-20'")}
+    f"""{quality_sql("TIMESTAMP '2024-01-20'")}
 SELECT name || ': ' || message AS problem FROM checks WHERE status = 'alert'""",
     name="quality_problems",
 )
@@ -181,17 +181,29 @@ FROM shares JOIN e USING (feature_name)"""
 def drift_reference_sliced(spark, folder):
     """The same kind of distribution with ranks added up over about ten slices of the values."""
     values = cut(daily_values(from_events(spark, folder)))
-    return _exploded(reference_distribution(values, slice_rows=max(1, values.count() // 10)))
+    return _exploded(reference_distribution(values, slices=10))
 
 
-_PSI_SQL = f"""{EVENT_DAYS}, {LONG_SQL},
-before AS (SELECT * FROM long WHERE event_timestamp <= TIMESTAMP '2024-01-10'),
-today AS (SELECT * FROM long WHERE event_timestamp = TIMESTAMP '2024-01-25'),
+def psi_sql(before: str, today: str) -> str:
+    """The index of the values `long` at some moments against those at others (conditions)."""
+    return f"""
+before AS (SELECT * FROM long WHERE {before}),
+today AS (SELECT * FROM long WHERE {today}),
 {_edges_sql("before")}, {_shares_sql("old", "before")}, {_shares_sql("new", "today")},
 psi AS (SELECT feature_name,
         sum((greatest(new.share, 1e-4) - greatest(old.share, 1e-4))
             * ln(greatest(new.share, 1e-4) / greatest(old.share, 1e-4))) AS psi
-        FROM old JOIN new USING (feature_name, bin) GROUP BY feature_name)"""
+        FROM old JOIN new USING (feature_name, bin) GROUP BY feature_name),
+drift AS (SELECT feature_name AS name, 'psi' AS metric, psi AS value,
+       CASE WHEN psi >= 0.25 THEN 'alert' WHEN psi >= 0.1 THEN 'warning' ELSE 'ok' END AS status,
+       format('PSI {{:.3f}} against the model''s training data '
+              '(warning from 0.1, alert from 0.25)', psi) AS message
+       FROM psi)"""
+
+
+_PSI_SQL = f"""{EVENT_DAYS}, {LONG_SQL}, {psi_sql(
+    "event_timestamp <= TIMESTAMP '2024-01-10'", "event_timestamp = TIMESTAMP '2024-01-25'"
+)}"""
 
 
 def _reference_and_today(spark, folder):
@@ -208,11 +220,7 @@ def drift_psi(spark, folder):
 
 
 @query(
-    f"""{_PSI_SQL} SELECT feature_name AS name, 'psi' AS metric, round(psi, 6) AS value,
-       CASE WHEN psi >= 0.25 THEN 'alert' WHEN psi >= 0.1 THEN 'warning' ELSE 'ok' END AS status,
-       format('PSI {{:.3f}} against the model''s training data '
-              '(warning from 0.1, alert from 0.25)', psi) AS message
-FROM psi""",
+    f"""{_PSI_SQL} SELECT name, metric, round(value, 6) AS value, status, message FROM drift""",
     name="drift_checks",
 )
 def snapshot_drift_checks(spark, folder):
@@ -222,7 +230,7 @@ def snapshot_drift_checks(spark, folder):
 
 _LOG_DAYS = [midnight(AS_OF.replace(day=day).date()) for day in (5, 12, 20, 26)]
 _LOG_MOMENTS = ", ".join(f"TIMESTAMP '{day:%Y-%m-%d}'" for day in _LOG_DAYS)
-_LOG_SQL = f"""{_quality_sql(_LOG_MOMENTS)},
+_LOG_SQL = f"""{quality_sql(_LOG_MOMENTS)},
 latest AS (SELECT name, metric, max(event_timestamp) AS snapshot_at,
                   arg_max_null(value, event_timestamp) AS value,
                   arg_max(status, event_timestamp) AS status,
@@ -235,8 +243,11 @@ by_name AS (SELECT name, max(CASE status WHEN 'alert' THEN 2 WHEN 'warning' THEN
 
 def _log(spark, folder) -> DataFrame:
     """The quality checks of several days, as the monitor log holds them."""
+    definitions = definitions_frame(spark, DEFINITIONS)
+    values = cut(daily_values(from_events(spark, folder), _LOG_DAYS))
     days = [
-        _snapshot_checks(spark, folder, day).withColumn("snapshot_at", F.lit(day))
+        quality_checks(definitions, values.where(F.col("event_timestamp") == F.lit(day)), day)
+        .withColumn("snapshot_at", F.lit(day))
         for day in _LOG_DAYS
     ]
     return reduce(DataFrame.unionByName, days).withColumn("kind", F.lit("feature"))

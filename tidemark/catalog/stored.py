@@ -17,6 +17,8 @@ from tidemark.catalog.base import (
     work_folder,
 )
 from tidemark.sources.adapters import from_events
+from tidemark.sources.registry import FeatureDefinition, FeatureView
+from tidemark.catalog.monitoring import psi_sql, quality_sql
 from tidemark.plans.compute import backfill, compute_features
 from tidemark.plans.historical import historical_features
 from tidemark.plans.jobs import apply_definitions
@@ -46,10 +48,14 @@ def events_store(spark: SparkSession, folder: str) -> FeatureStore:
     return store
 
 
-@cache
+def own_store(spark: SparkSession, folder: str) -> FeatureStore:
+    """A store like `events_store` for one query alone, which may write to it."""
+    return events_store.__wrapped__(spark, folder)
+
+
 def trained_store(spark: SparkSession, folder: str) -> FeatureStore:
-    """The store with a champion, trained on snapshots of the first half of the month."""
-    store = events_store(spark, folder)
+    """A store of its own with a champion, trained on snapshots of the first half of the month."""
+    store = own_store(spark, folder)
     days = [_day(number) for number in (5, 9, 13, 17)]
     frame = build_training_set(store, days, MODEL_FEATURES, NEXT_3_DAYS)
     train_and_register(store, frame, _day(17))
@@ -77,7 +83,7 @@ FROM long WHERE event_timestamp = TIMESTAMP '2024-01-20' GROUP BY feature_name""
 )
 def recompute_writes_nothing(spark, folder):
     """One day computed again by its SQL: the same rows, and none written a second time."""
-    store = events_store(spark, folder)
+    store = own_store(spark, folder)
     again = compute_features(store, MODEL_VIEW, AS_OF)
     rows = store.values.snapshot(AS_OF, MODEL_VIEW).groupBy("view_name", "feature_name")
     return rows.agg(F.count(F.lit(1)).alias("n")).withColumn(
@@ -127,7 +133,7 @@ def training_set_stored(spark, folder):
 FROM f WHERE event_timestamp = TIMESTAMP '2024-01-20'"""
 )
 def published_rows(spark, folder):
-    store = events_store(spark, folder)
+    store = own_store(spark, folder)
     materialize(store, MODEL_VIEW, AS_OF, force=True)
     return published_wide(store, MODEL_VIEW)
 
@@ -138,7 +144,7 @@ FROM f WHERE event_timestamp = TIMESTAMP '2024-01-20'"""
 )
 def online_offline_parity(spark, folder):
     """Published values against the point-in-time join at the same moment."""
-    store = events_store(spark, folder)
+    store = own_store(spark, folder)
     entities = materialize(store, MODEL_VIEW, AS_OF, force=True)
     differences = parity_differences(store, MODEL_VIEW)
     return differences.agg(
@@ -147,32 +153,75 @@ def online_offline_parity(spark, folder):
     )
 
 
-@query(name="retrain_reasons")
+_TRAINED_ON = """event_timestamp IN (TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-09',
+                                     TIMESTAMP '2024-01-13')"""
+_MONITORED = "TIMESTAMP '2024-01-25'"
+_DRIFT = psi_sql(_TRAINED_ON, f"event_timestamp = {_MONITORED}")
+_REGISTERED = """
+d AS (SELECT * FROM (VALUES ('order_count_30d', 0.0, NULL::DOUBLE, 0.01),
+      ('avg_order_value_30d', 0.0, NULL, 1.0), ('days_since_last_order', 0.0, NULL, 1.0),
+      ('view_count_7d', 0.0, NULL, 0.01)) t(feature_name, expected_min, expected_max, null_threshold))"""
+_MONITORED_SQL = f"{quality_sql(_MONITORED, _REGISTERED)}, {_DRIFT}"
+
+
+@query(
+    f"""{EVENT_DAYS}, {LONG_SQL}, {_DRIFT}
+SELECT name || ' has drifted: ' || message AS reason FROM drift WHERE status = 'alert'""",
+    name="retrain_reasons",
+)
 def retrain_reasons_found(spark, folder):
+    """Why the model should be retrained because of its inputs."""
     reasons = retrain_reasons(trained_store(spark, folder), _day(25), NEXT_3_DAYS)
-    return spark.createDataFrame([(reason,) for reason in reasons], "reason string")
+    drifted = [(reason,) for reason in reasons if " has drifted: " in reason]
+    return spark.createDataFrame(drifted, "reason string")
 
 
-@query(name="performance_check")
+@query(
+    f"""{EVENT_DAYS} SELECT 'purchase_model' AS name, 'roc_auc' AS metric, TRUE AS graded,
+       ' on the snapshot of 2024-01-22' AS snapshot""",
+    name="performance_check",
+)
 def champion_performance(spark, folder):
+    """The check of the champion; `graded`: its status follows from both ROC AUCs."""
     store = trained_store(spark, folder)
-    return performance_check(store, store.models.champion(MODEL_NAME), _day(25), NEXT_3_DAYS)
+    champion = store.models.champion(MODEL_NAME)
+    found = performance_check(store, champion, _day(25), NEXT_3_DAYS)
+    fell = F.lit(champion.test_roc_auc) - F.col("value") > 0.03
+    return found.select(
+        "name",
+        "metric",
+        (fell == (F.col("status") == "alert")).alias("graded"),
+        F.regexp_extract("message", r"^ROC AUC [0-9.]+([^,]*)", 1).alias("snapshot"),
+    )
 
 
-@query()
+@query(
+    f"""{_MONITORED_SQL} SELECT name, metric, round(value, 6) AS value, status, message FROM checks
+UNION ALL SELECT name, metric, round(value, 6), status, message FROM drift"""
+)
 def monitored_snapshot(spark, folder):
     return monitor_features(trained_store(spark, folder), MODEL_VIEW, _day(25))[0]
 
 
-@query()
+@query(
+    f"""{_MONITORED_SQL},
+every AS (SELECT name, status FROM checks UNION ALL SELECT name, status FROM drift
+          UNION ALL SELECT feature_name, 'ok' FROM d),
+code AS (SELECT name, count(*) AS n_checks, max(CASE status WHEN 'alert' THEN 2 WHEN 'warning' THEN 1
+                ELSE 0 END) AS code FROM every GROUP BY name)
+SELECT ['ok', 'warning', 'alert'][max(code) OVER () + 1] AS overall, name,
+       ['ok', 'warning', 'alert'][code + 1] AS status, n_checks FROM code"""
+)
 def status_document(spark, folder):
-    """The overall status with its checks per feature and model, one row per name."""
+    """The overall status with its checks per feature, one row per name."""
     store = trained_store(spark, folder)
     monitor_features(store, MODEL_VIEW, _day(25))
     document = monitor_status(store, _day(26))
     return document.select(
         F.col("status").alias("overall"), F.explode("features").alias("name", "summary")
-    ).select("overall", "name", "summary.status", F.size("summary.checks").alias("n_checks"))
+    ).select(
+        "overall", "name", "summary.status", F.size("summary.checks").cast("bigint").alias("n_checks")
+    )
 
 
 def _requests(spark, folder):
@@ -180,15 +229,51 @@ def _requests(spark, folder):
     return events.select(F.col("event_id").alias("row_id"), F.col("user_id").alias("entity_id"))
 
 
-@query()
+_SCORED_SQL = f"""{EVENT_DAYS} SELECT event_id AS row_id, user_id AS entity_id,
+       f.event_timestamp AS features_as_of, CAST(order_count_30d AS DOUBLE) AS order_count_30d,
+       round(avg_order_value_30d, 6) AS avg_order_value_30d,
+       round(days_since_last_order, 6) AS days_since_last_order,
+       CAST(view_count_7d AS DOUBLE) AS view_count_7d, TRUE AS scored
+FROM events JOIN f ON f.entity_id = events.user_id
+     AND f.event_timestamp = TIMESTAMP '2024-01-20'"""
+
+
+def _logged(store, spark, folder, job):
+    """What a job logged: the requests that were scored and the features that were used.
+
+    The log has no request ids, so every logged row is set beside the requests of its entity.
+    """
+    logged = store.predictions.read().where(F.col("job") == job)
+    per_entity = logged.groupBy("entity_id").agg(
+        F.first("features_as_of").alias("features_as_of"),
+        F.first(F.to_json("features")).alias("features"),
+        F.count(F.lit(1)).alias("n_logged"),
+        F.min(F.col("probability").between(0, 1)).alias("in_range"),
+    )
+    asked = _requests(spark, folder)
+    n_asked = asked.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n_asked"))
+    values = F.from_json("features", "map<string,double>")
+    return (
+        asked.join(per_entity.join(n_asked, "entity_id"), "entity_id")
+        .select(
+            "row_id",
+            "entity_id",
+            "features_as_of",
+            *[F.try_element_at(values, F.lit(name)).alias(name) for name in MODEL_FEATURES],
+            (F.col("in_range") & (F.col("n_logged") == F.col("n_asked"))).alias("scored"),
+        )
+    )
+
+
+@query(_SCORED_SQL)
 def score_batch(spark, folder):
     """Every event as a scoring request."""
     store = trained_store(spark, folder)
     score_and_log(store, _requests(spark, folder), "batch", 0, AS_OF)
-    return store.predictions.read().where("job = 'batch'").drop("job", "batch", "features")
+    return _logged(store, spark, folder, "batch")
 
 
-@query(name="score_stream")
+@query(_SCORED_SQL, name="score_stream")
 def score_as_stream(spark, folder):
     """The same requests read as a stream and logged batch by batch."""
     store = trained_store(spark, folder)
@@ -197,7 +282,81 @@ def score_as_stream(spark, folder):
     schema = spark.read.parquet(source).schema
     requests = spark.readStream.schema(schema).parquet(source)
     score_stream(store, requests, "stream", f"{work_folder(spark)}/progress").awaitTermination()
-    return store.predictions.read().where("job = 'stream'").drop(
-        "job", "batch", "features", "predicted_at"
+    return _logged(store, spark, folder, "stream")
+
+
+_ACTIVITY_SQL = """
+SELECT u.user_id AS entity_id, s.as_of AS event_timestamp,
+       count(o.order_id) AS orders_so_far, max(o.total_amount) AS largest_order
+FROM snapshots s JOIN users u ON u.signup_ts < s.as_of
+LEFT JOIN orders o ON o.user_id = u.user_id AND o.order_ts < s.as_of
+GROUP BY u.user_id, s.as_of"""
+_ACTIVITY = """
+act AS (SELECT u.user_id AS entity_id, s.event_timestamp, count(o.order_id) AS orders_so_far,
+               max(o.total_amount) AS largest_order
+        FROM s JOIN u ON u.signup_ts < s.event_timestamp
+        LEFT JOIN o ON o.user_id = u.user_id AND o.order_ts < s.event_timestamp
+        GROUP BY ALL)"""
+
+
+def _activity_store(spark, folder):
+    """A store with a second view, computed for all days in one pass over `snapshots`."""
+    store = own_store(spark, folder)
+    ttl = timedelta(days=1)
+    store.registry.apply(
+        [FeatureView("activity", "user", ttl=ttl, source_sql=_ACTIVITY_SQL)],
+        [FeatureDefinition(name, "activity") for name in ("orders_so_far", "largest_order")],
     )
+    backfill(store, "activity", FIRST, LAST, now=AS_OF)
+    return store
+
+
+@query(
+    f"""{EVENT_DAYS}, {_ACTIVITY} SELECT entity_id, event_timestamp, t.feature_name, t.value
+FROM act, LATERAL (VALUES ('orders_so_far', CAST(orders_so_far AS DOUBLE)),
+                          ('largest_order', CAST(largest_order AS DOUBLE))) t(feature_name, value)"""
+)
+def backfill_custom_view(spark, folder):
+    """All days of a caller's own view, read again from the store."""
+    return _activity_store(spark, folder).values.read("activity").select(
+        "entity_id", "event_timestamp", "feature_name", "value"
+    )
+
 
+@query(
+    f"""{EVENT_DAYS}, {_ACTIVITY}, req AS (SELECT event_id AS row_id, user_id AS entity_id,
+       ts AS event_timestamp FROM events WHERE event_type = 'click')
+SELECT req.row_id, req.entity_id, req.event_timestamp,
+       CAST(act.largest_order AS DOUBLE) AS largest_order,
+       CAST(f.view_count_7d AS DOUBLE) AS view_count_7d,
+       CAST(act.orders_so_far AS DOUBLE) AS orders_so_far
+FROM req LEFT JOIN f ON f.entity_id = req.entity_id
+     AND f.event_timestamp = date_trunc('day', req.event_timestamp)
+LEFT JOIN act ON act.entity_id = req.entity_id
+     AND act.event_timestamp = date_trunc('day', req.event_timestamp)
+     AND act.event_timestamp >= req.event_timestamp - INTERVAL 1 DAY"""
+)
+def historical_two_views(spark, folder):
+    """Features of two views with validities of one and two days in one request."""
+    store = _activity_store(spark, folder)
+    clicks = event_requests(spark, folder, ["click"])
+    names = ["largest_order", "view_count_7d", "orders_so_far"]
+    return historical_features(store, clicks, names)
+
+
+@query(
+    f"""{EVENT_DAYS} SELECT attempt, written, TIMESTAMP '2024-01-20' AS until,
+       (SELECT count(*) FROM f WHERE event_timestamp = TIMESTAMP '2024-01-20') AS entities
+FROM (VALUES ('forward', TRUE), ('back', FALSE), ('again', TRUE)) t(attempt, written)"""
+)
+def published_forward_only(spark, folder):
+    """Publishing a day, an earlier one, which is not written, and the same day again."""
+    store = own_store(spark, folder)
+    tried = [("forward", AS_OF), ("back", _day(12)), ("again", AS_OF)]
+    rows = []
+    for attempt, at in tried:
+        written = materialize(store, MODEL_VIEW, at) is not None
+        until = store.online.until(MODEL_VIEW)
+        rows.append((attempt, written, until, store.online.read(MODEL_VIEW).count()))
+    schema = "attempt string, written boolean, until timestamp, entities bigint"
+    return spark.createDataFrame(rows, schema)

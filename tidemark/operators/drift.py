@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import ALERT, OK, WARNING, null_if_nan
-from tidemark.operators.hot import HOT_ROWS, running_totals
+from tidemark.operators.hot import running_totals
 from tidemark.session import cut
 
 # The conventional limits, and the share an empty bin counts as.
@@ -36,7 +36,7 @@ def value_counts(values: DataFrame) -> DataFrame:
     return cut(counted)
 
 
-def quantiles(counts: DataFrame, bins: int, slice_rows: int = HOT_ROWS) -> DataFrame:
+def quantiles(counts: DataFrame, bins: int, slices: int | None = None) -> DataFrame:
     """`feature_name, k, quantile`: the inner quantiles that cut the values into `bins` parts.
 
     Inclusive quantiles: with m + 1 values the k-th lies at rank k * m / bins, interpolated between
@@ -44,7 +44,7 @@ def quantiles(counts: DataFrame, bins: int, slice_rows: int = HOT_ROWS) -> DataF
     Features with fewer than two values have none.
     """
     present = counts.where(F.col("value").isNotNull())
-    up_to = running_totals(present, ["feature_name"], "value", {"upto": "n"}, slice_rows)
+    up_to = running_totals(present, ["feature_name"], "value", {"upto": "n"}, slices)
     targets = (
         present.groupBy("feature_name")
         .agg(F.sum("n").alias("size"))
@@ -75,10 +75,10 @@ def quantiles(counts: DataFrame, bins: int, slice_rows: int = HOT_ROWS) -> DataF
     return neighbours.select("feature_name", "k", between.alias("quantile"))
 
 
-def quantile_edges(counts: DataFrame, bins: int = 10, slice_rows: int = HOT_ROWS) -> DataFrame:
+def quantile_edges(counts: DataFrame, bins: int = 10, slices: int | None = None) -> DataFrame:
     """`feature_name, edges`: the quantiles of each feature in order, repeated ones merged."""
     return (
-        quantiles(counts, bins, slice_rows)
+        quantiles(counts, bins, slices)
         .groupBy("feature_name")
         .agg(F.array_sort(F.collect_set("quantile")).alias("edges"))
     )
@@ -118,11 +118,11 @@ def bin_shares(counts: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def reference_distribution(
-    values: DataFrame, bins: int = 10, slice_rows: int = HOT_ROWS
+    values: DataFrame, bins: int = 10, slices: int | None = None
 ) -> DataFrame:
     """`feature_name, edges, shares` of long values, all features in one job."""
     counts = value_counts(values)
-    edges = quantile_edges(counts, bins, slice_rows)
+    edges = quantile_edges(counts, bins, slices)
     named = counts.select("feature_name").distinct().join(edges, "feature_name", "left")
     every = named.withColumn(
         "edges", F.coalesce("edges", F.array().cast("array<double>"))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.drift import quantiles, value_counts
-from tidemark.operators.hot import HOT_ROWS
 from tidemark.operators.reshape import to_long
 
 
@@ -34,7 +33,7 @@ def means_by_label(training: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def describe(
-    training: DataFrame, columns: Sequence[str], slice_rows: int = HOT_ROWS
+    training: DataFrame, columns: Sequence[str], slices: int | None = None
 ) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
     counts = value_counts(to_long(training, columns, []))
@@ -54,7 +53,7 @@ def describe(
         .agg(F.sum(n * (value - F.col("mean")) * (value - F.col("mean"))).alias("squares"))
     )
     quartiles = (
-        quantiles(counts, 4, slice_rows)
+        quantiles(counts, 4, slices)
         .groupBy("feature_name")
         .agg(
             *[

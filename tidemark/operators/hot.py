@@ -8,7 +8,6 @@ kept. N rows hold fewer than N / hot_rows such keys, which bounds what is collec
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -69,23 +68,18 @@ def running_totals(
     group: Sequence[str],
     order: str,
     totals: dict[str, str],
-    slice_rows: int = HOT_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Running sums within each group, in ascending order, the own row included.
 
-    `totals` maps new columns to the columns they add up. `rows` is read several times, so pass a
-    written frame. Beyond `slice_rows` rows the order is cut into slices: each slice is added up on
-    its own and starts from the total of the slices before it (one small row per slice and group).
+    `totals` maps new columns to the columns they add up. The order of all rows is cut into about
+    equal slices, as many as there are shuffle partitions unless `slices` says otherwise: each is
+    added up on its own and starts from the total of the slices before it. A slice ends few groups,
+    so these starts number slices + groups at most; they are small next to the rows and joined as
+    Spark sees fit.
     """
-    n_rows = rows.count()
-    up_to_here = Window.partitionBy(*group).orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    if n_rows <= slice_rows:
-        return rows.select(
-            "*", *[F.sum(column).over(up_to_here).alias(name) for name, column in totals.items()]
-        )
-    ranged = sliced(rows, [*group, order], math.ceil(n_rows / slice_rows))
+    slices = slices or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = sliced(rows, [*group, order], slices)
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -107,7 +101,7 @@ def running_totals(
     summed = ranged.select(
         "*", *[F.sum(column).over(in_slice).alias(f"_in_{name}") for name, column in totals.items()]
     )
-    return summed.join(F.broadcast(starts), ["_slice", *group]).select(
+    return summed.join(starts, ["_slice", *group]).select(
         *rows.columns,
         *[(F.col(f"_start_{name}") + F.col(f"_in_{name}")).alias(name) for name in totals],
     )

@@ -1,7 +1,8 @@
 """Keys, references and value rules of the raw tables, as check rows.
 
 Parquet enforces no constraints, so a load is checked afterwards. Every check counts the rows that
-break its rule; more than none is an alert.
+break its rule; more than none is an alert. Each table is read once: its rows are grouped by its
+key and by each of its references in one pass, and all checks are made on these counts.
 """
 
 from __future__ import annotations
@@ -13,9 +14,69 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import ALERT, OK, thousands
-
-
-def _as_check(counted: DataFrame, table: str, metric: Column, what: str) -> DataFrame:
+from tidemark.session import cut
+
+
+class Counted:
+    """A table's rows counted per key and per value of each reference, with its broken rules."""
+
+    def __init__(
+        self,
+        frame: DataFrame,
+        name: str,
+        keys: Sequence[str],
+        references: Sequence[str] = (),
+        rules: Mapping[str, Column] | None = None,
+        totals: Mapping[str, Column] | None = None,
+    ):
+        self.name, self.keys, self.rules = name, list(keys), list(rules or {})
+        self.sets = [self.keys, *[[column] for column in references if [column] != self.keys]]
+        self.columns = list(dict.fromkeys([*self.keys, *references]))
+        self.rows = cut(
+            frame.groupingSets(self.sets, *self.columns).agg(
+                F.grouping_id().alias("set"),
+                F.count(F.lit(1)).alias("n"),
+                *[F.count_if(~rule).alias(f"broken_{i}") for i, rule in enumerate((rules or {}).values())],
+                *[column.alias(total) for total, column in (totals or {}).items()],
+            )
+        )
+
+    def by(self, *keys: str) -> DataFrame:
+        """The counts of one grouping."""
+        left_out = "".join("01"[column not in keys] for column in self.columns)
+        return self.rows.where(F.col("set") == int(left_out, 2))
+
+    def key_and_rules(self) -> DataFrame:
+        """Rows beyond the first of their key, and rows that break each rule.
+
+        As in SQL, a CHECK rule passes when it is null; write not-null rules with `isNotNull()`.
+        """
+        names = ["primary_key", *self.rules]
+        counted = self.by(*self.keys).agg(
+            F.sum(F.col("n") - 1).alias(names[0]),
+            *[F.sum(f"broken_{i}").alias(rule) for i, rule in enumerate(self.rules)],
+        )
+        what = F.when(
+            F.col("metric") == names[0], f"rows repeat a key ({', '.join(self.keys)})"
+        ).otherwise("rows break the rule")
+        return _as_check(counted.unpivot([], names, "metric", "n"), self.name, F.col("metric"), what)
+
+    def refers_to(self, column: str, parent: Counted) -> DataFrame:
+        """Rows whose reference is no key of the parent table. Null references pass.
+
+        A reference that fills a large part of the table joins as a single row.
+        """
+        parents = parent.by(*parent.keys).select(F.col(parent.keys[0]).alias(column))
+        orphans = self.by(column).dropna(subset=[column]).join(parents, column, "left_anti")
+        return _as_check(
+            orphans.agg(F.sum("n").alias("n")),
+            self.name,
+            F.lit(f"foreign_key_{column}"),
+            F.lit(f"rows refer to a missing {column}"),
+        )
+
+
+def _as_check(counted: DataFrame, table: str, metric: Column, what: Column) -> DataFrame:
     """Turn rows with a count `n` into check rows."""
     count = F.coalesce(F.col("n"), F.lit(0))
     return counted.select(
@@ -23,103 +84,73 @@ def _as_check(counted: DataFrame, table: str, metric: Column, what: str) -> Data
         metric.alias("metric"),
         count.cast("double").alias("value"),
         F.when(count > 0, ALERT).otherwise(OK).alias("status"),
-        F.concat(thousands(count), F.lit(f" {what}")).alias("message"),
+        F.concat(thousands(count), F.lit(" "), what).alias("message"),
     )
 
 
-def unique_key(frame: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
-    """Rows beyond the first of their key."""
-    extra = frame.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("extra"))
-    return _as_check(
-        extra.agg(F.sum("extra").alias("n")),
-        table,
-        F.lit("primary_key"),
-        f"rows repeat a key ({', '.join(keys)})",
-    )
-
-
-def has_parent(
-    frame: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str
-) -> DataFrame:
-    """Rows whose reference is not in the parent table. Null references pass.
-
-    The references are counted per value first, so one that fills a large part of the table joins
-    as a single row.
-    """
-    counts = frame.dropna(subset=[column]).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-    parents = parent.select(F.col(parent_column).alias(column)).distinct()
-    orphans = counts.join(parents, column, "left_anti")
-    return _as_check(
-        orphans.agg(F.sum("rows").alias("n")),
-        table,
-        F.lit(f"foreign_key_{column}"),
-        f"rows refer to a missing {column}",
-    )
-
-
-def row_rules(frame: DataFrame, table: str, rules: Mapping[str, Column]) -> DataFrame:
-    """One check per rule, all counted in a single pass: rows where the rule is not true.
-
-    As in SQL, a CHECK rule passes when it is null; write not-null rules with `isNotNull()`.
-    """
-    broken = frame.agg(*[F.count_if(~rule).alias(name) for name, rule in rules.items()])
-    long = broken.unpivot([], list(rules), "metric", "n")
-    return _as_check(long, table, F.col("metric"), "rows break the rule")
-
-
 def not_null(frame: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
     return {f"not_null_{column}": frame[column].isNotNull() for column in columns}
 
 
 def commerce_checks(commerce) -> DataFrame:
     """Every key, reference, not-null and value rule of the raw tables that are present."""
-    users, orders, views = commerce.users, commerce.orders, commerce.product_views
-    checks = [
-        unique_key(users, "users", ["user_id"]),
-        row_rules(users, "users", not_null(users, ["user_id", "signup_ts"])),
-        unique_key(orders, "orders", ["order_id"]),
-        has_parent(orders, "orders", "user_id", users, "user_id"),
-        row_rules(orders, "orders", not_null(orders, orders.columns)),
-        unique_key(views, "product_views", ["view_id"]),
-        has_parent(views, "product_views", "user_id", users, "user_id"),
-        row_rules(views, "product_views", not_null(views, views.columns)),
-    ]
-    if commerce.products is not None:
-        products = commerce.products
-        checks += [
-            unique_key(products, "products", ["product_id"]),
-            row_rules(products, "products", not_null(products, products.columns)),
-            has_parent(views, "product_views", "product_id", products, "product_id"),
-        ]
+    raw_users, raw_orders, raw_views = commerce.users, commerce.orders, commerce.product_views
+    users = Counted(
+        raw_users, "users", ["user_id"], rules=not_null(raw_users, ["user_id", "signup_ts"])
+    )
+    orders = Counted(
+        raw_orders,
+        "orders",
+        ["order_id"],
+        ["user_id"],
+        not_null(raw_orders, raw_orders.columns),
+        {"total": F.max("total_amount")},
+    )
+    with_products = commerce.products is not None
+    product = ["product_id"] if with_products else []
+    views = Counted(
+        raw_views,
+        "product_views",
+        ["view_id"],
+        ["user_id", *product],
+        not_null(raw_views, raw_views.columns),
+    )
+    tables = [users, orders, views]
+    checks = [orders.refers_to("user_id", users), views.refers_to("user_id", users)]
+    products = None
+    if with_products:
+        found = commerce.products
+        products = Counted(
+            found, "products", ["product_id"], rules=not_null(found, found.columns)
+        )
+        tables.append(products)
+        checks.append(views.refers_to("product_id", products))
     if commerce.order_items is not None:
-        items = commerce.order_items
-        rules = not_null(items, items.columns) | {"check_quantity": F.col("quantity") > 0}
-        checks += [
-            unique_key(items, "order_items", ["order_id", "product_id"]),
-            has_parent(items, "order_items", "order_id", orders, "order_id"),
-            row_rules(items, "order_items", rules),
-            order_totals(orders, items),
-        ]
-        if commerce.products is not None:
-            checks.append(
-                has_parent(items, "order_items", "product_id", commerce.products, "product_id")
-            )
+        found = commerce.order_items
+        items = Counted(
+            found,
+            "order_items",
+            ["order_id", "product_id"],
+            ["order_id", *product],
+            not_null(found, found.columns) | {"check_quantity": F.col("quantity") > 0},
+            {"lines": F.sum(F.col("unit_price") * F.col("quantity"))},
+        )
+        tables.append(items)
+        checks += [items.refers_to("order_id", orders), order_totals(orders, items)]
+        if products is not None:
+            checks.append(items.refers_to("product_id", products))
+    checks += [table.key_and_rules() for table in tables]
     return reduce(DataFrame.unionByName, checks)
 
 
-def order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
+def order_totals(orders: Counted, items: Counted) -> DataFrame:
     """Orders whose amount is not the sum of price times quantity over their items."""
-    line = F.col("unit_price") * F.col("quantity")
-    both = (
-        orders.select("order_id", "total_amount")
-        .unionByName(items.select("order_id", line.alias("line")), allowMissingColumns=True)
-        .groupBy("order_id")
-        .agg(F.max("total_amount").alias("total"), F.sum("line").alias("lines"))
-    )
+    lines = items.by("order_id").select("order_id", "lines")
+    both = orders.by("order_id").select("order_id", "total").join(lines, "order_id", "left")
     wrong = F.col("total").isNotNull() & ~F.col("total").eqNullSafe(F.col("lines"))
     return _as_check(
         both.agg(F.count_if(wrong).alias("n")),
         "orders",
         F.lit("item_totals"),
-        "orders differ from the sum of their items",
+        F.lit("orders differ from the sum of their items"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.hot import HOT_ROWS, running_totals
+from tidemark.operators.hot import running_totals
 from tidemark.session import cut
 
 
@@ -42,9 +42,9 @@ def score_counts(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def roc_auc(counts: DataFrame, by: Sequence[str] = (), slice_rows: int = HOT_ROWS) -> DataFrame:
+def roc_auc(counts: DataFrame, by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
     """The chance that a positive scores above a negative, ties counting half; column `roc_auc`."""
-    ranked = running_totals(counts, by, "score", {"negatives_upto": "negatives"}, slice_rows)
+    ranked = running_totals(counts, by, "score", {"negatives_upto": "negatives"}, slices)
     positives, negatives = F.col("positives").cast("double"), F.col("negatives").cast("double")
     below = F.col("negatives_upto") - negatives / 2
     return ranked.groupBy(*by).agg(
@@ -55,7 +55,7 @@ def roc_auc(counts: DataFrame, by: Sequence[str] = (), slice_rows: int = HOT_ROW
 
 
 def precision_at_recall(
-    counts: DataFrame, wanted_recall: float, by: Sequence[str] = (), slice_rows: int = HOT_ROWS
+    counts: DataFrame, wanted_recall: float, by: Sequence[str] = (), slices: int | None = None
 ) -> DataFrame:
     """The best precision of any cut-off whose recall is at least the wanted one.
 
@@ -65,7 +65,7 @@ def precision_at_recall(
     group = list(by) or ["_all"]
     downwards = counts.withColumns({"_all": F.lit(0), "_from_top": -F.col("score")})
     from_top = running_totals(
-        downwards, group, "_from_top", {"hits": "positives", "misses": "negatives"}, slice_rows
+        downwards, group, "_from_top", {"hits": "positives", "misses": "negatives"}, slices
     )
     totals = downwards.groupBy(*group).agg(F.sum("positives").alias("all_positives"))
     recall = F.col("hits") / F.col("all_positives")
@@ -73,7 +73,7 @@ def precision_at_recall(
     best = F.max(F.when(recall >= wanted_recall, precision))
     # Recall 0 is also reached by predicting nobody, at precision 1
     return (
-        from_top.join(F.broadcast(totals), group)
+        from_top.join(totals, group)
         .groupBy(*by)
         .agg((F.lit(1.0) if wanted_recall <= 0 else best).alias("precision"))
     )

@@ -8,7 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this many (entity, day) pairs the values are no longer filtered by a broadcast.
+# Up to this many (entity, day) pairs are broadcast; more are shuffled, with the values.
 BROADCAST_PAIRS = 1_000_000
 DAY = timedelta(days=1)
 
@@ -18,15 +18,20 @@ def _days_back(ttl: timedelta) -> int:
     return -(-ttl // DAY)
 
 
-def request_days(requests: DataFrame) -> dict[date, int]:
-    """The days of the requests in order, each with about how many entities ask on it.
+def request_days(requests: DataFrame) -> tuple[dict[date, int], int]:
+    """The days of the requests in order, each with about how many entities ask on it, and how
+    many requests there are.
 
     One small aggregation; at most one row per calendar day comes back.
     """
     day = F.to_date("event_timestamp").alias("day")
-    per_day = requests.groupBy(day).agg(F.approx_count_distinct("entity_id").alias("entities"))
-    found = per_day.where(F.col("day").isNotNull()).collect()
-    return {row["day"]: row["entities"] for row in sorted(found)}
+    found = (
+        requests.groupBy(day)
+        .agg(F.approx_count_distinct("entity_id").alias("entities"), F.count(F.lit(1)).alias("n"))
+        .collect()
+    )
+    days = {row["day"]: row["entities"] for row in found if row["day"] is not None}
+    return dict(sorted(days.items())), sum(row["n"] for row in found)
 
 
 def visible_days(days: Iterable[date], ttl: timedelta | None) -> list[date] | None:
@@ -63,20 +68,18 @@ def near_requests(
 ) -> DataFrame:
     """Keep the values of requested entities (within reach of a requested day, with a ttl).
 
-    `days` is the result of `request_days`. The requested (entity, day) pairs are only broadcast
-    up to about `limit` of them; with more the values pass unfiltered, which changes the work but
-    not the result. It is a semi join: a value is kept once, however many requests could see it.
+    `days` comes from `request_days`. It is a semi join: a value is kept once, however many
+    requests could see it. The requested (entity, day) pairs are broadcast up to about `limit`.
     """
     reach = 1 if ttl is None else _days_back(ttl) + 1
-    if sum(days.values()) * reach > limit:
-        return values
     day = F.to_date("event_timestamp")
     if ttl is None:
-        wanted = requests.select("entity_id").distinct()
-        return values.join(F.broadcast(wanted), "entity_id", "left_semi").select(*values.columns)
-    asked = F.sequence(F.date_sub(day, reach - 1), day)
-    wanted = requests.select("entity_id", F.explode(asked).alias("_day")).distinct()
-    near = values.withColumn("_day", day).join(
-        F.broadcast(wanted), ["entity_id", "_day"], "left_semi"
-    )
+        keys, wanted = ["entity_id"], requests.select("entity_id").distinct()
+    else:
+        asked = F.sequence(F.date_sub(day, reach - 1), day)
+        keys = ["entity_id", "_day"]
+        wanted = requests.select("entity_id", F.explode(asked).alias("_day")).distinct()
+    if sum(days.values()) * reach <= limit:
+        wanted = F.broadcast(wanted)
+    near = values.withColumn("_day", day).join(wanted, keys, "left_semi")
     return near.select(*values.columns)

@@ -2,53 +2,87 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
-from datetime import UTC, date, datetime
+from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.snapshots import daily_snapshots
-from tidemark.functions.time import midnight, moment
+from tidemark.functions.time import moment
 from tidemark.operators.reshape import check_columns, to_long
 from tidemark.plans import purchase_stats
 from tidemark.plans.store import FeatureStore
 from tidemark.sources.adapters import Commerce
 
+# The table of moments that SQL reads to answer for all of them at once.
+SNAPSHOTS = "snapshots"
+# Moments of a SQL view without that table that are computed in one job.
+UNION_MOMENTS = 31
+
 
 @dataclass(frozen=True)
 class FrameView:
-    """A view as DataFrame functions, used in place of its SQL while the registry has that SQL.
+    """A view as DataFrame functions.
 
-    `at_once` computes many midnights in one pass; both read only the days they need.
+    `at` returns `entity_id` and the features at a moment; `at_once` also `event_timestamp`, for
+    many midnights in one pass, and without it `at` is used for each. With `sql` the functions stand
+    for that SQL and are used while the registry has it; without, the view needs none.
     """
 
-    sql: str
     at: Callable[[Commerce, datetime], DataFrame]
-    at_once: Callable[[Commerce, Sequence[datetime]], DataFrame]
+    at_once: Callable[[Commerce, Sequence[datetime]], DataFrame] | None = None
+    sql: str | None = None
 
 
-FRAME_VIEWS = {
-    purchase_stats.VIEW: FrameView(
-        purchase_stats.SQL, purchase_stats.purchase_stats, purchase_stats.purchase_stats_at
-    )
-}
+_FRAME_VIEWS: dict[str, FrameView] = {}
+
+
+def register_frame_view(view_name: str, view: FrameView) -> None:
+    """Compute a view by functions, in this session; the registry holds its name and features."""
+    _FRAME_VIEWS[view_name] = view
+
 
+register_frame_view(
+    purchase_stats.VIEW,
+    FrameView(purchase_stats.purchase_stats, purchase_stats.purchase_stats_at, purchase_stats.SQL),
+)
 
-def frame_view(view_name: str, sql: str) -> FrameView | None:
-    found = FRAME_VIEWS.get(view_name)
+
+def frame_view(view_name: str, sql: str | None) -> FrameView | None:
+    found = _FRAME_VIEWS.get(view_name)
     return found if found is not None and found.sql == sql else None
 
 
+def sql_at(commerce: Commerce, sql: str, moments: Sequence[datetime]) -> DataFrame:
+    """Run SQL over the raw tables for some moments, with the moment as `event_timestamp`.
 
-def view_frame(commerce: Commerce, sql: str, as_of: datetime) -> DataFrame:
-    """Run a view's SQL over the raw tables, its parameter `as_of` bound to the moment."""
-    frames = commerce.present()
+    SQL that reads the table `snapshots` (with the column `as_of`) returns `event_timestamp` itself
+    and runs once for all moments. Other SQL has the parameter `as_of` and runs for each.
+    """
+    frames = dict(commerce.present())
+    spark = frames["users"].sparkSession
+    frames[SNAPSHOTS] = spark.createDataFrame([(moment(at),) for at in moments], "as_of timestamp")
+    # Under names of their own, so that no view of the caller is replaced
+    names = {name: f"{name}_{uuid.uuid4().hex}" for name in frames}
     for name, frame in frames.items():
-        frame.createOrReplaceTempView(name)
-    spark = next(iter(frames.values())).sparkSession
-    return spark.sql(sql, args={"as_of": moment(as_of)})
+        frame.createOrReplaceTempView(names[name])
+    tables = ", ".join(f"{name} AS (SELECT * FROM {own})" for name, own in names.items())
+    whole = f"WITH {tables} SELECT * FROM ({sql})"
+    try:
+        if ":as_of" not in sql:
+            return spark.sql(whole)
+        each = [
+            spark.sql(whole, args={"as_of": at}).withColumn("event_timestamp", F.lit(at))
+            for at in moments
+        ]
+        return reduce(DataFrame.unionByName, each)
+    finally:
+        for own in names.values():
+            spark.catalog.dropTempView(own)
 
 
 def view_values(
@@ -61,11 +95,14 @@ def view_values(
     return long.withColumn("view_name", F.lit(view_name))
 
 
-def _source(store: FeatureStore, view_name: str) -> tuple[str, list[str]]:
+def _features(store: FeatureStore, view_name: str) -> tuple[FrameView | None, str | None, list[str]]:
+    """How a view is computed (functions or SQL), and the features that are in use."""
     view = store.registry.get_view(view_name)
-    if not view.source_sql:
+    built = frame_view(view_name, view.source_sql)
+    if built is None and not view.source_sql:
         raise ValueError(f"Feature view '{view_name}' has no source SQL")
-    return view.source_sql, [f.feature_name for f in store.registry.in_use(view_name)]
+    names = [feature.feature_name for feature in store.registry.in_use(view_name)]
+    return built, view.source_sql, names
 
 
 def compute_features(
@@ -77,11 +114,10 @@ def compute_features(
     Late events are picked up by computing a moment again.
     """
     moment(as_of)
-    sql, features = _source(store, view_name)
-    built, raw = frame_view(view_name, sql), store.raw.read()
-    wide = view_frame(raw, sql, as_of) if built is None else built.at(raw, as_of)
-    values = view_values(wide, view_name, features, as_of)
-    return store.values.upsert(values, now)
+    built, sql, features = _features(store, view_name)
+    raw = store.raw.read()
+    wide = sql_at(raw, sql, [as_of]) if built is None else built.at(raw, as_of)
+    return store.values.upsert(view_values(wide, view_name, features, as_of), now)
 
 
 def backfill(
@@ -89,15 +125,29 @@ def backfill(
 ) -> int:
     """Compute a view at midnight UTC of every day from start to end, inclusive.
 
-    Views with a DataFrame form take one pass over the events; SQL runs day by day.
+    Functions with `at_once` and SQL over `snapshots` take one pass over the events; others are
+    computed for each day, `UNION_MOMENTS` days in a job.
     """
-    sql, features = _source(store, view_name)
-    days = [day.date() for day in daily_snapshots(start, end)]
-    if not days:
-        return 0
-    built = frame_view(view_name, sql)
-    if built is None:
-        return sum(compute_features(store, view_name, midnight(day), now) for day in days)
-    wide = built.at_once(store.raw.read(), [midnight(day) for day in days])
-    values = view_values(wide, view_name, features, F.col("event_timestamp"))
-    return store.values.upsert(values, now)
+    built, sql, features = _features(store, view_name)
+    days = daily_snapshots(start, end)
+    raw, at = store.raw.read(), F.col("event_timestamp")
+    return sum(
+        store.values.upsert(view_values(wide, view_name, features, at), now)
+        for wide in _at_all(raw, built, sql, days)
+    )
+
+
+def _at_all(
+    raw: Commerce, built: FrameView | None, sql: str | None, days: Sequence[datetime]
+) -> Iterable[DataFrame]:
+    one_pass = ":as_of" not in sql if built is None else built.at_once is not None
+    size = len(days) if one_pass else UNION_MOMENTS
+    for first in range(0, len(days), max(size, 1)):
+        part = days[first : first + size]
+        if built is None:
+            yield sql_at(raw, sql, part)
+        elif one_pass:
+            yield built.at_once(raw, part)
+        else:
+            each = [built.at(raw, day).withColumn("event_timestamp", F.lit(day)) for day in part]
+            yield reduce(DataFrame.unionByName, each)

@@ -35,13 +35,20 @@ def apply_definitions(store: FeatureStore) -> None:
 def run_daily(
     store: FeatureStore, view_name: str, as_of: datetime, now: datetime | None = None
 ) -> DailyRun:
-    """Compute, then monitor, validate and publish. Bad values are logged but not published."""
+    """Compute, validate and publish, and monitor whatever the outcome.
+
+    Bad values are logged but not published. Monitoring comes last and stands apart: an error there
+    is raised, but what was valid is published by then.
+    """
     written = compute_features(store, view_name, as_of, now)
-    _, note = monitor_features(store, view_name, as_of, now)
-    found = validate_snapshot(store, view_name, as_of)
-    if found:
-        raise InvalidSnapshotError("; ".join(found))
-    return DailyRun(written, materialize(store, view_name, as_of), note)
+    try:
+        found = validate_snapshot(store, view_name, as_of)
+        if found:
+            raise InvalidSnapshotError("; ".join(found))
+        published = materialize(store, view_name, as_of)
+    finally:
+        _, note = monitor_features(store, view_name, as_of, now)
+    return DailyRun(written, published, note)
 
 
 def run_weekly(

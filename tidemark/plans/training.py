@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
-from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.operators.labels import bought_within, require_final
-from tidemark.plans.compute import view_frame
+from tidemark.plans.compute import sql_at
 from tidemark.plans.historical import historical_features
 from tidemark.plans.store import FeatureStore
 from tidemark.session import cut
@@ -20,27 +18,28 @@ from tidemark.sources.adapters import Commerce
 
 @dataclass(frozen=True)
 class Label:
-    """What a model learns: how far it looks ahead, and SQL for labels other than purchases.
+    """What a model learns, and how far it looks ahead.
 
-    The SQL has the parameter `as_of` and returns `entity_id, label`.
+    Purchases by default. Otherwise `frame` is a function of the raw tables and the snapshots that
+    returns `entity_id, event_timestamp, label` for all of them, or `sql` does the same: over the
+    table `snapshots` in one pass, or with the parameter `as_of` for each.
     """
 
     name: str
     horizon: timedelta
     sql: str | None = None
+    frame: Callable[[Commerce, Sequence[datetime]], DataFrame] | None = None
 
     def rows(self, commerce: Commerce, snapshots: Sequence[datetime]) -> DataFrame:
         """`entity_id, event_timestamp, label`; raises while a label window is still open."""
         require_final(commerce.orders, snapshots, self.horizon)
-        if self.sql is None:
-            return bought_within(commerce.users, commerce.orders, snapshots, self.horizon)
-        each = [
-            view_frame(commerce, self.sql, as_of).select(
-                "entity_id", F.lit(as_of).alias("event_timestamp"), "label"
-            )
-            for as_of in snapshots
-        ]
-        return reduce(DataFrame.unionByName, each)
+        if self.frame is not None:
+            found = self.frame(commerce, snapshots)
+        elif self.sql is not None:
+            found = sql_at(commerce, self.sql, snapshots)
+        else:
+            found = bought_within(commerce.users, commerce.orders, snapshots, self.horizon)
+        return found.select("entity_id", "event_timestamp", "label")
 
 
 PURCHASE_NEXT_30D = Label("purchase_next_30d", timedelta(days=30))

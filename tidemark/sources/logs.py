@@ -70,17 +70,23 @@ class PredictionLog:
 
     def write(self, predictions: DataFrame, job: str, batch: int) -> None:
         columns = [field.name for field in schemas.PREDICTIONS.fields]
-        predictions.select(*columns).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).parquet(f"{self.path}/job={job}/batch={batch}")
+        predictions.select(*columns, F.to_date("predicted_at").alias("day")).write.mode(
+            "overwrite"
+        ).option("partitionOverwriteMode", "static").partitionBy("day").parquet(
+            f"{self.path}/job={job}/batch={batch}"
+        )
 
     def read(self) -> DataFrame:
         columns = [*nullable(schemas.PREDICTIONS).fields]
-        places = [T.StructField("job", T.StringType()), T.StructField("batch", T.LongType())]
+        places = [
+            T.StructField("job", T.StringType()),
+            T.StructField("batch", T.LongType()),
+            T.StructField("day", T.DateType()),
+        ]
         return read_or_empty(self.spark, self.path, T.StructType([*columns, *places]))
 
     def between(self, model_name: str, first: date, last: date) -> DataFrame:
-        day = F.to_date("predicted_at")
+        """What was predicted on some days; only those are read."""
         return self.read().where(
-            (F.col("model_name") == model_name) & day.between(F.lit(first), F.lit(last))
+            (F.col("model_name") == model_name) & F.col("day").between(F.lit(first), F.lit(last))
         )
