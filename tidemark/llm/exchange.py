@@ -12,11 +12,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
-BUCKETS_PER_PARTITION = 4
+BUCKETS_PER_PARTITION = 2
 
 
-def bucket_count(spark: SparkSession) -> int:
-    return BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+def bucket_count(spark: SparkSession, per_partition: int = BUCKETS_PER_PARTITION) -> int:
+    return per_partition * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def bucket_of(digests: np.ndarray, n_buckets: int) -> np.ndarray:

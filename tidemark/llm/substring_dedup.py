@@ -95,6 +95,8 @@ def later_units(docs: DataFrame, id_col: str, text_col: str, unit_words: int) ->
     rows = documents(docs, id_col, text_col).where("doc_id IS NOT NULL")
     rows = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     n_buckets = exchange.bucket_count(spark)
+    # Every digest bucket writes to every document bucket: as many rows as a shuffle has blocks.
+    n_doc_buckets = exchange.bucket_count(spark, 1)
     part = (unit_words + 1) // 2
     window = unit_words - part + 1
 
@@ -148,7 +150,7 @@ def later_units(docs: DataFrame, id_col: str, text_col: str, unit_words: int) ->
         first = np.repeat(start, size)
         gone = found["known"][order] | (doc_id != doc_id[first]) | (place != place[first])
         doc_id, place = doc_id[gone], place[gone]
-        by_doc = exchange.bucket_of(_spread(doc_id), n_buckets)
+        by_doc = exchange.bucket_of(_spread(doc_id), n_doc_buckets)
         order = np.lexsort((place, doc_id))
         return pa.Table.from_batches(
             [exchange.pack(by_doc[order], {"doc_id": doc_id[order], "place": place[order]})],
