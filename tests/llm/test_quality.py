@@ -7,7 +7,7 @@ import numpy as np
 
 from tests.llm.corpus import frame, prose, words_of
 from tidemark.llm import gam, quality_rules
-from tidemark.llm.text import WordHashes, Words, window_hashes
+from tidemark.llm.text import Words, window_hashes
 
 
 def longest_at(words, i):
@@ -28,7 +28,7 @@ def test_longest_repeats_equal_brute_force():
             " ".join(rng.choice(letters) for _ in range(rng.randint(0, 40))).encode()
             for _ in range(rng.randint(1, 4))
         ]
-        found = quality_rules.longest_repeats(Words(texts), WordHashes())
+        found = quality_rules.longest_repeats(Words(texts))
         assert list(found) == [
             longest_at(text.split(), i) for text in texts for i in range(len(text.split()))
         ]
@@ -71,6 +71,20 @@ def test_rules_equal_brute_force(spark):
     assert [found[i].kept for i in range(1, 6)] == [True, False, True, False, False]
 
 
+def test_words_and_their_hashes():
+    texts = [b"  one two\tone ", b"", b"two" * 50 + b"\n" + b"two" * 50, b"on e twotwotw twotwotwo", b"\xc3\xa9"]
+    words = Words(texts)
+    own = [word for text in texts for word in text.split()]
+    assert [words.word(i) for i in range(len(words))] == own
+    assert words.counts.tolist() == [len(text.split()) for text in texts]
+    by_hash = {}
+    for word, digest in zip(own, words.hashes().tolist(), strict=True):
+        assert by_hash.setdefault(digest, word) == word
+    assert len(by_hash) == len(set(own))
+    alone = [int(Words([word]).hashes()[0]) for word in own]
+    assert alone == words.hashes().tolist()
+
+
 def test_window_hashes_tell_windows_apart():
     rng = np.random.default_rng(1)
     words = rng.integers(0, 3, 200).astype(np.uint64)

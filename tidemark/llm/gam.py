@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import (
-    WordHashes,
     Words,
     documents,
     few_rows_a_batch,
@@ -74,7 +73,7 @@ DIGITS = _among(b"0123456789")
 ENDS = _among(b".?")
 
 
-def features(texts: list[bytes], cache: WordHashes) -> np.ndarray:
+def features(texts: list[bytes]) -> np.ndarray:
     """One row of numbers per text, in the order of FEATURES; shares of nothing are 0."""
     words = Words(texts)
     data, n_texts = words.data, len(texts)
@@ -82,7 +81,7 @@ def features(texts: list[bytes], cache: WordHashes) -> np.ndarray:
     some = np.maximum(n_words, 1)
     characters = np.maximum(words.per_text(words.solid), 1)
     lengths = words.ends - words.starts
-    hashes = words.hashes(cache)
+    hashes = words.hashes()
     text = words.text
     distinct, commonest = _distinct(hashes, text, n_texts)
     same = np.zeros(len(hashes), bool)
@@ -304,9 +303,8 @@ def fit_scores(
     rows = documents(docs, id_col, text_col).join(F.broadcast(sample), "doc_id")
 
     def measured(batches):
-        cache = WordHashes()
         for batch in slices(batches):
-            found = features(batch.column("text").to_pylist(), cache)
+            found = features(batch.column("text").to_pylist())
             listed = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), len(FEATURES))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), listed.cast(pa.list_(pa.float32()))], ["label", "features"]
@@ -338,9 +336,8 @@ def quality_scores(
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def scored(batches):
-        cache = WordHashes()
         for batch in slices(batches):
-            score = model.score(features(batch.column("text").to_pylist(), cache))
+            score = model.score(features(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
                 ["doc_id", "score", "predicted"],
@@ -356,12 +353,11 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     few_rows_a_batch(docs.sparkSession)
 
     def chosen(batches):
-        cache = WordHashes()
         for batch in batches:
             texts = pc.fill_null(batch.column(text_col).cast(pa.binary()), b"")
             own = pa.RecordBatch.from_arrays([texts], ["text"])
             score = [
-                model.score(features(part.column("text").to_pylist(), cache))
+                model.score(features(part.column("text").to_pylist()))
                 for part in slices([own])
             ]
             yield batch.filter(pa.array(np.concatenate([*score, np.empty(0)]) >= 0.5))

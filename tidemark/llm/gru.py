@@ -14,10 +14,10 @@ import numpy as np
 HEAD = 1_024
 CLASS_SIZE = 32
 HEAD_CLASSES = HEAD // CLASS_SIZE
-TAIL_CLASSES = 96
+TAIL_CLASSES = 64
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 SYMBOLS = HEAD + TAIL_CLASSES
-HIDDEN = 16
+HIDDEN = 12
 # Fixed place of the end of a document among the symbols.
 END = 0
 
@@ -78,10 +78,10 @@ class Network:
         """Natural log of the probability of each symbol in the state before it."""
         values = self.values
         classes = class_of(symbols)
-        found = _log_softmax(states @ values["classes"] + values["class_bias"], classes)[0]
+        found = _log_chosen(states, values["classes"], values["class_bias"], classes)
         for number, rows in by_class(classes):
-            logits = states[rows] @ values["members"][number] + values["member_bias"][number]
-            found[rows] += _log_softmax(logits, symbols[rows] % CLASS_SIZE)[0]
+            members, bias = values["members"][number], values["member_bias"][number]
+            found[rows] += _log_chosen(states[rows], members, bias, symbols[rows] % CLASS_SIZE)
         return found
 
     def gradients(self, trace, ended, states, symbols, weights) -> tuple[float, dict]:
@@ -166,6 +166,20 @@ def _log_softmax(logits: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np
     return own - np.log(total), logits
 
 
+def _log_chosen(
+    states: np.ndarray, weights: np.ndarray, bias: np.ndarray, chosen: np.ndarray
+) -> np.ndarray:
+    """Log probability of the chosen column of a softmax. States lie between -1 and 1."""
+    most = float((np.abs(weights).sum(0) + bias).max())
+    logits = states @ weights
+    logits += bias - most
+    own = logits[np.arange(len(logits)), chosen]
+    if float((np.abs(weights).sum(0)).max()) > 40:  # too far apart for one shift for all rows
+        return _log_softmax(logits, chosen)[0]
+    np.exp(logits, out=logits)
+    return own - np.log(logits.sum(1))
+
+
 class Trainer:
     """Steps along lanes of text by truncated backpropagation, with Adam."""
 

@@ -11,7 +11,6 @@ The words of largest count, `LISTED` of them, are broadcast; counts of the other
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,14 +25,12 @@ from tidemark.llm.text import Words, documents, slices
 from tidemark.session import cut
 
 LISTED = 200_000
-CACHED = 200_000
-COUNTED = 400_000
 ROUNDS = 3
 RATE = 0.01
 WINDOW = 32
 LANES = 192
-EVERY = 4
-SCORED_SYMBOLS = 16_384
+EVERY = 5
+SCORED_SYMBOLS = 32_768
 # Networks that are averaged in one place.
 GROUP = 64
 TRAIN_BYTES = 8 << 20
@@ -41,7 +38,8 @@ SCORE_BYTES = 16 << 20
 # A space is in no word: it stands for the end of a document.
 END_WORD = b" "
 ENDING_BYTES = 3
-PUNCTUATION = b".,;:!?%&*#$|\"'()"
+PUNCTUATED = 4
+IS_PUNCTUATION = np.isin(np.arange(256), list(b".,;:!?%&*#$|\"'()"))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -49,24 +47,30 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 7 == 2, F.lit(False))
 
 
-def ending(word: bytes) -> bytes:
-    return (word.rstrip(PUNCTUATION) or word)[-ENDING_BYTES:]
+def endings(words: Words) -> np.ndarray:
+    """The last bytes of each word, as a number, without up to PUNCTUATED signs behind them."""
+    stops = words.ends.copy()
+    for _ in range(PUNCTUATED):
+        stops -= IS_PUNCTUATION[words.data[stops - 1]] & (stops > words.starts + 1)
+    found = np.minimum(stops - words.starts, ENDING_BYTES) << 8 * ENDING_BYTES
+    for k in range(ENDING_BYTES):
+        inside = stops - 1 - k >= words.starts
+        found += np.where(inside, words.data[stops - 1 - k].astype(np.int64) << 8 * k, 0)
+    return found
 
 
 def count_words(rows: DataFrame) -> DataFrame:
     """(word, n) of all words and ends of the documents, summed up in tasks first."""
 
     def counted(batches):
-        counts: Counter = Counter()
+        n_ends = 0
         for batch in slices(batches):
             words = Words(batch.column("text").to_pylist(), lower=True)
-            counts.update(words.words)
-            counts[END_WORD] += batch.num_rows
-            if len(counts) > COUNTED:
-                yield _counts(counts)
-                counts.clear()
-        if counts:
-            yield _counts(counts)
+            n_ends += batch.num_rows
+            _, places, times = np.unique(words.hashes(), return_index=True, return_counts=True)
+            yield _counts(words.words(places), times)
+        if n_ends:
+            yield _counts([END_WORD], [n_ends])
 
     return (
         rows.select("text")
@@ -76,12 +80,9 @@ def count_words(rows: DataFrame) -> DataFrame:
     )
 
 
-def _counts(counts: Counter) -> pa.RecordBatch:
+def _counts(words, times) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(
-        {
-            "word": pa.array(list(counts.keys()), pa.binary()),
-            "n": pa.array(list(counts.values()), pa.int64()),
-        }
+        {"word": pa.array(words, pa.binary()), "n": pa.array(times, pa.int64())}
     )
 
 
@@ -91,37 +92,45 @@ class Vocabulary:
 
     words: list[bytes]  # the end of documents first, then by count
     counts: np.ndarray
-    endings: dict[bytes, int]  # tail class of the common endings; the others have the last class
+    endings: np.ndarray  # sorted: each common ending has a tail class, the others the last one
     tail_totals: np.ndarray  # of each tail class: counts plus one of its words, plus one
     n_tokens: int
     n_distinct: int
 
-    def tail_class(self, word: bytes) -> int:
-        return self.endings.get(ending(word), gru.TAIL_CLASSES - 1)
+    def tail_classes(self, words: Words) -> np.ndarray:
+        own = endings(words)
+        if not len(self.endings):
+            return np.full(len(own), gru.TAIL_CLASSES - 1)
+        near = np.minimum(np.searchsorted(self.endings, own), len(self.endings) - 1)
+        return np.where(self.endings[near] == own, near, gru.TAIL_CLASSES - 1)
 
 
-class Index(dict):
-    """Number of a listed word, or from LISTED on the tail class of another one."""
+class Index:
+    """Numbers of words: the place of a listed word, or from LISTED on the tail class of another."""
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__(zip(vocabulary.words, range(len(vocabulary.words)), strict=True))
-        self.vocabulary, self.extra = vocabulary, 0
-        own = [self.vocabulary.tail_class(word) for word in vocabulary.words]
-        self.symbols = np.concatenate(
-            [np.minimum(np.arange(len(own)), HEAD - 1), np.full(LISTED - len(own), HEAD)]
-        )
-        self.symbols[HEAD : len(own)] = HEAD + np.array(own[HEAD:], np.int64)
-        self.symbols = np.append(self.symbols, HEAD + np.arange(gru.TAIL_CLASSES))
-
-    def __missing__(self, word: bytes) -> int:
-        number = LISTED + self.vocabulary.tail_class(word)
-        if self.extra < CACHED:
-            self.extra += 1
-            self[word] = number
-        return number
+        self.vocabulary = vocabulary
+        listed = vocabulary.words
+        # The end of documents, a space, has no words of its own here
+        words = Words([b"\n".join(listed[1:])])
+        digests = words.hashes()
+        self.by_digest = np.argsort(digests)
+        self.digests = digests[self.by_digest]
+        own = vocabulary.tail_classes(words)[HEAD - 1 :]
+        heads = np.arange(min(len(listed), HEAD))
+        unused = np.full(LISTED - len(listed), HEAD)
+        classes = HEAD + np.arange(gru.TAIL_CLASSES)
+        self.symbols = np.concatenate([heads, HEAD + own, unused, classes])
 
     def numbers(self, words: Words) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words.words), np.int64, len(words.words))
+        others = LISTED + self.vocabulary.tail_classes(words)
+        if not len(self.digests):
+            return others
+        # Each distinct word is looked up once, in order
+        digests, which = np.unique(words.hashes(), return_inverse=True)
+        near = np.minimum(np.searchsorted(self.digests, digests), len(self.digests) - 1)
+        found = np.where(self.digests[near] == digests, self.by_digest[near] + 1, -1)[which]
+        return np.where(found < 0, others, found)
 
 
 def learn_vocabulary(counts: DataFrame) -> Vocabulary:
@@ -134,23 +143,28 @@ def learn_vocabulary(counts: DataFrame) -> Vocabulary:
 
     def ended(batches):
         for batch in batches:
-            found: Counter = Counter()
-            for word, n in zip(
+            pairs = zip(
                 batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True
-            ):
-                if word not in head:
-                    found[ending(word)] += n + 1
-            if found:
-                yield _counts(found)
-
-    endings = cut(
-        counts.mapInArrow(ended, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+            )
+            own = [(word, n) for word, n in pairs if word not in head]
+            if own:
+                codes, which = np.unique(
+                    endings(Words([b"\n".join(word for word, _ in own)])), return_inverse=True
+                )
+                sums = np.bincount(which, [n + 1 for _, n in own]).astype(np.int64)
+                yield pa.RecordBatch.from_pydict({"ending": codes, "n": sums})
+
+    sums = cut(
+        counts.mapInArrow(ended, "ending bigint, n bigint")
+        .groupBy("ending")
+        .agg(F.sum("n").alias("n"))
     )
-    common = endings.orderBy(F.desc("n"), "word").limit(gru.TAIL_CLASSES - 1).collect()
-    classes = {bytes(row["word"]): i for i, row in enumerate(common)}
+    common = sums.orderBy(F.desc("n"), "ending").limit(gru.TAIL_CLASSES - 1).collect()
+    common = sorted((row["ending"], row["n"]) for row in common)
     tail = np.zeros(gru.TAIL_CLASSES)
-    tail[: len(common)] = [row["n"] for row in common]
-    tail[-1] = (endings.agg(F.sum("n")).first()[0] or 0) - tail.sum()
+    tail[: len(common)] = [n for _, n in common]
+    tail[-1] = (sums.agg(F.sum("n")).first()[0] or 0) - tail.sum()
+    classes = np.array([code for code, _ in common], np.int64)
     return Vocabulary(words, numbers, classes, tail + 1, totals[0] or 0, totals[1])
 
 
@@ -238,7 +252,7 @@ def _scored(rows, counts, vocabulary: Vocabulary, network: Network, id_col: str)
     data = network.to_bytes()
     schema = (
         f"row bigint, doc_id {kind}, n_tokens bigint, n_listed bigint, log_listed double, "
-        "log_model double, rest array<struct<word:binary,n:bigint>>"
+        "log_model double, rest array<binary>"
     )
 
     def scored(batches):
@@ -278,8 +292,9 @@ def _scored(rows, counts, vocabulary: Vocabulary, network: Network, id_col: str)
 
     found = cut(rows.mapInArrow(scored, schema))
     others = (
-        found.select("row", F.explode("rest").alias("rest"))
-        .select("row", "rest.word", F.col("rest.n").alias("times"))
+        found.select("row", F.explode("rest").alias("word"))
+        .groupBy("row", "word")
+        .agg(F.count(F.lit(1)).alias("times"))
         .join(counts, "word")
         .groupBy("row")
         .agg(
@@ -306,11 +321,7 @@ def _float_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _rest(words: Words, chosen: np.ndarray) -> pa.Array:
-    """The chosen words of each text, with how often they occur there."""
-    found = []
+    """The chosen words of each text."""
     places = np.flatnonzero(chosen)
-    bounds = np.searchsorted(places, words.first)
-    for first, end in zip(bounds[:-1], bounds[1:], strict=True):
-        counts = Counter(words.words[place] for place in places[first:end])
-        found.append([{"word": word, "n": n} for word, n in counts.items()])
-    return pa.array(found, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))
+    found = pa.array(words.words(places), pa.binary())
+    return pa.ListArray.from_arrays(np.searchsorted(places, words.first).astype(np.int32), found)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.text import WordHashes, Words, documents, mixed, slices
+from tidemark.llm.text import Words, documents, mixed, slices
 
 MIN_WORDS = 8
 MAX_COVERED = 0.3
@@ -50,9 +50,8 @@ def quality_rules(
     """
 
     def measured(batches):
-        cache = WordHashes()
         for batch in slices(batches):
-            found = measure(batch.column("text").to_pylist(), cache, min_words)
+            found = measure(batch.column("text").to_pylist(), min_words)
             n_words = found["n_words"]
             found["base_failed"] = (n_words < BASE_WORDS) | (
                 found["n_repeat_words"] > BASE_REPEATED * n_words
@@ -70,10 +69,10 @@ def quality_rules(
     return rows.mapInArrow(measured, f"doc_id {kind}, {SCHEMA}").withColumnRenamed("doc_id", id_col)
 
 
-def measure(texts: list[bytes], cache: WordHashes, min_words: int) -> dict[str, np.ndarray]:
+def measure(texts: list[bytes], min_words: int) -> dict[str, np.ndarray]:
     """The base counts and the repeats of each text."""
     words = Words(texts)
-    longest = longest_repeats(words, cache)
+    longest = longest_repeats(words)
     longest_of_text = np.zeros(len(texts), np.int64)
     np.maximum.at(longest_of_text, words.text, longest)
     first_bytes = words.solid & ((words.data & 0xC0) != 0x80)
@@ -108,13 +107,13 @@ def covered(lengths: np.ndarray) -> np.ndarray:
     return np.maximum.accumulate(places + lengths) > places if len(lengths) else lengths > 0
 
 
-def longest_repeats(words: Words, cache: WordHashes) -> np.ndarray:
+def longest_repeats(words: Words) -> np.ndarray:
     """For each word, how many words from there on occur a second time in the same text."""
-    n = len(words.words)
+    n = len(words)
     longest = np.zeros(n, np.int64)
     if n < 2:
         return longest
-    rounds = doubled(words, cache)
+    rounds = doubled(words)
     order = np.argsort(rounds[-1])
     common = common_prefixes(order, rounds)
     longest[order[:-1]] = common
@@ -122,16 +121,16 @@ def longest_repeats(words: Words, cache: WordHashes) -> np.ndarray:
     return longest
 
 
-def doubled(words: Words, cache: WordHashes) -> list[np.ndarray]:
+def doubled(words: Words) -> list[np.ndarray]:
     """Ranks of all suffixes by their first 1, 2, 4, ... words, until all differ.
 
     A suffix ends with its text, and suffixes of different texts never share a rank. Suffixes with
     the same rank form a group; only groups of two and more are sorted again.
     """
-    n = len(words.words)
+    n = len(words)
     text = words.text.astype(np.uint64)
     ends = np.repeat(words.first[1:], words.counts)
-    keys = mixed(words.hashes(cache), text)
+    keys = mixed(words.hashes(), text)
     order = np.argsort(keys)
     rank, open_places = _ranks(order, keys[order], np.arange(n), n)
     rounds = [rank]

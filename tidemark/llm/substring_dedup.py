@@ -22,7 +22,6 @@ from pyspark.sql import types as T
 
 from tidemark.llm import exchange
 from tidemark.llm.text import (
-    WordHashes,
     Words,
     documents,
     in_one_text,
@@ -101,10 +100,9 @@ def later_units(docs: DataFrame, id_col: str, text_col: str, unit_words: int) ->
     window = unit_words - part + 1
 
     def sampled(batches):
-        cache = WordHashes()
         for batch in slices(batches):
             words = Words(batch.column("text").to_pylist(), lower=True)
-            hashes = words.hashes(cache)
+            hashes = words.hashes()
             starts = in_one_text(words, unit_words)
             if len(starts):
                 digests = window_hashes(hashes, part)
@@ -128,18 +126,17 @@ def later_units(docs: DataFrame, id_col: str, text_col: str, unit_words: int) ->
     )
 
     def units(batches):
-        cache = WordHashes()
         for batch in slices(batches):
             words = Words(batch.column("text").to_pylist(), lower=True)
             starts = in_one_text(words, unit_words)
             lists = batch.column("places")
             text = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            hit = np.zeros(len(words.words) + 1, np.int64)
+            hit = np.zeros(len(words) + 1, np.int64)
             np.add.at(hit, words.first[text] + lists.flatten().to_numpy(), 1)
             hits = np.concatenate([[0], np.cumsum(hit)])
             starts = starts[hits[starts + window] > hits[starts]]
             if len(starts):
-                digests = window_hashes(words.hashes(cache), unit_words)
+                digests = window_hashes(words.hashes(), unit_words)
                 yield _records(words, batch, digests[starts], starts, n_buckets, earliest=True)
 
     def copies(table):

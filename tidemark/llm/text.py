@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 
 SLICE_BYTES = 8 << 20
 BATCH_ROWS = 1_000
-CACHED_WORDS = 200_000
+# Words of more bytes are digested one by one.
+LONG_WORD = 128
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def documents(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -57,8 +59,8 @@ def slices(batches: Iterable[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterat
 class Words:
     """The words of several texts, one after the other.
 
-    `words`: bytes of each; `first`: index of each text's first word, and of the end;
-    `starts`, `ends`: places of the words in `joined`; `offsets`: places of the texts there.
+    `joined`: the texts with a line break behind each; `offsets`: their places there, and the end;
+    `starts`, `ends`: places of the words; `first`: number of each text's first word, and the end.
     """
 
     def __init__(self, texts: list[bytes], lower: bool = False):
@@ -70,9 +72,18 @@ class Words:
         self.solid = ~SPACE[self.data]
         edges = np.flatnonzero(np.diff(self.solid, prepend=False, append=False))
         self.starts, self.ends = edges[::2], edges[1::2]
-        self.words = self.joined.split()
         self.first = np.searchsorted(self.starts, self.offsets)
 
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def word(self, place: int) -> bytes:
+        return self.joined[self.starts[place] : self.ends[place]]
+
+    def words(self, places: np.ndarray) -> list[bytes]:
+        starts, ends = self.starts[places].tolist(), self.ends[places].tolist()
+        return [self.joined[start:end] for start, end in zip(starts, ends, strict=True)]
+
     @property
     def counts(self) -> np.ndarray:
         """Words of each text."""
@@ -91,8 +102,24 @@ class Words:
         """Sum over the words of each text."""
         return _sums(values, self.first)
 
-    def hashes(self, cache: WordHashes) -> np.ndarray:
-        return np.fromiter(map(cache.__getitem__, self.words), np.uint64, len(self.words))
+    def hashes(self) -> np.ndarray:
+        """A 64-bit digest of each word, the same in every task."""
+        lengths = self.ends - self.starts
+        found = lengths.astype(np.uint64)
+        # Eight bytes from each place on, as a view
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        eights = np.lib.stride_tricks.as_strided(padded, (len(self.data) + 1, 8), (1, 1))
+        todo, done = np.flatnonzero(lengths <= LONG_WORD), 0
+        while len(todo):
+            left = lengths[todo] - done
+            part = eights[self.starts[todo] + done].view("<u8")[:, 0]
+            part &= FIRST_BYTES[np.minimum(left, 8)]
+            found[todo] = mixed(found[todo], part)
+            todo, done = todo[left > 8], done + 8
+        for place in np.flatnonzero(lengths > LONG_WORD):
+            digest = blake2b(self.word(place), digest_size=8).digest()
+            found[place] = int.from_bytes(digest, "little")
+        return found
 
 
 def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -100,17 +127,6 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-class WordHashes(dict):
-    """64-bit digests of words, the same in every task. Forgets all when it has grown large."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        self[word] = value
-        return value
-
-
 def mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """A 64-bit digest of each ordered pair of digests."""
     x = (left ^ (left >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
@@ -137,7 +153,7 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
 
 def in_one_text(words: Words, size: int) -> np.ndarray:
     """Places whose next `size` words all belong to the same text, in ascending order."""
-    n = len(words.words) - size + 1
+    n = len(words) - size + 1
     if n <= 0:
         return np.empty(0, np.int64)
     ends = np.repeat(words.first[1:], words.counts)[:n]
