@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import query, work_folder
@@ -144,7 +145,8 @@ def model_weights(spark, folder):
     train, _ = temporal_split(cut(training_frame(spark, folder)), TEST_FROM)
     model = fit_logistic(train)
     found = dict(weights(model))
-    inputs = score(model, model.stages[0].transform(train))
+    chance = vector_to_array(F.col("probability")).getItem(1)
+    inputs = model.transform(train).withColumn("score", chance)
     error = F.col("score") - F.col("label")
     gradient = inputs.agg(
         *[F.avg(error * F.col(name)).alias(name) for name in found], F.count(F.lit(1)).alias("n")
