@@ -121,3 +121,28 @@ def test_words_of_a_class_share_it(spark):
         if bytes(row.word) not in head:
             sums[vocabulary.tail_classes(Words([bytes(row.word)]))[0]] += row.n + 1
     assert sums.tolist() == vocabulary.tail_totals.tolist()
+
+
+def test_every_symbol_is_learned_once_from_the_start_of_its_document():
+    rng = np.random.default_rng(6)
+    docs = [np.append(rng.integers(1, gru.SYMBOLS, n), gru.END) for n in [0, 1, 700, *range(5, 60)]]
+    trainer = gru.Trainer(Network.started(np.ones(gru.HEAD), np.ones(gru.TAIL_CLASSES)), 0.01, 8, 5)
+    update, windows = trainer._update, []
+
+    def noted(trace, ended, states, symbols, weights):
+        windows.append((states.copy(), symbols.copy(), weights.copy()))
+        update(trace, ended, states, symbols, weights)
+
+    trainer._update = noted
+    for part in (docs[:3], docs[3:10], docs[10:]):
+        trainer.learn(np.concatenate(part))
+    trainer.finish()
+    read = np.concatenate([symbols[weights > 0] for _, symbols, weights in windows])
+    assert np.array_equal(np.sort(read), np.sort(np.concatenate(docs)))
+    assert trainer.weight == len(read) and trainer.gathered == 0
+    # A state is empty at the start of a document and nowhere else
+    begun = sum(
+        int(((np.abs(states).sum(2) == 0) & (weights > 0)).sum())
+        for states, _, weights in windows
+    )
+    assert begun == len(docs)

@@ -7,6 +7,7 @@ for other words the network gives the class only. Head classes are runs of `CLAS
 
 from __future__ import annotations
 
+from collections import deque
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,10 +15,10 @@ import numpy as np
 HEAD = 1_024
 CLASS_SIZE = 32
 HEAD_CLASSES = HEAD // CLASS_SIZE
-TAIL_CLASSES = 64
+TAIL_CLASSES = 96
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 SYMBOLS = HEAD + TAIL_CLASSES
-HIDDEN = 12
+HIDDEN = 16
 # Fixed place of the end of a document among the symbols.
 END = 0
 
@@ -181,51 +182,99 @@ def _log_chosen(
 
 
 class Trainer:
-    """Steps along lanes of text by truncated backpropagation, with Adam."""
+    """Steps along lanes of documents by truncated backpropagation, with Adam.
 
-    def __init__(self, network: Network, rate: float, window: int, lanes: int, every: int):
-        self.network, self.rate, self.window = network, rate, window
-        self.lanes, self.every = lanes, every
+    A lane reads whole documents, one after the other; one that runs out of them takes the next
+    document. Every window of every lane gives a gradient. Call `finish` after the last documents.
+    """
+
+    def __init__(self, network: Network, rate: float, window: int, lanes: int):
+        self.network, self.rate, self.window, self.lanes = network, rate, window, lanes
         self.first = {name: np.zeros_like(x) for name, x in network.values.items()}
         self.second = {name: np.zeros_like(x) for name, x in network.values.items()}
-        self.steps, self.windows, self.loss, self.weight = 0, 0, 0.0, 0.0
+        self.sums = {name: np.zeros_like(x) for name, x in network.values.items()}
+        self.steps, self.loss, self.weight, self.gathered = 0, 0.0, 0.0, 0.0
+        self.coming: deque[np.ndarray] = deque()
+        # What each lane has left to read, and its state
+        self.left: list[np.ndarray] = []
+        self.state = np.zeros((0, HIDDEN), np.float32)
 
     def learn(self, symbols: np.ndarray) -> None:
         """Learn from documents laid end to end, each closed by END.
 
-        The row is cut into lanes that run in parallel. Every lane reads all of its symbols and
-        carries its state from window to window; a gradient is taken in every `every`th window.
+        Windows are taken while there are documents for all lanes; the rest waits for more.
         """
-        lanes = int(min(self.lanes, max(1, len(symbols) // self.window)))
-        times = -(-len(symbols) // lanes)
-        padded = np.full(times * lanes, END, np.int64)
-        padded[: len(symbols)] = symbols
-        weights = np.zeros(times * lanes, np.float32)
-        weights[: len(symbols)] = 1
-        table, weights = padded.reshape(lanes, times).T, weights.reshape(lanes, times).T
-        state = np.zeros((lanes, HIDDEN), np.float32)
-        for begin in range(0, times, self.window):
-            part = table[begin : begin + self.window]
-            learns = self.windows % self.every == 0
-            self.windows += 1
-            trace, states, ended = [] if learns else None, [], []
-            for symbols_now in part:
-                if learns:
-                    states.append(state)
-                state = self.network.step(symbols_now, state, trace)
-                over = symbols_now == END
-                state[over] = 0
-                ended.append(over)
-            if learns:
-                self._update(trace, ended, np.stack(states), part, weights[begin : begin + self.window])
+        self.coming.extend(np.split(symbols, np.flatnonzero(symbols == END)[:-1] + 1))
+        while self._filled():
+            self._window()
+
+    def finish(self) -> None:
+        """Learn from what is left, in fewer and fewer lanes."""
+        self._filled()
+        while self.left:
+            self._window()
+            self._filled()
+        if self.gathered:
+            self._step()
+
+    def _filled(self) -> bool:
+        """Gives documents to lanes with less than a window; whether all lanes have a window."""
+        for lane, rest in enumerate(self.left):
+            parts = [rest]
+            n = len(rest)
+            while n < self.window and self.coming:
+                parts.append(self.coming.popleft())
+                n += len(parts[-1])
+            if len(parts) > 1:
+                self.left[lane] = np.concatenate(parts)
+        while len(self.left) < self.lanes and self.coming:
+            self.left.append(self.coming.popleft())
+            self.state = np.concatenate([self.state, np.zeros((1, HIDDEN), np.float32)])
+        reading = [lane for lane, rest in enumerate(self.left) if len(rest)]
+        if len(reading) < len(self.left):
+            self.left = [self.left[lane] for lane in reading]
+            self.state = self.state[reading]
+        return len(self.left) == self.lanes and all(len(x) >= self.window for x in self.left)
+
+    def _window(self) -> None:
+        lengths = [min(len(rest), self.window) for rest in self.left]
+        part = np.full((max(lengths), len(lengths)), END, np.int64)
+        weights = np.zeros(part.shape, np.float32)
+        for lane, n in enumerate(lengths):
+            part[:n, lane] = self.left[lane][:n]
+            weights[:n, lane] = 1
+            self.left[lane] = self.left[lane][n:]
+        state, trace, states, ended = self.state, [], [], []
+        for symbols_now in part:
+            states.append(state)
+            state = self.network.step(symbols_now, state, trace)
+            over = symbols_now == END
+            state[over] = 0
+            ended.append(over)
+        self.state = state
+        self._update(trace, ended, np.stack(states), part, weights)
 
     def _update(self, trace, ended, states, symbols, weights) -> None:
+        """Adds up the gradients of windows; a step is taken from as many symbols as all lanes have."""
         loss, grads = self.network.gradients(trace, ended, states, symbols, weights)
         self.loss += loss
-        self.weight += float(weights.sum())
+        n = float(weights.sum())
+        for name, grad in grads.items():
+            self.sums[name] += grad * np.float32(n)
+        self.gathered += n
+        if self.gathered >= self.lanes * self.window:
+            self._step()
+
+    def _step(self) -> None:
+        self.weight += self.gathered
         self.steps += 1
+        grads = {name: x / np.float32(self.gathered) for name, x in self.sums.items()}
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-        shrink = min(1.0, 1.0 / max(norm, 1e-9))
+        shrink = min(1.0, 1.0 / max(norm, 1e-9)) * min(
+            1.0, self.gathered / (self.lanes * self.window)
+        )
+        self.sums = {name: np.zeros_like(x) for name, x in self.network.values.items()}
+        self.gathered = 0.0
         even = self.rate * np.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps)
         for name, grad in grads.items():
             grad = grad * np.float32(shrink)

@@ -2,8 +2,8 @@
 
 Word counts, the vocabulary, the classes and the base score come from all training documents. The
 network is trained in rounds. Each round takes the training documents of one hash slice, every one of
-them in exactly one round; tasks start from the same network, read all of their documents with the
-state carried along, and the networks are averaged by the number of words. Words outside the head
+them in exactly one round; tasks start from the same network, learn from every window of their
+documents with the state carried along, and the networks are averaged by the number of words. Words outside the head
 have a class by their ending, learned by the network, and their share of the class by counts.
 
 The words of largest count, `LISTED` of them, are broadcast; counts of the others are joined.
@@ -29,7 +29,6 @@ ROUNDS = 3
 RATE = 0.01
 WINDOW = 32
 LANES = 192
-EVERY = 5
 SCORED_SYMBOLS = 32_768
 # Networks that are averaged in one place.
 GROUP = 64
@@ -185,7 +184,7 @@ def _averaged(rows: DataFrame, vocabulary: Vocabulary, network: Network) -> Netw
 
     def trained(batches):
         index = Index(vocabulary)
-        trainer = Trainer(Network.from_bytes(start), RATE, WINDOW, LANES, EVERY)
+        trainer = Trainer(Network.from_bytes(start), RATE, WINDOW, LANES)
         n_symbols = 0
         for batch in slices(batches, TRAIN_BYTES):
             words = Words(batch.column("text").to_pylist(), lower=True)
@@ -193,6 +192,7 @@ def _averaged(rows: DataFrame, vocabulary: Vocabulary, network: Network) -> Netw
             laid = np.insert(symbols, words.first[1:], gru.END)
             trainer.learn(laid)
             n_symbols += len(laid)
+        trainer.finish()
         if n_symbols:
             part = TaskContext.get().partitionId()
             yield _network(part, trainer.network.to_bytes(), n_symbols)
