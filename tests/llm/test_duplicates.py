@@ -208,3 +208,52 @@ def test_passages_of_rows_with_one_id_or_none(spark):
     assert sorted((str(row.doc_id), row.text) for row in found) == [
         ("1", text), ("1", text), ("2", ""), ("None", text), ("None", text)
     ]
+
+
+def family():
+    """One family of near copies in several components: a common core, and ends of their own."""
+    core = prose(1, 60)
+    rows = []
+    for k in range(6):
+        end = prose(50 + k, 18)
+        rows += [(100 * k + i, f"{core} {changed(end, i, i % 2)}") for i in range(8)]
+    return rows
+
+
+@pytest.mark.parametrize("members", [2, 4_096])
+def test_a_family_in_small_parts_equals_brute_force(spark, monkeypatch, members):
+    monkeypatch.setattr(jaccard_join, "PART_MEMBERS", members)
+    rows, sizes = family(), []
+    dealt = jaccard_join._dealt
+
+    def noted(*args):
+        found = dealt(*args)
+        groups = found.where("kind = 1").groupBy("left", "right").count()
+        sizes.extend(row["count"] for row in groups.collect())
+        return found
+
+    monkeypatch.setattr(jaccard_join, "_dealt", noted)
+    found = jaccard_join.jaccard_join(frame(spark, rows).repartition(3)).collect()
+    label = joined(similar(rows), [number for number, _ in rows])
+    assert {row.doc_id: row.component_id for row in found} == label
+    assert sizes and max(sizes) <= 2 * members
+
+
+def test_one_list_of_many_components_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PART_MEMBERS", 10)
+    n = 100
+    entries = spark.createDataFrame(
+        [(7, i, i // 20, 40, i % 5, 0) for i in range(n)],
+        "list bigint, node bigint, component bigint, sizes int, positions int, low bigint",
+    )
+    bits = bytes([255] * 16)
+    sketches = spark.createDataFrame(
+        [(i, 40, bits) for i in range(n)], "doc_id bigint, n bigint, sketch binary"
+    )
+    dealt = jaccard_join._dealt(entries, sketches, 75)
+    assert dealt.groupBy("left", "right").count().agg({"count": "max"}).first()[0] <= 40
+    pairs = dealt.groupBy("left", "right").applyInArrow(
+        jaccard_join._pairs_of_parts(75), "a bigint, b bigint"
+    )
+    expected = [(i, j) for i in range(n) for j in range(i + 1, n) if i // 20 != j // 20]
+    assert sorted((row.a, row.b) for row in pairs.collect()) == expected
