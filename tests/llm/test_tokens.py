@@ -124,3 +124,29 @@ def test_histogram_answers(spark, byte_bpe, monkeypatch):
     assert token_counts.quantiles(histogram, shares) == {
         share: int(ordered[int(np.ceil(share * len(ordered))) - 1]) for share in shares
     }
+
+
+def test_added_tokens_of_the_json_vocabulary_are_found_in_the_text(spark):
+    """As the library encodes with the file as it is: with the added tokens matched in the text."""
+    library = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    rows = [
+        (1, "a<|endoftext|>b"),
+        (2, "<|endoftext|><|endoftext|> x \n<|endoftext|>  y"),
+        (3, "  <|endoftext|>\n\n<|ENDOFTEXT|> <|endoftext|"),
+        (4, prose(3, 50) + "<|endoftext|>" + prose(4, 900)),
+        *[(10 + i, text) for i, text in enumerate(texts())],
+    ]
+    expected = {n: library.encode(text, add_special_tokens=False).ids for n, text in rows}
+    assert expected[1] == [64, 50256, 65]
+    from tidemark.llm.vocabulary import encoded_with_added
+
+    for number, text in rows:
+        assert encoded_with_added(path("byte_bpe_50k.json"), text).tolist() == expected[number]
+    found = {number: [] for number, _ in rows}
+    for piece in packing.packed(frame(spark, rows)).orderBy("doc_id", "start").collect():
+        found[piece.doc_id] += np.frombuffer(piece.ids, "<u4").tolist()
+    assert found == {number: [*ids, 1] for number, ids in expected.items()}
+    histogram = token_counts.length_histogram(frame(spark, rows)).collect()
+    assert sorted(row.n_tokens for row in histogram for _ in range(row.n_docs)) == sorted(
+        map(len, expected.values())
+    )

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import documents, few_rows_a_batch, slices
-from tidemark.llm.vocabulary import BYTE_BPE, encoded, path
+from tidemark.llm.vocabulary import BYTE_BPE, encoded_with_added, path
 from tidemark.session import cut
 
 WINDOW = 2048
@@ -60,7 +60,8 @@ def packed(
         for batch in slices(batches):
             ids = batch.column("doc_id").to_pylist()
             for doc_id, text in zip(ids, batch.column("text").to_pylist(), strict=True):
-                own = np.append(encoded(file, text.decode()), np.uint32(END_ID)).astype("<u4")
+                own = encoded_with_added(file, text.decode())
+                own = np.append(own, np.uint32(END_ID)).astype("<u4")
                 bins.add(doc_id, own)
             yield _batch(bins.emitted(), number, False)
         yield _batch(bins.open_pieces(), number, True)

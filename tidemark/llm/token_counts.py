@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import documents, slices
-from tidemark.llm.vocabulary import BYTE_BPE, encoded, path
+from tidemark.llm.vocabulary import BYTE_BPE, encoded_with_added, path
 from tidemark.session import cut
 
 # Lengths of one slice of the suffix sums.
@@ -33,7 +33,8 @@ def lengths(
     def counted(batches):
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
-            found = np.fromiter((len(encoded(file, x.decode())) for x in texts), np.int64, len(texts))
+            sizes = (len(encoded_with_added(file, x.decode())) for x in texts)
+            found = np.fromiter(sizes, np.int64, len(texts))
             yield pa.RecordBatch.from_pydict({"n_tokens": found})
 
     return documents(docs, id_col, text_col).select("text").mapInArrow(counted, "n_tokens bigint")

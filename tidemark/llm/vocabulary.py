@@ -32,8 +32,8 @@ def _byte_letters() -> dict[str, int]:
 def read_ranks(file: str) -> dict[bytes, int]:
     """Bytes and id of each token, from a rank file or a byte-level BPE in JSON.
 
-    In the JSON files the ids are in the order of the merges, as ranks are; special tokens are
-    left out, so that their strings are ordinary text.
+    In the JSON files the ids are in the order of the merges, as ranks are; added tokens are left
+    out, as they are no result of merges.
     """
     if file.endswith(".json"):
         with open(file, encoding="utf-8") as opened:
@@ -50,6 +50,14 @@ def read_ranks(file: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in lines}
 
 
+def added_tokens(file: str) -> dict[str, int]:
+    """The tokens that a JSON file adds, which its library finds in the text before all merges."""
+    if not file.endswith(".json"):
+        return {}
+    with open(file, encoding="utf-8") as opened:
+        return {token["content"]: token["id"] for token in json.load(opened)["added_tokens"]}
+
+
 @lru_cache(maxsize=2)
 def encoding(file: str) -> tiktoken.Encoding:
     """The encoder, built once in each Python worker."""
@@ -57,13 +65,18 @@ def encoding(file: str) -> tiktoken.Encoding:
         file,
         pat_str=public_tokenizers.PATTERN,
         mergeable_ranks=read_ranks(file),
-        special_tokens={},
+        special_tokens=added_tokens(file),
     )
 
 
 def encoded(file: str, text: str) -> np.ndarray:
-    """The ids of a text as little-endian unsigned 32-bit integers."""
-    return encoding(file).encode_to_numpy(text).astype("<u4", copy=False)
+    """The ids of a text as little-endian unsigned 32-bit integers, added tokens as ordinary text."""
+    return encoding(file).encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+
+
+def encoded_with_added(file: str, text: str) -> np.ndarray:
+    """The same, with the file's added tokens found in the text, as the tokenizers library does."""
+    return encoding(file).encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False)
 
 
 @lru_cache(maxsize=2)
