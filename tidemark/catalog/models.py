@@ -183,12 +183,13 @@ def rule_at_its_recall(spark, folder):
 
 
 _SPLITS_SQL = """
-v AS (SELECT 1 AS version, TIMESTAMP '2000-01-01' AS test_from, TIMESTAMP '2000-07-01' AS until
+versions AS (
+      SELECT 1 AS version, TIMESTAMP '2000-01-01' AS test_from, TIMESTAMP '2000-07-01' AS until
       UNION ALL SELECT 2, TIMESTAMP '2001-01-01', TIMESTAMP '2100-01-01'),
-p AS (SELECT v.version, count(*) FILTER (WHERE event_timestamp < test_from) AS train_rows,
+p AS (SELECT version, count(*) FILTER (WHERE event_timestamp < test_from) AS train_rows,
              count(*) FILTER (WHERE event_timestamp >= test_from) AS test_rows,
              avg(label) FILTER (WHERE event_timestamp >= test_from) AS test_base_rate
-      FROM v JOIN t ON event_timestamp < until GROUP BY v.version)"""
+      FROM versions JOIN t ON event_timestamp < until GROUP BY version)"""
 
 
 @query(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,13 +65,9 @@ def features_at(
         near_requests(visible.where(F.col("feature_name").isin(names)), requests, days, ttl)
         for ttl, names in by_ttl.items()
     ]
-    if hot_rows is not None and days:
-        # Counted from the footers of the days' files. Fewer rows in all hold no hot entity.
-        reach = max((ttl or timedelta.max for ttl in ttls.values()), default=timedelta.max)
-        first = date.min if reach == timedelta.max else min(days) - reach
-        stored = values.where(F.col("snapshot_date").between(F.lit(first), F.lit(max(days))))
-        if n_requests + stored.count() <= hot_rows:
-            hot_rows = None
+    if hot_rows is not None and days and n_requests + visible.count() <= hot_rows:
+        # Counted from the footers of the files in reach. Fewer rows in all hold no hot entity.
+        hot_rows = None
     return asof_join(requests, reduce(DataFrame.unionByName, near), ttls, hot_rows)
 
 
