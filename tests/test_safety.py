@@ -11,7 +11,15 @@ from test_store import ORDERS, load
 from tidemark.operators.asof import asof_join
 from tidemark.operators.labels import bought_within
 from tidemark.plans import jobs
-from tidemark.plans.compute import FrameView, backfill, compute_features, register_frame_view
+from tidemark.plans.compute import (
+    FrameView,
+    backfill,
+    compute_features,
+    register_frame_view,
+    sql_at,
+    sql_parts,
+    with_moment,
+)
 from tidemark.plans.jobs import apply_definitions, run_daily
 from tidemark.plans.modeling import MODEL_NAME, compare_models, fit_logistic, temporal_split
 from tidemark.plans.modeling import train_and_register
@@ -142,6 +150,40 @@ def test_views_of_a_caller_agree(store):
     assert ("orders_so_far", 1, 6, 2.0) in found["grid"]
 
 
+@pytest.mark.parametrize(
+    "sql, n_frames",
+    [
+        ("SELECT user_id AS entity_id, order_ts FROM orders WHERE order_ts < :as_of", 1),
+        ("SELECT as_of AS event_timestamp, user_id AS entity_id, order_ts\n"
+         "FROM orders JOIN snapshots ON order_ts < as_of", 1),
+        # Spark cannot take this form apart: the moments are united
+        ("SELECT user_id AS entity_id, order_ts FROM orders LEFT JOIN\n"
+         "(SELECT 1 AS one FROM users WHERE signup_ts < :as_of LIMIT 1) ON true\n"
+         "WHERE order_ts < :as_of", 2),
+    ],
+)
+def test_kinds_of_sql_agree(store, sql, n_frames):
+    load(store, ORDERS)
+    moments = [day(number) for number in range(2, 8)]
+    found = sql_parts(store.raw.read(), sql, moments, size=3)
+    assert len(found) == n_frames
+    rows = sorted(rows_of(sql_at(store.raw.read(), sql, moments), "event_timestamp", "entity_id", "order_ts"))
+    orders = rows_of(store.raw.read().orders, "user_id", "order_ts")
+    plain = [(at.replace(tzinfo=None), *o) for at in moments for o in orders if o[1] < at.replace(tzinfo=None)]
+    assert rows == sorted(plain) and rows
+
+
+def test_sql_without_a_moment_is_the_same_at_each(store):
+    load(store, ORDERS)
+    sql = "SELECT user_id AS entity_id, ':as_of' AS `:as_of` FROM users /* :as_of */ -- :as_of"
+    found = sql_at(store.raw.read(), sql, [day(2), day(3)])
+    users = [row.user_id for row in store.raw.read().users.collect()]
+    assert sorted(rows_of(found, "entity_id", ":as_of")) == sorted((u, ":as_of") for u in users * 2)
+    assert with_moment("a = :as_of -- :as_of\nAND ':as_of' = :as_ofs", "x") == (
+        "a = x -- :as_of\nAND ':as_of' = :as_ofs", 1
+    )
+
+
 def test_sql_leaves_the_views_of_the_caller(store):
     load(store, ORDERS)
     store.spark.range(7).createOrReplaceTempView("users")

@@ -10,6 +10,7 @@ from tidemark.catalog.base import (
     AS_OF,
     DAYS,
     EVENT_DAYS,
+    DAYS_SQL,
     EVENTS_SQL,
     FEATURES_SQL,
     LONG_SQL,
@@ -80,6 +81,35 @@ def backfill_daily(spark, folder):
     return purchase_stats_at(from_events(spark, folder), DAYS)
 
 
+@query(f"{EVENT_DAYS} SELECT entity_id, event_timestamp, {FEATURES_SQL} FROM f")
+def backfill_sql_parameter(spark, folder):
+    """SQL with the parameter `as_of`, for all days in one lateral pass."""
+    return sql_at(from_events(spark, folder), SQL, DAYS)
+
+
+@query(
+    f"""WITH {EVENTS_SQL}, {DAYS_SQL} SELECT o.user_id AS entity_id, s.event_timestamp,
+       count(*) AS orders_so_far, max(o.total_amount)::DOUBLE AS greatest
+FROM s JOIN o ON o.order_ts < s.event_timestamp GROUP BY ALL"""
+)
+def backfill_sql_snapshots(spark, folder):
+    """SQL over the table of moments."""
+    sql = """SELECT user_id AS entity_id, as_of AS event_timestamp, count(*) AS orders_so_far,
+                    CAST(max(total_amount) AS DOUBLE) AS greatest
+             FROM snapshots JOIN orders ON order_ts < as_of GROUP BY ALL"""
+    return sql_at(from_events(spark, folder), sql, DAYS)
+
+
+@query(
+    f"""WITH {EVENTS_SQL}, {DAYS_SQL} SELECT o.user_id AS entity_id, s.event_timestamp,
+       count(*) AS orders_ever FROM s, o GROUP BY ALL"""
+)
+def backfill_sql_constant(spark, folder):
+    """SQL that names no moment is the same at each."""
+    sql = "SELECT user_id AS entity_id, count(*) AS orders_ever FROM orders GROUP BY ALL -- :as_of"
+    return sql_at(from_events(spark, folder), sql, DAYS)
+
+
 @query(f"{TRADE_MONTHS} SELECT entity_id, event_timestamp, {FEATURES_SQL} FROM f")
 def purchase_stats_monthly(spark, folder):
     return purchase_stats_at(from_trade(spark, folder), MONTHS)

@@ -124,6 +124,22 @@ def training_set_stored(spark, folder):
     return build_training_set(store, [_day(5), _day(12), _day(19)], MODEL_FEATURES, NEXT_3_DAYS)
 
 
+@query(
+    f"""{EVENT_DAYS} SELECT f.entity_id, f.event_timestamp,
+       CAST(order_count_30d AS DOUBLE) AS order_count_30d, CAST(1 AS INTEGER) AS label
+FROM f WHERE f.event_timestamp IN (TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-19')
+     AND f.entity_id IN (SELECT user_id FROM o GROUP BY user_id HAVING count(*) > 1)"""
+)
+def training_set_sql_label(spark, folder):
+    """A label as plain SQL that names no moment."""
+    returning = "SELECT user_id AS entity_id, 1 AS label FROM orders GROUP BY 1 HAVING count(*) > 1"
+    label = Label("returning", timedelta(days=3), returning)
+    store = events_store(spark, folder)
+    labels = build_training_set(store, [_day(5), _day(19)], ["order_count_30d"], label)
+    # Users have no features before they signed up
+    return labels.where(F.col("order_count_30d").isNotNull())
+
+
 @query(
     f"""{EVENT_DAYS} SELECT entity_id, event_timestamp,
        CAST(order_count_30d AS DOUBLE) AS order_count_30d,

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.snapshots import daily_snapshots
+from tidemark.functions.snapshots import daily_snapshots, each_snapshot
 from tidemark.functions.time import moment
 from tidemark.operators.reshape import check_columns, to_long
 from tidemark.plans import purchase_stats
@@ -20,8 +22,15 @@ from tidemark.sources.adapters import Commerce
 
 # The table of moments that SQL reads to answer for all of them at once.
 SNAPSHOTS = "snapshots"
-# Moments of a SQL view without that table that are computed in one job.
+# Moments that are computed in one job where each needs a plan of its own.
 UNION_MOMENTS = 31
+# What a parameter is not: texts, quoted names and comments.
+_PARAMETER = re.compile(
+    r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/|(?P<parameter>:as_of\b)""",
+    re.DOTALL,
+)
+# Errors of Spark on SQL that it cannot run as a correlated sub-query.
+_NOT_CORRELATED = ("UNSUPPORTED_SUBQUERY_EXPRESSION_CATEGORY", "UNRESOLVED_COLUMN")
 
 
 @dataclass(frozen=True)
@@ -57,29 +66,81 @@ def frame_view(view_name: str, sql: str | None) -> FrameView | None:
     return found if found is not None and found.sql == sql else None
 
 
+def with_moment(sql: str, moment_sql: str) -> tuple[str, int]:
+    """The SQL with its parameter `:as_of` replaced, and how often it occurs.
+
+    Texts, quoted names and comments stay as they are.
+    """
+    n_found = 0
+
+    def replaced(match: re.Match) -> str:
+        nonlocal n_found
+        if match.group("parameter") is None:
+            return match.group()
+        n_found += 1
+        return moment_sql
+
+    return _PARAMETER.sub(replaced, sql), n_found
+
+
 def sql_at(commerce: Commerce, sql: str, moments: Sequence[datetime]) -> DataFrame:
-    """Run SQL over the raw tables for some moments, with the moment as `event_timestamp`.
+    """Run SQL over the raw tables for all moments at once, with the moment as `event_timestamp`.
+
+    Three kinds of SQL give the same rows:
 
-    SQL that reads the table `snapshots` (with the column `as_of`) returns `event_timestamp` itself
-    and runs once for all moments. Other SQL has the parameter `as_of` and runs for each.
+    * With the parameter `:as_of` it is a lateral sub-query of the table of moments, so one plan
+      reads the raw tables once for all of them. Where Spark cannot take a form of correlated SQL
+      apart, the moments are united.
+    * Over the table `snapshots` (with the column `as_of`) it returns `event_timestamp` itself.
+    * Without either it is the same at every moment, and its rows are repeated for each.
     """
+    return reduce(DataFrame.unionByName, sql_parts(commerce, sql, moments, max(len(moments), 1)))
+
+
+def sql_parts(
+    commerce: Commerce, sql: str, moments: Sequence[datetime], size: int | None = None
+) -> list[DataFrame]:
+    """The rows of `sql_at`: one frame, or one for every `size` moments where they are united."""
     frames = dict(commerce.present())
     spark = frames["users"].sparkSession
-    frames[SNAPSHOTS] = spark.createDataFrame([(moment(at),) for at in moments], "as_of timestamp")
+    # Not from a local list, whose size Spark takes as unknown: this is the side to broadcast
+    frames[SNAPSHOTS] = spark.range(1).select(
+        each_snapshot(moments, lambda at: F.lit(True)).alias("as_of")
+    )
     # Under names of their own, so that no view of the caller is replaced
     names = {name: f"{name}_{uuid.uuid4().hex}" for name in frames}
     for name, frame in frames.items():
         frame.createOrReplaceTempView(names[name])
     tables = ", ".join(f"{name} AS (SELECT * FROM {own})" for name, own in names.items())
-    whole = f"WITH {tables} SELECT * FROM ({sql})"
+    lateral, n_parameters = with_moment(sql, "_at.as_of")
     try:
-        if ":as_of" not in sql:
-            return spark.sql(whole)
+        if n_parameters and moments:
+            try:
+                # The line break ends a comment in the last line
+                found = spark.sql(
+                    f"WITH {tables} SELECT _at.as_of AS _as_of, _rows.* "
+                    f"FROM {SNAPSHOTS} _at, LATERAL ({lateral}\n) _rows"
+                )
+                return [found.withColumn("event_timestamp", F.col("_as_of")).drop("_as_of")]
+            except AnalysisException as error:
+                if not (error.getCondition() or "").startswith(_NOT_CORRELATED):
+                    raise
+        whole = f"WITH {tables} SELECT * FROM ({sql}\n)"
+        if not n_parameters:
+            found = spark.sql(whole)
+            if "event_timestamp" not in found.columns:
+                stamps = each_snapshot(moments, lambda at: F.lit(True))
+                found = found.withColumn("event_timestamp", stamps)
+            return [found]
         each = [
             spark.sql(whole, args={"as_of": at}).withColumn("event_timestamp", F.lit(at))
-            for at in moments
+            for at in sorted(set(moments))
+        ]
+        size = size or UNION_MOMENTS
+        return [
+            reduce(DataFrame.unionByName, each[first : first + size])
+            for first in range(0, len(each), size)
         ]
-        return reduce(DataFrame.unionByName, each)
     finally:
         for own in names.values():
             spark.catalog.dropTempView(own)
@@ -125,8 +186,8 @@ def backfill(
 ) -> int:
     """Compute a view at midnight UTC of every day from start to end, inclusive.
 
-    Functions with `at_once` and SQL over `snapshots` take one pass over the events; others are
-    computed for each day, `UNION_MOMENTS` days in a job.
+    Functions with `at_once` and SQL take one pass over the events; functions without it, and SQL
+    that Spark cannot correlate, are computed for each day, `UNION_MOMENTS` days in a job.
     """
     built, sql, features = _features(store, view_name)
     days = daily_snapshots(start, end)
@@ -140,14 +201,12 @@ def backfill(
 def _at_all(
     raw: Commerce, built: FrameView | None, sql: str | None, days: Sequence[datetime]
 ) -> Iterable[DataFrame]:
-    one_pass = ":as_of" not in sql if built is None else built.at_once is not None
-    size = len(days) if one_pass else UNION_MOMENTS
-    for first in range(0, len(days), max(size, 1)):
-        part = days[first : first + size]
-        if built is None:
-            yield sql_at(raw, sql, part)
-        elif one_pass:
-            yield built.at_once(raw, part)
-        else:
+    if built is None:
+        yield from sql_parts(raw, sql, days)
+    elif built.at_once is not None:
+        yield built.at_once(raw, days)
+    else:
+        for first in range(0, len(days), UNION_MOMENTS):
+            part = days[first : first + UNION_MOMENTS]
             each = [built.at(raw, day).withColumn("event_timestamp", F.lit(day)) for day in part]
             yield reduce(DataFrame.unionByName, each)

@@ -29,22 +29,24 @@ FEATURES = ["order_count_30d", "avg_order_value_30d", "days_since_last_order", "
 ORDER_DAYS = 30
 VIEW_DAYS = 7
 
-# The same view as SQL over the raw tables, with the moment as parameter `as_of`.
+# The same view as SQL over the raw tables, with the moment as parameter `as_of`. What compares
+# events with the moment is in the inner selects, where Spark can run it for many moments at once.
 SQL = """
 SELECT user_id AS entity_id,
-       count_if(order_ts >= :as_of - INTERVAL '30' DAY) AS order_count_30d,
-       try_divide(
-           CAST(sum(total_amount) FILTER (WHERE order_ts >= :as_of - INTERVAL '30' DAY) AS DOUBLE),
-           count_if(order_ts >= :as_of - INTERVAL '30' DAY)) AS avg_order_value_30d,
-       (unix_micros(:as_of) - unix_micros(max(order_ts))) / 86400000000D AS days_since_last_order,
-       count(view_ts) AS view_count_7d
-FROM (SELECT user_id, true AS known, CAST(null AS TIMESTAMP) AS order_ts,
-             CAST(null AS DECIMAL(12,2)) AS total_amount, CAST(null AS TIMESTAMP) AS view_ts
+       count_if(recent) AS order_count_30d,
+       try_divide(CAST(sum(total_amount) FILTER (WHERE recent) AS DOUBLE), count_if(recent))
+           AS avg_order_value_30d,
+       min(days_since) AS days_since_last_order,
+       count_if(viewed) AS view_count_7d
+FROM (SELECT user_id, true AS known, false AS recent, CAST(null AS DECIMAL(12,2)) AS total_amount,
+             CAST(null AS DOUBLE) AS days_since, false AS viewed
       FROM users WHERE signup_ts < :as_of
       UNION ALL
-      SELECT user_id, null, order_ts, total_amount, null FROM orders WHERE order_ts < :as_of
+      SELECT user_id, null, order_ts >= :as_of - INTERVAL '30' DAY, total_amount,
+             (unix_micros(:as_of) - unix_micros(order_ts)) / 86400000000D, false
+      FROM orders WHERE order_ts < :as_of
       UNION ALL
-      SELECT user_id, null, null, null, view_ts FROM product_views
+      SELECT user_id, null, false, null, null, true FROM product_views
       WHERE view_ts < :as_of AND view_ts >= :as_of - INTERVAL '7' DAY)
 GROUP BY user_id
 HAVING max(known)
