@@ -11,6 +11,7 @@ from tidemark.llm import bpe, gam, lm_scoring, packing, token_counts
 from tidemark.llm import exact_dedup as exact
 from tidemark.llm import jaccard_join as jaccard
 from tidemark.llm import line_runs as lines
+from tidemark.llm import merkle_manifest as merkle
 from tidemark.llm import quality_rules as rules
 from tidemark.llm import substring_dedup as substring
 from tidemark.session import prepare
@@ -95,3 +96,9 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substring.substring_dedup(table(spark, folder, "documents"))
     n_chars = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
     return found.withColumn("n_removed_chars", n_chars).drop("spans")
+
+
+@query(merkle.sql())
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return merkle.merkle_manifest(docs, claims={"n_chars": merkle.tampered()})
