@@ -16,7 +16,7 @@ from tidemark.session import cut
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for table in ("documents", "labels"):
+    for table in ("documents", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     return connection
 
@@ -30,7 +30,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == [*range(1, 12)]
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == [*range(1, 14)]
     assert "pipeline" in entry_points.queries()
 
 

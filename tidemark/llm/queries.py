@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, gam, lm_scoring, packing, token_counts
+from tidemark.llm import conversation_repair as repair
 from tidemark.llm import exact_dedup as exact
 from tidemark.llm import jaccard_join as jaccard
 from tidemark.llm import line_runs as lines
 from tidemark.llm import merkle_manifest as merkle
 from tidemark.llm import quality_rules as rules
+from tidemark.llm import secret_scans as secrets
 from tidemark.llm import substring_dedup as substring
-from tidemark.session import prepare
+from tidemark.session import prepare, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -102,3 +105,17 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return merkle.merkle_manifest(docs, claims={"n_chars": merkle.tampered()})
+
+
+@query(secrets.sql())
+def op12_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """From an empty ledger, so every content is scanned."""
+    docs = table(spark, folder, "documents")
+    ledger = secrets.BlobLedger(spark, f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}")
+    return secrets.digest_columns(secrets.secret_scan(docs, ledger))
+
+
+@query(repair.sql())
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns, copies = repair.damaged(table(spark, folder, "conversations"))
+    return repair.conversation_repair(turns, copies=copies)
