@@ -21,7 +21,7 @@ from tidemark.plans.publish import (
 from tidemark.plans.purchase_stats import FEATURES, VIEW
 from tidemark.sources import schemas
 from tidemark.sources.files import read_training_csv, write_training_csv
-from tidemark.sources.online import read_entities, read_features
+from tidemark.sources.online import asked_rows, read_entities, read_features
 from tidemark.sources.registry import (
     ACTIVE,
     DEPRECATED,
@@ -264,3 +264,24 @@ def test_values_of_any_day_prune_partitions(store):
     filters = plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "view_name" in filters and "snapshot_date" in filters
     assert long_values(store.spark, []).count() == 0
+
+
+def test_a_few_requests_read_their_buckets_only(spark, store):
+    put(store, "v", [("spend", n, day(1), float(n)) for n in range(200)])
+    store.registry.apply([FeatureView("v", "user")], [FeatureDefinition("spend", "v")])
+    assert materialize(store, "v", day(2)) == 200
+    published = store.online.published("v")
+    requests = spark.createDataFrame([(7, "a"), (7, "b"), (None, "c"), (900, "d")], "entity_id bigint, n string")
+    rows = asked_rows(requests, published)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(entity_id" not in plan.split("BroadcastExchange")[0]
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "bucket" in filters
+    assert rows.count() == 1
+    for most in (0, 1_000):
+        found = read_entities(requests, published) if most else read_entities(
+            requests, asked_rows(requests, published, 0)
+        )
+        assert sorted(rows_of(found, "n", "found")) == [
+            ("a", True), ("b", True), ("c", False), ("d", False)
+        ]

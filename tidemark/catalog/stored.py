@@ -16,7 +16,8 @@ from tidemark.catalog.base import (
     query,
     work_folder,
 )
-from tidemark.sources.adapters import from_events
+from tidemark.plans.rolling import RollingStats, apply_late
+from tidemark.sources.adapters import from_events, load
 from tidemark.sources.registry import FeatureDefinition, FeatureView
 from tidemark.catalog.monitoring import psi_sql, quality_sql
 from tidemark.plans.compute import backfill, compute_features
@@ -376,3 +377,79 @@ def published_forward_only(spark, folder):
         rows.append((attempt, written, until, store.online.read(MODEL_VIEW).count()))
     schema = "attempt string, written boolean, until timestamp, entities bigint"
     return spark.createDataFrame(rows, schema)
+
+
+@query(
+    f"""{EVENT_DAYS}, {LONG_SQL} SELECT entity_id, feature_name, event_timestamp, value FROM long
+WHERE event_timestamp BETWEEN TIMESTAMP '2024-01-20' AND TIMESTAMP '2024-01-24'"""
+)
+def rolling_days(spark, folder):
+    """Totals as of one midnight, carried on for four days that read one day of events each."""
+    store = FeatureStore(spark, work_folder(spark))
+    store.raw.replace_tables(from_events(spark, folder).present())
+    apply_definitions(store)
+    rolling = RollingStats(store)
+    rolling.start(AS_OF.date(), now=AS_OF)
+    for _ in range(4):
+        rolling.advance(now=AS_OF)
+    return store.values.read().select("entity_id", "feature_name", "event_timestamp", "value")
+
+
+@query(
+    f"""{EVENT_DAYS}, {LONG_SQL} SELECT entity_id, feature_name, event_timestamp, value FROM long"""
+)
+def late_events_mended(spark, folder):
+    """Events of the last hour of each day come after everything was computed."""
+    store = FeatureStore(spark, work_folder(spark))
+    raw = from_events(spark, folder)
+    late = {"orders": F.hour("order_ts") == 23, "product_views": F.hour("view_ts") == 23}
+    tables = raw.present()
+    in_time = {name: rows.where(~late[name]) if name in late else rows for name, rows in tables.items()}
+    store.raw.replace_tables(in_time)
+    apply_definitions(store)
+    backfill(store, MODEL_VIEW, FIRST, LAST, now=AS_OF)
+    load = store.raw.add_rows({name: tables[name].where(late[name]) for name in late})
+    apply_late(store, load, now=AS_OF)
+    return store.values.read().select("entity_id", "feature_name", "event_timestamp", "value")
+
+
+_TOTALS_SQL = f"""{EVENT_DAYS},
+moves AS (SELECT user_id AS entity_id, CAST(date_trunc('day', ts) AS TIMESTAMP) + INTERVAL 1 DAY
+                 AS event_timestamp, event_type, max(value) AS value
+          FROM events WHERE event_type IN ('click', 'purchase') GROUP BY ALL),
+req AS (SELECT event_id AS row_id, user_id AS entity_id, ts AS event_timestamp FROM events
+        WHERE event_type = 'view')"""
+
+
+@query(
+    f"""{_TOTALS_SQL} SELECT req.row_id, req.entity_id, req.event_timestamp,
+       round(arg_max(m.value, m.event_timestamp) FILTER (WHERE m.event_type = 'click'), 6)
+           AS click,
+       round(arg_max(m.value, m.event_timestamp) FILTER (WHERE m.event_type = 'purchase'), 6)
+           AS purchase
+FROM req LEFT JOIN moves m ON m.entity_id = req.entity_id
+     AND m.event_timestamp <= req.event_timestamp
+GROUP BY ALL"""
+)
+def historical_without_ttl(spark, folder):
+    """Values that never expire, by the default path: states of months and the days since.
+
+    The greatest click and purchase of each user and day count from the next midnight on.
+    """
+    store = FeatureStore(spark, work_folder(spark))
+    store.registry.apply(
+        [FeatureView("greatest", "user")],
+        [FeatureDefinition(name, "greatest") for name in ("click", "purchase")],
+    )
+    events = load(spark, folder, "events").where(F.col("event_type").isin("click", "purchase"))
+    following = F.date_trunc("day", "ts") + F.expr("INTERVAL 1 DAY")
+    values = events.groupBy(
+        F.col("user_id").alias("entity_id"),
+        following.alias("event_timestamp"),
+        F.col("event_type").alias("feature_name"),
+    ).agg(F.max("value").alias("value"))
+    store.values.upsert(values.withColumn("view_name", F.lit("greatest")), now=AS_OF)
+    store.values.advance_states("greatest", date(2024, 2, 1))
+    return historical_features(
+        store, event_requests(spark, folder, ["view"]), ["click", "purchase"]
+    )

@@ -1,156 +1,160 @@
 """Keys, references and value rules of the raw tables, as check rows.
 
 Parquet enforces no constraints, so a load is checked afterwards. Every check counts the rows that
-break its rule; more than none is an alert. Each table is read once: its rows are grouped by its
-key and by each of its references in one pass, and all checks are made on these counts.
+break its rule; more than none is an alert.
+
+Value rules are one aggregation per table without a shuffle of its rows. A key and all references
+to it are one grouping: the parent's rows and the references of its children are stacked, each
+counted for its own table, so a single shuffle of counted keys tells repeated keys and references
+to missing ones apart, without a join and without anything written. Grouping combines on the map
+side, so a reference that fills a large part of a table arrives as one row per task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import ALERT, OK, thousands
-from tidemark.session import cut
-
-
-class Counted:
-    """A table's rows counted per key and per value of each reference, with its broken rules."""
-
-    def __init__(
-        self,
-        frame: DataFrame,
-        name: str,
-        keys: Sequence[str],
-        references: Sequence[str] = (),
-        rules: Mapping[str, Column] | None = None,
-        totals: Mapping[str, Column] | None = None,
-    ):
-        self.name, self.keys, self.rules = name, list(keys), list(rules or {})
-        self.sets = [self.keys, *[[column] for column in references if [column] != self.keys]]
-        self.columns = list(dict.fromkeys([*self.keys, *references]))
-        self.rows = cut(
-            frame.groupingSets(self.sets, *self.columns).agg(
-                F.grouping_id().alias("set"),
-                F.count(F.lit(1)).alias("n"),
-                *[F.count_if(~rule).alias(f"broken_{i}") for i, rule in enumerate((rules or {}).values())],
-                *[column.alias(total) for total, column in (totals or {}).items()],
-            )
-        )
 
-    def by(self, *keys: str) -> DataFrame:
-        """The counts of one grouping."""
-        left_out = "".join("01"[column not in keys] for column in self.columns)
-        return self.rows.where(F.col("set") == int(left_out, 2))
 
-    def key_and_rules(self) -> DataFrame:
-        """Rows beyond the first of their key, and rows that break each rule.
+@dataclass(frozen=True)
+class Table:
+    """A table with its key, the tables its columns refer to, and what must hold in every row.
 
-        As in SQL, a CHECK rule passes when it is null; write not-null rules with `isNotNull()`.
-        """
-        names = ["primary_key", *self.rules]
-        counted = self.by(*self.keys).agg(
-            F.sum(F.col("n") - 1).alias(names[0]),
-            *[F.sum(f"broken_{i}").alias(rule) for i, rule in enumerate(self.rules)],
-        )
-        what = F.when(
-            F.col("metric") == names[0], f"rows repeat a key ({', '.join(self.keys)})"
-        ).otherwise("rows break the rule")
-        return _as_check(counted.unpivot([], names, "metric", "n"), self.name, F.col("metric"), what)
-
-    def refers_to(self, column: str, parent: Counted) -> DataFrame:
-        """Rows whose reference is no key of the parent table. Null references pass.
-
-        A reference that fills a large part of the table joins as a single row.
-        """
-        parents = parent.by(*parent.keys).select(F.col(parent.keys[0]).alias(column))
-        orphans = self.by(column).dropna(subset=[column]).join(parents, column, "left_anti")
-        return _as_check(
-            orphans.agg(F.sum("n").alias("n")),
-            self.name,
-            F.lit(f"foreign_key_{column}"),
-            F.lit(f"rows refer to a missing {column}"),
-        )
+    As in SQL, a rule passes when it is null; write not-null rules with `isNotNull()`. `sums` names
+    checks that a column of each key's row is a total over the rows that refer to it: the column,
+    the other table, and what is added up there.
+    """
 
-
-def _as_check(counted: DataFrame, table: str, metric: Column, what: Column) -> DataFrame:
-    """Turn rows with a count `n` into check rows."""
-    count = F.coalesce(F.col("n"), F.lit(0))
-    return counted.select(
-        F.lit(table).alias("name"),
-        metric.alias("metric"),
-        count.cast("double").alias("value"),
-        F.when(count > 0, ALERT).otherwise(OK).alias("status"),
-        F.concat(thousands(count), F.lit(" "), what).alias("message"),
-    )
+    name: str
+    frame: DataFrame
+    keys: Sequence[str]
+    references: Mapping[str, str] = field(default_factory=dict)
+    rules: Mapping[str, Column] = field(default_factory=dict)
+    sums: Mapping[str, tuple[Column, str, Column]] = field(default_factory=dict)
 
 
 def not_null(frame: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
     return {f"not_null_{column}": frame[column].isNotNull() for column in columns}
 
 
-def commerce_checks(commerce) -> DataFrame:
-    """Every key, reference, not-null and value rule of the raw tables that are present."""
-    raw_users, raw_orders, raw_views = commerce.users, commerce.orders, commerce.product_views
-    users = Counted(
-        raw_users, "users", ["user_id"], rules=not_null(raw_users, ["user_id", "signup_ts"])
-    )
-    orders = Counted(
-        raw_orders,
-        "orders",
-        ["order_id"],
-        ["user_id"],
-        not_null(raw_orders, raw_orders.columns),
-        {"total": F.max("total_amount")},
+def _check_rows(counted: DataFrame, found: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """One row of counts `n0, n1, ...` as check rows (table, metric, what is wrong)."""
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("name"),
+                F.lit(metric).alias("metric"),
+                F.coalesce(F.col(f"n{i}"), F.lit(0)).cast("bigint").alias("n"),
+                F.lit(what).alias("what"),
+            )
+            for i, (name, metric, what) in enumerate(found)
+        ]
     )
-    with_products = commerce.products is not None
-    product = ["product_id"] if with_products else []
-    views = Counted(
-        raw_views,
-        "product_views",
-        ["view_id"],
-        ["user_id", *product],
-        not_null(raw_views, raw_views.columns),
+    return counted.select(F.inline(rows)).select(
+        "name",
+        "metric",
+        F.col("n").cast("double").alias("value"),
+        F.when(F.col("n") > 0, ALERT).otherwise(OK).alias("status"),
+        F.concat(thousands(F.col("n")), F.lit(" "), F.col("what")).alias("message"),
     )
-    tables = [users, orders, views]
-    checks = [orders.refers_to("user_id", users), views.refers_to("user_id", users)]
-    products = None
-    if with_products:
-        found = commerce.products
-        products = Counted(
-            found, "products", ["product_id"], rules=not_null(found, found.columns)
-        )
-        tables.append(products)
-        checks.append(views.refers_to("product_id", products))
-    if commerce.order_items is not None:
-        found = commerce.order_items
-        items = Counted(
-            found,
-            "order_items",
-            ["order_id", "product_id"],
-            ["order_id", *product],
-            not_null(found, found.columns) | {"check_quantity": F.col("quantity") > 0},
-            {"lines": F.sum(F.col("unit_price") * F.col("quantity"))},
+
+
+def rule_checks(table: Table) -> DataFrame:
+    """Rows that break each rule, in one pass over the rules' columns."""
+    counts = [F.count_if(~rule).alias(f"n{i}") for i, rule in enumerate(table.rules.values())]
+    found = [(table.name, metric, "rows break the rule") for metric in table.rules]
+    return _check_rows(table.frame.agg(*counts), found)
+
+
+def key_checks(table: Table, tables: Sequence[Table]) -> DataFrame:
+    """Repeated keys of a table, references to keys it lacks, and totals that differ.
+
+    Null references pass.
+    """
+    children = [
+        (child, column)
+        for child in tables
+        for column, parent in child.references.items()
+        if parent == table.name
+    ]
+    if children and len(table.keys) != 1:
+        raise ValueError(f"references to {table.name} need a key of one column")
+    keys = [f"k{i}" for i in range(len(table.keys))]
+    parts = [
+        table.frame.select(
+            *[F.col(key).alias(name) for key, name in zip(table.keys, keys, strict=True)],
+            F.lit(1).alias("own"),
+            *[value.alias(f"is_{name}") for name, (value, _, _) in table.sums.items()],
         )
-        tables.append(items)
-        checks += [items.refers_to("order_id", orders), order_totals(orders, items)]
-        if products is not None:
-            checks.append(items.refers_to("product_id", products))
-    checks += [table.key_and_rules() for table in tables]
+    ]
+    found = [(table.name, "primary_key", f"rows repeat a key ({', '.join(table.keys)})")]
+    counts = [F.sum(F.greatest(F.col("own") - 1, F.lit(0))).alias("n0")]
+    grouped = [F.coalesce(F.sum("own"), F.lit(0)).alias("own")]
+    for i, (child, column) in enumerate(children):
+        sums = [
+            value.alias(f"of_{name}")
+            for name, (_, other, value) in table.sums.items()
+            if other == child.name
+        ]
+        rows = child.frame.where(F.col(column).isNotNull())
+        parts.append(rows.select(F.col(column).alias("k0"), F.lit(1).alias(f"c{i}"), *sums))
+        grouped.append(F.sum(f"c{i}").alias(f"c{i}"))
+        found.append((child.name, f"foreign_key_{column}", f"rows refer to a missing {column}"))
+        counts.append(F.sum(F.when(F.col("own") == 0, F.col(f"c{i}"))).alias(f"n{len(counts)}"))
+    for name, (_, other, _) in table.sums.items():
+        grouped += [F.max(f"is_{name}").alias(f"is_{name}"), F.sum(f"of_{name}").alias(f"of_{name}")]
+        differs = F.col(f"is_{name}").isNotNull() & ~F.col(f"is_{name}").eqNullSafe(F.col(f"of_{name}"))
+        counts.append(F.count_if(differs).alias(f"n{len(counts)}"))
+        found.append((table.name, name, f"{table.name} differ from the sum of their {other}"))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return _check_rows(stacked.groupBy(*keys).agg(*grouped).agg(*counts), found)
+
+
+def integrity_checks(tables: Sequence[Table]) -> DataFrame:
+    """Every key, reference, rule and total of the tables."""
+    checks = [key_checks(table, tables) for table in tables]
+    checks += [rule_checks(table) for table in tables if table.rules]
     return reduce(DataFrame.unionByName, checks)
 
 
-def order_totals(orders: Counted, items: Counted) -> DataFrame:
-    """Orders whose amount is not the sum of price times quantity over their items."""
-    lines = items.by("order_id").select("order_id", "lines")
-    both = orders.by("order_id").select("order_id", "total").join(lines, "order_id", "left")
-    wrong = F.col("total").isNotNull() & ~F.col("total").eqNullSafe(F.col("lines"))
-    return _as_check(
-        both.agg(F.count_if(wrong).alias("n")),
-        "orders",
-        F.lit("item_totals"),
-        F.lit("orders differ from the sum of their items"),
-    )
+def commerce_checks(commerce) -> DataFrame:
+    """Every key, reference, not-null and value rule of the raw tables that are present."""
+    users, orders, views = commerce.users, commerce.orders, commerce.product_views
+    products, items = commerce.products, commerce.order_items
+    to_product = {} if products is None else {"product_id": "products"}
+    totals = {}
+    if items is not None:
+        lines = F.col("unit_price") * F.col("quantity")
+        totals = {"item_totals": (F.col("total_amount"), "order_items", lines)}
+    tables = [
+        Table("users", users, ["user_id"], rules=not_null(users, ["user_id", "signup_ts"])),
+        Table(
+            "orders",
+            orders,
+            ["order_id"],
+            {"user_id": "users"},
+            not_null(orders, orders.columns),
+            totals,
+        ),
+        Table(
+            "product_views",
+            views,
+            ["view_id"],
+            {"user_id": "users", **to_product},
+            not_null(views, views.columns),
+        ),
+    ]
+    if products is not None:
+        rules = not_null(products, products.columns)
+        tables.append(Table("products", products, ["product_id"], rules=rules))
+    if items is not None:
+        rules = not_null(items, items.columns) | {"check_quantity": F.col("quantity") > 0}
+        references = {"order_id": "orders", **to_product}
+        tables.append(Table("order_items", items, ["order_id", "product_id"], references, rules))
+    return integrity_checks(tables)

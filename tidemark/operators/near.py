@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # Up to this many (entity, day) pairs are broadcast; more are shuffled, with the values.
 BROADCAST_PAIRS = 1_000_000
 DAY = timedelta(days=1)
+# Days of a longer validity are not listed one by one: its values are cut by entity only.
+LONGEST_TTL = timedelta(days=400)
 
 
 def _days_back(ttl: timedelta) -> int:
@@ -36,9 +38,15 @@ def request_days(requests: DataFrame) -> tuple[dict[date, int], int]:
 
 def visible_days(days: Iterable[date], ttl: timedelta | None) -> list[date] | None:
     """The days whose values can be valid on the given days; None stands for every earlier day."""
-    if ttl is None:
+    if ttl is None or ttl > LONGEST_TTL:
         return None
-    return sorted({day - n * DAY for day in days for n in range(_days_back(ttl) + 1)})
+    return sorted(
+        {
+            day - n * DAY
+            for day in days
+            for n in range(min(_days_back(ttl), (day - date.min).days) + 1)
+        }
+    )
 
 
 def on_visible_days(
@@ -71,6 +79,8 @@ def near_requests(
     `days` comes from `request_days`. It is a semi join: a value is kept once, however many
     requests could see it. The requested (entity, day) pairs are broadcast up to about `limit`.
     """
+    if ttl is not None and ttl > LONGEST_TTL:
+        ttl = None
     reach = 1 if ttl is None else _days_back(ttl) + 1
     day = F.to_date("event_timestamp")
     if ttl is None:

@@ -6,7 +6,7 @@ import re
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -19,6 +19,7 @@ from tidemark.operators.reshape import check_columns, to_long
 from tidemark.plans import purchase_stats
 from tidemark.plans.store import FeatureStore
 from tidemark.sources.adapters import Commerce
+from tidemark.sources.registry import FeatureView
 
 # The table of moments that SQL reads to answer for all of them at once.
 SNAPSHOTS = "snapshots"
@@ -156,14 +157,20 @@ def view_values(
     return long.withColumn("view_name", F.lit(view_name))
 
 
-def _features(store: FeatureStore, view_name: str) -> tuple[FrameView | None, str | None, list[str]]:
-    """How a view is computed (functions or SQL), and the features that are in use."""
+def _features(store: FeatureStore, view_name: str) -> tuple[FrameView | None, FeatureView, list[str]]:
+    """How a view is computed (functions, or the SQL it has), and the features that are in use."""
     view = store.registry.get_view(view_name)
     built = frame_view(view_name, view.source_sql)
     if built is None and not view.source_sql:
         raise ValueError(f"Feature view '{view_name}' has no source SQL")
     names = [feature.feature_name for feature in store.registry.in_use(view_name)]
-    return built, view.source_sql, names
+    return built, view, names
+
+
+def keep_states(store: FeatureStore, view: FeatureView, until: date) -> None:
+    """Values that never expire get a state for every month, so reads need not go back further."""
+    if view.ttl is None:
+        store.values.advance_states(view.view_name, until)
 
 
 def compute_features(
@@ -175,10 +182,12 @@ def compute_features(
     Late events are picked up by computing a moment again.
     """
     moment(as_of)
-    built, sql, features = _features(store, view_name)
+    built, view, features = _features(store, view_name)
     raw = store.raw.read()
-    wide = sql_at(raw, sql, [as_of]) if built is None else built.at(raw, as_of)
-    return store.values.upsert(view_values(wide, view_name, features, as_of), now)
+    wide = sql_at(raw, view.source_sql, [as_of]) if built is None else built.at(raw, as_of)
+    written = store.values.upsert(view_values(wide, view_name, features, as_of), now)
+    keep_states(store, view, as_of.astimezone(UTC).date())
+    return written
 
 
 def backfill(
@@ -189,13 +198,15 @@ def backfill(
     Functions with `at_once` and SQL take one pass over the events; functions without it, and SQL
     that Spark cannot correlate, are computed for each day, `UNION_MOMENTS` days in a job.
     """
-    built, sql, features = _features(store, view_name)
+    built, view, features = _features(store, view_name)
     days = daily_snapshots(start, end)
     raw, at = store.raw.read(), F.col("event_timestamp")
-    return sum(
+    written = sum(
         store.values.upsert(view_values(wide, view_name, features, at), now)
-        for wide in _at_all(raw, built, sql, days)
+        for wide in _at_all(raw, built, view.source_sql, days)
     )
+    keep_states(store, view, end)
+    return written
 
 
 def _at_all(

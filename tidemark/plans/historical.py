@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,13 +50,15 @@ def features_at(
     values: DataFrame,
     ttls: Mapping[str, timedelta | None],
     hot_rows: int | None = HOT_ROWS,
+    asked: tuple[dict[date, int], int] | None = None,
 ) -> DataFrame:
     """The as-of join, on stored values cut down to what the requests can see.
 
     First to the days within reach of the requested days (partitions of the store), then, while
     they fit a broadcast, to the requested entities on those days. What is left is shuffled.
+    `asked` is what `request_days` says of the requests, if it is known.
     """
-    days, n_requests = request_days(requests)
+    days, n_requests = asked or request_days(requests)
     visible = on_visible_days(values, days, ttls, "feature_name")
     by_ttl: dict[timedelta | None, list[str]] = {}
     for name, ttl in ttls.items():
@@ -80,10 +82,21 @@ def historical_features(
     """Each request row with the value every feature had at its `event_timestamp`.
 
     Keeps all columns and duplicates of the requests. Features may come from several views, each
-    with its own ttl. Raises NotRegisteredError for a name that is not registered.
+    with its own ttl. Of a view whose values never expire, the state at the first of each requested
+    month and the days since are read. Raises NotRegisteredError for a name that is not registered.
     """
     ttls = store.registry.ttls(feature_names)
     definitions = store.registry.definitions().where(F.col("feature_name").isin(list(ttls)))
-    views = [row["view_name"] for row in definitions.select("view_name").distinct().collect()]
-    values = store.values.read().where(F.col("view_name").isin(views))
-    return features_at(requests, values, ttls, hot_rows)
+    view_of = {row["feature_name"]: row["view_name"] for row in definitions.collect()}
+    asked = request_days(requests)
+    days = asked[0]
+    values = []
+    for view, ttl in {view_of[name]: ttl for name, ttl in ttls.items()}.items():
+        if ttl is None:
+            values.append(store.values.as_known(view, days))
+        else:
+            first = min(days, default=date.min)
+            since = first - min(ttl, first - date.min)
+            until = max(days, default=date.min)
+            values.append(store.values.read(view, since, until).where(F.col("view_name") == view))
+    return features_at(requests, reduce(DataFrame.unionByName, values), ttls, hot_rows, asked)

@@ -2,25 +2,32 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import moment
-from tidemark.operators.latest import latest_rows, without_nulls
+from tidemark.operators.latest import latest_rows, latest_values, without_nulls
 from tidemark.operators.reshape import to_wide
-from tidemark.plans.historical import features_at
 from tidemark.plans.store import FeatureStore
-from tidemark.session import cut
+from tidemark.sources.registry import FeatureView
 
 
 def current_rows(store: FeatureStore, view_name: str, as_of: datetime) -> DataFrame:
     """The latest valid values per entity of a view, out of the store."""
     view = store.registry.get_view(view_name)
     features = [feature.feature_name for feature in store.registry.in_use(view_name)]
-    values = store.values.until(moment(as_of), view_name, view.ttl)
-    return latest_rows(values, as_of, view.ttl, features)
+    return latest_rows(visible_values(store, view, as_of), as_of, view.ttl, features)
+
+
+def visible_values(store: FeatureStore, view: FeatureView, as_of: datetime) -> DataFrame:
+    """Values among which are the latest ones of a view: those within its ttl, or without one the
+    state at the first of the month and the days since."""
+    if view.ttl is not None:
+        return store.values.until(moment(as_of), view.view_name, view.ttl)
+    known = store.values.as_known(view.view_name, [moment(as_of).astimezone(UTC).date()])
+    return known.where(F.col("event_timestamp") <= F.lit(as_of))
 
 
 def materialize(
@@ -43,33 +50,33 @@ def stale_entities(published: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def parity_differences(store: FeatureStore, view_name: str) -> DataFrame:
-    """Where the published values differ from the point-in-time join at the published moment.
+    """Where the published values differ from the latest stored ones at the published moment.
 
-    `entity_id, feature_name, published, stored`; no rows means both agree. Entities come from
-    both sides, so one that was published without a valid value is found, and one that has a value
-    but was not published.
+    `entity_id, feature_name, published, stored`; no rows means both agree. Both sides are stacked
+    and grouped once, so an entity that only one side has is found, and what was published is not
+    joined with the store. A stored null counts as nothing published.
     """
     until = store.online.until(view_name)
     if until is None:
         raise LookupError(f"view '{view_name}' was never published")
     features = [feature.feature_name for feature in store.registry.in_use(view_name)]
     view = store.registry.get_view(view_name)
-    published = store.online.read(view_name)
-    visible = store.values.until(until, view_name, view.ttl).where(
-        F.col("feature_name").isin(features)
+    stored = latest_values(
+        visible_values(store, view, until).where(F.col("feature_name").isin(features)),
+        until,
+        view.ttl,
     )
-    entities = published.select("entity_id").union(visible.select("entity_id")).distinct()
-    requests = cut(entities.withColumn("event_timestamp", F.lit(until)))
-    ttls = store.registry.ttls(features)
-    stored = features_at(requests, store.values.read(view_name), ttls, hot_rows=None)
-    long_published = published.select(
+    published = store.online.read(view_name).select(
         "entity_id", F.explode("values").alias("feature_name", "published")
     )
-    long_stored = stored.unpivot(["entity_id"], features, "feature_name", "stored")
-    return (
-        long_stored.join(long_published, ["entity_id", "feature_name"], "full_outer")
-        .where(~F.col("stored").eqNullSafe(F.col("published")))
-        .select("entity_id", "feature_name", "published", "stored")
+    both = stored.select("entity_id", "feature_name", F.col("value").alias("stored")).unionByName(
+        published, allowMissingColumns=True
+    )
+    sides = both.groupBy("entity_id", "feature_name").agg(
+        F.max("published").alias("published"), F.max("stored").alias("stored")
+    )
+    return sides.where(~F.col("stored").eqNullSafe(F.col("published"))).select(
+        "entity_id", "feature_name", "published", "stored"
     )
 
 

@@ -96,11 +96,14 @@ def purchase_stats(
     )
     return stats.where("known").select(
         F.col("user_id").alias("entity_id"),
-        *_features(F.lit(as_of), order_days, view_days),
+        *feature_columns(F.lit(as_of), order_days, view_days),
     )
 
 
-def _features(at: Column, order_days: int, view_days: int) -> list[Column]:
+def feature_columns(
+    at: Column, order_days: int = ORDER_DAYS, view_days: int = VIEW_DAYS
+) -> list[Column]:
+    """The features out of `orders`, `amount`, `last_order` and `views` of a user at a moment."""
     return [
         F.col("orders").alias(f"order_count_{order_days}d"),
         F.try_divide(F.col("amount").cast("double"), F.col("orders")).alias(
@@ -177,5 +180,5 @@ def purchase_stats_at(
     return stats.where(F.col("event_timestamp").isNotNull()).select(
         F.col("user_id").alias("entity_id"),
         "event_timestamp",
-        *_features(F.col("event_timestamp"), order_days, view_days),
+        *feature_columns(F.col("event_timestamp"), order_days, view_days),
     )

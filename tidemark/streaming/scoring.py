@@ -12,11 +12,14 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.plans.modeling import MODEL_FEATURES, MODEL_NAME, MODEL_VIEW, score
 from tidemark.plans.store import FeatureStore
 from tidemark.sources.models import ModelVersion
-from tidemark.sources.online import read_features
+from tidemark.sources.online import Published, read_features
 
 
 def score_requests(
-    requests: DataFrame, published: DataFrame, champion: ModelVersion, predicted_at: datetime
+    requests: DataFrame,
+    published: DataFrame | Published,
+    champion: ModelVersion,
+    predicted_at: datetime,
 ) -> tuple[DataFrame, DataFrame]:
     """Predictions for requests (`entity_id` and more) of published entities, and the rejects.
 
@@ -53,7 +56,9 @@ def score_and_log(
     champion = store.models.champion(MODEL_NAME)
     if champion is None:
         raise LookupError("there is no champion model yet")
-    published, now = store.online.read(MODEL_VIEW), predicted_at or datetime.now(UTC)
+    # A batch of a few requests reads the buckets they are in
+    published = store.online.published(MODEL_VIEW) or store.online.read(MODEL_VIEW)
+    now = predicted_at or datetime.now(UTC)
     # Looked through for hot entities, scored and searched for rejects: read the source once
     requests = requests.persist(StorageLevel.MEMORY_AND_DISK)
     try:
