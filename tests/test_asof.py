@@ -18,77 +18,64 @@ from tidemark.plans.historical import (
 from tidemark.session import cut
 from tidemark.sources.registry import FeatureDefinition, FeatureView, NotRegisteredError
 
-TWO_DAYS = timedelta(days=2)
-TTLS = {"spend": TWO_DAYS, "clicks": TWO_DAYS, "segment": None}
+HOUR, TICK = timedelta(hours=1), timedelta(microseconds=1)
+# Machines report these; a firmware stays until the next one.
+TTLS = {"temperature": 30 * HOUR, "load": 2 * HOUR, "firmware": None}
 
 
-def ask(spark, values, requests, features=("spend",), **options):
+def ask(spark, values, requests, features=tuple(TTLS), **options):
     frame = request_rows(spark, requests)
     ttls = {name: TTLS[name] for name in features}
     answers = asof_join(frame, long_values(spark, values), ttls, **options)
     return rows_of(answers.orderBy("row_id"), *features)
 
 
-def test_never_the_future(spark):
-    values = [("spend", 1, day(1), 10.0), ("spend", 1, day(3), 999.0)]
-    assert ask(spark, values, [(1, day(2))]) == [(10.0,)]
-
-
-def test_value_at_the_same_moment_counts(spark):
-    assert ask(spark, [("spend", 1, day(2), 5.0)], [(1, day(2))]) == [(5.0,)]
-
-
-def test_ttl_is_inclusive(spark):
-    values = [("spend", 1, day(1), 10.0)]
-    assert ask(spark, values, [(1, day(3)), (1, day(3, 1))]) == [(10.0,), (None,)]
-
-
-def test_without_ttl_a_value_never_expires(spark):
-    values = [("segment", 1, day(1, month=1), 3.0)]
-    assert ask(spark, values, [(1, day(20))], ["segment"]) == [(3.0,)]
-
-
-def test_stored_null_hides_older_values(spark):
-    values = [("spend", 1, day(1), 10.0), ("spend", 1, day(2), None)]
-    assert ask(spark, values, [(1, day(2))]) == [(None,)]
-
-
-def test_nan_is_returned_as_stored(spark):
-    (value,) = ask(spark, [("spend", 1, day(1), float("nan"))], [(1, day(1))])[0]
-    assert value != value
-
-
-def test_features_are_looked_up_independently(spark):
+@pytest.mark.parametrize("hot_rows", [None, 3])
+def test_at_the_edges_of_every_validity(spark, hot_rows):
+    """A tick before and after each value begins and ends to count, with nulls and gaps between."""
     values = [
-        ("spend", 1, day(2), 1.0),
-        ("clicks", 1, day(1), 2.0),
-        ("segment", 1, day(1, month=1), 3.0),
+        (name, machine, day(4) + machine * 7 * HOUR + n * 5 * HOUR, None if n == 2 else 10.0 * n)
+        for name in TTLS
+        for machine in (1, 2)
+        for n in (0, 1, 2, 5, 6)
     ]
-    assert ask(spark, values, [(1, day(3))], ["segment", "spend", "clicks"]) == [(3.0, 1.0, 2.0)]
-
-
-def test_order_duplicates_and_unknown_entities(spark):
-    values = [("spend", 1, day(1), 10.0), ("spend", 1, day(2), 20.0), ("spend", 2, day(1), 70.0)]
-    requests = [(2, day(2)), (1, day(1)), (99, day(2)), (1, day(2)), (1, day(2)), (None, day(2))]
-    expected = [(70.0,), (10.0,), (None,), (20.0,), (20.0,), (None,)]
-    assert ask(spark, values, requests) == expected
-    assert ask(spark, values, requests, hot_rows=1) == expected
-
-
-def test_requests_from_parallel_arrays(spark):
-    lists = spark.createDataFrame(
-        [("a", [2, 1], [day(2), day(1)])],
-        "who string, entity_ids array<bigint>, timestamps array<timestamp>",
-    )
-    rows = rows_of(exploded_requests(lists).orderBy("row_id"), "who", "row_id", "entity_id")
-    assert rows == [("a", 0, 2), ("a", 1, 1)]
-    values = long_values(spark, [("spend", 1, day(1), 10.0)])
-    joined = asof_join(exploded_requests(lists), values, {"spend": None})
-    assert rows_of(joined.orderBy("row_id"), "spend") == [(None,), (10.0,)]
+    moments = {
+        (machine, at + tick)
+        for name, machine, ts, _ in values
+        for at in (ts, ts + (TTLS[name] or 100 * HOUR))
+        for tick in (-TICK, 0 * TICK, TICK)
+    }
+    requests = [*sorted(moments), (3, day(5)), (1, day(1))]
+    assert ask(spark, values, requests, hot_rows=hot_rows) == brute_force(values, requests, TTLS)
+
+
+def test_rows_keep_their_order_and_repeats(spark):
+    values = [("load", 4, day(2), 0.25), ("load", 5, day(2), float("nan"))]
+    requests = [(5, day(2)), (4, day(2)), (None, day(2)), (4, day(2)), (6, day(2))]
+    for hot_rows in (None, 1):
+        nan, *others = ask(spark, values, requests, ["load"], hot_rows=hot_rows)
+        assert nan[0] != nan[0]
+        assert others == [(0.25,), (None,), (0.25,), (None,)]
+
+
+def test_requests_as_lists_of_moments_or_texts(spark):
+    """The same two requests: the second is before the value, by an hour or by its offset."""
+    ids, moments = [7, 8], [day(2, 12), day(2, 11)]
+    texts = ["2026-03-02T13:00:00+01:00", "2026-03-02 11:00:00"]
+    schema = "shift string, entity_ids array<bigint>, timestamps array<{}>"
+    values = long_values(spark, [("load", machine, day(2, 12), 0.5) for machine in ids])
+    for kind, stamps in (("timestamp", moments), ("string", texts)):
+        lists = spark.createDataFrame([("late", ids, stamps)], schema.format(kind))
+        requests = exploded_requests(lists)
+        assert requests.columns == ["shift", "row_id", "entity_id", "event_timestamp"]
+        joined = asof_join(requests, values, {"load": None}).orderBy("row_id")
+        assert rows_of(joined, "shift", "row_id", "entity_id", "load") == [
+            ("late", 0, 7, 0.5), ("late", 1, 8, None)
+        ]
 
 
 def test_no_requests(spark):
-    assert ask(spark, [("spend", 1, day(1), 10.0)], []) == []
+    assert ask(spark, [("load", 1, day(1), 10.0)], []) == []
 
 
 def brute_force(values, requests, ttls):
@@ -141,7 +128,7 @@ def test_pruned_join_gives_the_same(spark):
 
 def test_plan_has_one_shuffle_and_no_nested_loop(spark):
     requests = request_rows(spark, [(1, day(1))])
-    values = long_values(spark, [("spend", 1, day(1), 1.0)])
+    values = long_values(spark, [("load", 1, day(1), 1.0)])
     joined = asof_join(requests, values, TTLS, hot_rows=None)
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
@@ -150,18 +137,20 @@ def test_plan_has_one_shuffle_and_no_nested_loop(spark):
 
 def test_store_reads_only_visible_days(store):
     store.registry.apply(
-        [FeatureView("with_ttl", "user", ttl=TWO_DAYS), FeatureView("without_ttl", "user")],
-        [FeatureDefinition("spend", "with_ttl"), FeatureDefinition("segment", "without_ttl")],
+        [FeatureView("hourly", "machine", ttl=26 * HOUR), FeatureView("changes", "machine")],
+        [FeatureDefinition("load", "hourly"), FeatureDefinition("firmware", "changes")],
     )
-    put(store, "with_ttl", [("spend", 1, day(n), float(n)) for n in range(1, 11)])
-    put(store, "without_ttl", [("segment", 1, day(1), 7.0)])
-    requests = request_rows(store.spark, [(1, day(9, 5)), (2, day(9))])
-    joined = historical_features(store, requests, ["segment", "spend"])
-    found = rows_of(joined.orderBy("row_id"), "segment", "spend")
-    assert found == [(7.0, 9.0), (None, None)]
-    spend_only = historical_features(store, requests, ["spend"])
-    plan = spend_only._jdf.queryExecution().executedPlan().toString()
+    put(store, "hourly", [("load", 1, day(n), float(n)) for n in range(1, 11)])
+    put(store, "changes", [("firmware", 1, day(2), 2.5), ("firmware", 2, day(9, 1), 3.0)])
+    requests = request_rows(store.spark, [(1, day(7, 1)), (2, day(7)), (1, day(7, 1))])
+    joined = historical_features(store, requests, ["firmware", "load"])
+    found = rows_of(joined.orderBy("row_id"), "firmware", "load")
+    assert found == [(2.5, 7.0), (None, None), (2.5, 7.0)]
+    only = historical_features(store, requests, ["load"])
+    plan = only._jdf.queryExecution().executedPlan().toString()
     assert "snapshot_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    read = {file.split("snapshot_date=")[1][:10] for file in only.inputFiles()}
+    assert read == {"2026-03-05", "2026-03-06", "2026-03-07"}
 
 
 def test_unknown_feature_raises(store):

@@ -9,7 +9,7 @@ from conftest import day, rows_of
 from pyspark.sql import functions as F
 
 from tidemark.functions.snapshots import daily_snapshots, monthly_snapshots
-from tidemark.functions.time import iso_text, parse_moment
+from tidemark.functions.time import from_iso_text, iso_text
 from tidemark.functions.values import general, percent
 from tidemark.operators.labels import bought_within, require_final
 from tidemark.operators.reshape import check_columns, to_long, to_wide
@@ -102,15 +102,17 @@ def test_moments_must_be_clear(spark):
         purchase_stats(raw, datetime(2026, 3, 1))
     with pytest.raises(ValueError, match="midnight"):
         purchase_stats_at(raw, [day(3, 5)])
-    assert parse_moment("2026-03-01") == day(1)
-    assert parse_moment("2026-03-01T02:00:00+02:00") == day(1)
 
 
 def test_timestamps_as_text(spark):
-    frame = spark.createDataFrame([(day(5, 7),)], "ts timestamp")
-    (text,) = rows_of(frame.select(iso_text(F.col("ts"))))[0]
-    assert text == "2026-03-05T07:00:00+00:00"
-    assert parse_moment(text) == day(5, 7)
+    """Out and in again; a day or a moment without an offset is in UTC."""
+    frame = spark.createDataFrame([(day(5, 7),)], "ts timestamp").select(iso_text(F.col("ts")).alias("t"))
+    assert rows_of(frame) == [("2026-03-05T07:00:00+00:00",)]
+    texts = frame.unionByName(
+        spark.createDataFrame([("2026-03-05T09:00:00+02:00",), ("2026-03-05 07:00:00",)], "t string")
+    )
+    assert texts.where(from_iso_text(F.col("t")) != F.lit(day(5, 7))).count() == 0
+    assert rows_of(spark.sql("SELECT '2026-03-01' AS t").where(from_iso_text(F.col("t")) == F.lit(day(1))))
 
 
 def test_ties_in_messages(spark):

@@ -21,11 +21,17 @@ from tidemark.sources.adapters import from_events, load
 from tidemark.sources.registry import FeatureDefinition, FeatureView
 from tidemark.catalog.monitoring import psi_sql, quality_sql
 from tidemark.plans.compute import backfill, compute_features
-from tidemark.plans.historical import historical_features
+from tidemark.functions.time import iso_text
+from tidemark.plans.historical import exploded_requests, historical_features
 from tidemark.plans.jobs import apply_definitions
 from tidemark.plans.modeling import MODEL_FEATURES, MODEL_NAME, MODEL_VIEW, train_and_register
 from tidemark.plans.monitoring import monitor_features, monitor_status
-from tidemark.plans.publish import materialize, parity_differences, published_wide
+from tidemark.plans.publish import (
+    materialize,
+    parity_differences,
+    published_documents,
+    published_wide,
+)
 from tidemark.plans.retraining import performance_check, retrain_reasons
 from tidemark.plans.store import FeatureStore
 from tidemark.plans.training import Label, build_training_set
@@ -183,16 +189,22 @@ _MONITORED_SQL = f"{quality_sql(_MONITORED, _REGISTERED)}, {_DRIFT}"
 
 @query(
     f"""{EVENT_DAYS}, {LONG_SQL}, {_DRIFT}
-SELECT name || ' has drifted: ' || message AS reason FROM drift WHERE status = 'alert'""",
-    name="retrain_reasons",
+SELECT name || ' has drifted: ' || message AS reason FROM drift WHERE status = 'alert'"""
 )
-def retrain_reasons_found(spark, folder):
-    """Why the model should be retrained because of its inputs."""
+def retrain_reasons_drift(spark, folder):
+    """Which inputs of the model have drifted, as reasons to retrain."""
     reasons = retrain_reasons(trained_store(spark, folder), _day(25), NEXT_3_DAYS)
     drifted = [(reason,) for reason in reasons if " has drifted: " in reason]
     return spark.createDataFrame(drifted, "reason string")
 
 
+@query(name="retrain_reasons")
+def retrain_reasons_found(spark, folder):
+    """All reasons to retrain the model: its inputs, its quality, or that there is none to check."""
+    reasons = retrain_reasons(trained_store(spark, folder), _day(25), NEXT_3_DAYS)
+    return spark.createDataFrame([(reason,) for reason in reasons], "reason string")
+
+
 @query(
     f"""{EVENT_DAYS} SELECT 'purchase_model' AS name, 'roc_auc' AS metric, TRUE AS graded,
        ' on the snapshot of 2024-01-22' AS snapshot""",
@@ -453,3 +465,40 @@ def historical_without_ttl(spark, folder):
     return historical_features(
         store, event_requests(spark, folder, ["view"]), ["click", "purchase"]
     )
+
+
+@query(
+    f"""{EVENT_DAYS} SELECT user_id AS entity_id, strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS asked,
+       CAST(view_count_7d AS DOUBLE) AS view_count_7d
+FROM events LEFT JOIN f ON f.entity_id = user_id AND f.event_timestamp = date_trunc('day', ts)
+WHERE event_type = 'click'"""
+)
+def historical_from_texts(spark, folder):
+    """Requests as one list of users and one of ISO texts for each day."""
+    clicks = event_requests(spark, folder, ["click"])
+    whole = F.date_trunc("second", "event_timestamp")
+    pairs = F.collect_list(F.struct("entity_id", iso_text(whole).alias("asked")))
+    lists = clicks.groupBy(F.to_date("event_timestamp").alias("day")).agg(pairs.alias("pairs"))
+    requests = exploded_requests(
+        lists.select(
+            F.col("pairs.entity_id").alias("entity_ids"), F.col("pairs.asked").alias("timestamps")
+        )
+    )
+    found = historical_features(events_store(spark, folder), requests, ["view_count_7d"])
+    return found.select("entity_id", iso_text(F.col("event_timestamp")).alias("asked"), "view_count_7d")
+
+
+@query(
+    f"""{EVENT_DAYS} SELECT entity_id, '2024-01-20T00:00:00+00:00' AS features_as_of,
+       CAST(view_count_7d AS DOUBLE) AS view_count_7d
+FROM f WHERE event_timestamp = TIMESTAMP '2024-01-20'"""
+)
+def published_texts(spark, folder):
+    """Published rows as documents for other stores, one of their features read again."""
+    store = own_store(spark, folder)
+    materialize(store, MODEL_VIEW, AS_OF, force=True)
+    return published_documents(store, MODEL_VIEW).select(
+        "entity_id",
+        "features_as_of",
+        F.get_json_object("document", "$.view_count_7d").cast("double").alias("view_count_7d"),
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.time import moment
+from tidemark.functions.time import from_iso_text, moment
 from tidemark.operators.asof import asof_join
 from tidemark.operators.hot import HOT_ROWS
 from tidemark.operators.near import near_requests, on_visible_days, request_days
@@ -33,7 +33,8 @@ def request_rows(spark: SparkSession, rows: Sequence[tuple[int, datetime]]) -> D
 def exploded_requests(lists: DataFrame) -> DataFrame:
     """Parallel arrays `entity_ids` and `timestamps` as requests, one per position.
 
-    `row_id` is the position within the row's arrays, other columns are kept.
+    `row_id` is the position within the row's arrays, other columns are kept. Timestamps may be
+    ISO texts.
     """
     others = [name for name in lists.columns if name not in ("entity_ids", "timestamps")]
     pairs = F.posexplode(F.arrays_zip("entity_ids", "timestamps")).alias("row_id", "pair")
@@ -41,7 +42,7 @@ def exploded_requests(lists: DataFrame) -> DataFrame:
         *others,
         "row_id",
         F.col("pair.entity_ids").alias("entity_id"),
-        F.col("pair.timestamps").alias("event_timestamp"),
+        from_iso_text(F.col("pair.timestamps")).alias("event_timestamp"),
     )
 
 

@@ -7,7 +7,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import moment
+from tidemark.functions.time import iso_text, moment
 from tidemark.operators.latest import latest_rows, latest_values, without_nulls
 from tidemark.operators.reshape import to_wide
 from tidemark.plans.store import FeatureStore
@@ -89,3 +89,16 @@ def published_wide(store: FeatureStore, view_name: str) -> DataFrame:
         F.explode_outer("values").alias("feature_name", "value"),
     )
     return to_wide(long, features, ["entity_id", "event_timestamp"])
+
+
+def published_documents(store: FeatureStore, view_name: str) -> DataFrame:
+    """The published rows as texts for other stores: `entity_id, features_as_of, document`.
+
+    The moment is in ISO form, the document a JSON object of the features that have a value.
+    """
+    rows = without_nulls(store.online.read(view_name))
+    return rows.select(
+        "entity_id",
+        iso_text(F.col("event_timestamp")).alias("features_as_of"),
+        F.to_json("values").alias("document"),
+    )
