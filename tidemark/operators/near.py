@@ -15,7 +15,7 @@ DAY = timedelta(days=1)
 LONGEST_TTL = timedelta(days=400)
 
 
-def _days_back(ttl: timedelta) -> int:
+def days_back(ttl: timedelta) -> int:
     """Calendar days before the request's own day that a ttl can reach into."""
     return -(-ttl // DAY)
 
@@ -44,7 +44,7 @@ def visible_days(days: Iterable[date], ttl: timedelta | None) -> list[date] | No
         {
             day - n * DAY
             for day in days
-            for n in range(min(_days_back(ttl), (day - date.min).days) + 1)
+            for n in range(min(days_back(ttl), (day - date.min).days) + 1)
         }
     )
 
@@ -81,7 +81,7 @@ def near_requests(
     """
     if ttl is not None and ttl > LONGEST_TTL:
         ttl = None
-    reach = 1 if ttl is None else _days_back(ttl) + 1
+    reach = 1 if ttl is None else days_back(ttl) + 1
     day = F.to_date("event_timestamp")
     if ttl is None:
         keys, wanted = ["entity_id"], requests.select("entity_id").distinct()

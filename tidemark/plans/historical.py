@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tidemark.functions.time import from_iso_text, moment
 from tidemark.operators.asof import asof_join
 from tidemark.operators.hot import HOT_ROWS
-from tidemark.operators.near import near_requests, on_visible_days, request_days
+from tidemark.operators.near import DAY, days_back, near_requests, on_visible_days, request_days
 from tidemark.plans.store import FeatureStore
 
 
@@ -97,7 +97,8 @@ def historical_features(
             values.append(store.values.as_known(view, days))
         else:
             first = min(days, default=date.min)
-            since = first - min(ttl, first - date.min)
+            # Whole days, as a validity can reach into a day before
+            since = first - min(days_back(ttl) * DAY, first - date.min)
             until = max(days, default=date.min)
             values.append(store.values.read(view, since, until).where(F.col("view_name") == view))
     return features_at(requests, reduce(DataFrame.unionByName, values), ttls, hot_rows, asked)
