@@ -212,6 +212,8 @@ def backfill(
 def _at_all(
     raw: Commerce, built: FrameView | None, sql: str | None, days: Sequence[datetime]
 ) -> Iterable[DataFrame]:
+    if not days:
+        return
     if built is None:
         yield from sql_parts(raw, sql, days)
     elif built.at_once is not None:
