@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_points
+from tidemark.catalog import SQL
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ["customer", "events", "lineitem", "orders", "part"]
@@ -54,6 +55,12 @@ def test_query_equals_sql(spark, duck, name):
     assert as_text(found) == as_text(expected)
 
 
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_sql_is_understood(duck, name):
+    """Every statement, also of the queries that are too slow to run here."""
+    assert duck.execute(f"EXPLAIN {SQL[name]}").fetchall()
+
+
 def test_every_sql_has_a_query():
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 

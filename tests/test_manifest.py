@@ -7,7 +7,9 @@ import pytest
 from conftest import long_values, put, rows_of
 from pyspark.sql import functions as F
 
+from tidemark.operators.drift import reference_distribution
 from tidemark.plans.historical import historical_features, request_rows
+from tidemark.plans.monitoring import stored_reference
 from tidemark.plans.publish import current_rows
 from tidemark.sources.manifest import Manifest, WriteConflictError
 from tidemark.sources.registry import FeatureDefinition, FeatureView
@@ -147,3 +149,32 @@ def test_a_very_long_ttl(store):
     found = historical_features(store, request_rows(store.spark, [(1, at(9, 9)), (2, at(9, 9))]), ["f"])
     assert rows_of(found.orderBy("row_id"), "f") == [(4.0,), (None,)]
     assert long_values(store.spark, []).where(F.lit(True)).count() == 0
+
+
+def test_counts_of_days_add_up(store):
+    """A day is counted once, and again after it changed; a reference reads the counts only."""
+    values = some_values(6)
+    nan = {("size", 9, at(3, 3)): float("nan"), ("size", 8, at(3, 3)): None}
+    put(store, "v", [(*key, value) for key, value in (values | nan).items()])
+    put(store, "other", [("color", 1, at(3, 3), 77.0)])
+
+    def reference(since, until):
+        return sorted(map(str, stored_reference(store, "v", since, until).collect()))
+
+    def plain(since, until):
+        rows = store.values.read("v", since, until)
+        return sorted(map(str, reference_distribution(rows).collect()))
+
+    march, may = date(2026, 3, 1), date(2026, 5, 31)
+    days = len(store.values.folders("v", march, may))
+    assert store.values.count_days("v", march, may) == days
+    assert store.values.count_days("v", march, may) == 0
+    assert all("feature_value_counts" in f for f in store.values.counts("v", march, may).inputFiles())
+    assert reference(march, may) == plain(march, may)
+    put(store, "v", [("size", 9, at(3, 3), 4.0)])
+    assert store.values.count_days("v", march, may) == 1
+    assert reference(march, may) == plain(march, may)
+    assert reference(march, date(2026, 7, 31)) == plain(march, date(2026, 7, 31))
+    before = plain(march, may)
+    store.values.vacuum(timedelta(0), datetime.now(UTC) + timedelta(seconds=5))
+    assert reference(march, may) == before

@@ -14,7 +14,7 @@ from tidemark.plans.store import FeatureStore
 from tidemark.session import cut
 from tidemark.sources import schemas
 
-START, END = date(2026, 4, 5), date(2026, 4, 9)
+START, END = date(2026, 4, 5), date(2026, 4, 7)
 
 
 def events(seed, n=160, users=8, first=1, days=60):

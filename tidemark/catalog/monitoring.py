@@ -153,7 +153,7 @@ def _shares_sql(name: str, rows: str) -> str:
            LEFT JOIN {name}_b b ON b.feature_name = e.feature_name AND b.bin = i)"""
 
 
-def _exploded(reference: DataFrame) -> DataFrame:
+def exploded_bins(reference: DataFrame) -> DataFrame:
     """A distribution as one row per bin, to compare it with SQL."""
     bins = F.posexplode("shares").alias("bin", "share")
     return reference.select("feature_name", "edges", bins).select(
@@ -170,18 +170,20 @@ SELECT shares.feature_name, bin, round(e.edges[bin + 1], 6) AS upper_edge, round
 FROM shares JOIN e USING (feature_name)"""
 )
 def drift_reference(spark, folder):
-    return _exploded(reference_distribution(daily_values(from_trade(spark, folder), MONTHS)))
+    return exploded_bins(reference_distribution(daily_values(from_trade(spark, folder), MONTHS)))
 
 
-@query(
-    f"""{EVENT_DAYS}, {LONG_SQL}, {_edges_sql("long")}, {_shares_sql("shares", "long")}
+# The distribution of the values of all days of the events.
+DISTRIBUTION_SQL = f"""{EVENT_DAYS}, {LONG_SQL}, {_edges_sql("long")}, {_shares_sql("shares", "long")}
 SELECT shares.feature_name, bin, round(e.edges[bin + 1], 6) AS upper_edge, round(share, 6) AS share
 FROM shares JOIN e USING (feature_name)"""
-)
+
+
+@query(DISTRIBUTION_SQL)
 def drift_reference_sliced(spark, folder):
     """The same kind of distribution with ranks added up over about ten slices of the values."""
     values = cut(daily_values(from_events(spark, folder)))
-    return _exploded(reference_distribution(values, slices=10))
+    return exploded_bins(reference_distribution(values, slices=10))
 
 
 def psi_sql(before: str, today: str) -> str:

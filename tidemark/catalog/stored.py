@@ -19,13 +19,13 @@ from tidemark.catalog.base import (
 from tidemark.plans.rolling import RollingStats, apply_late
 from tidemark.sources.adapters import from_events, load
 from tidemark.sources.registry import FeatureDefinition, FeatureView
-from tidemark.catalog.monitoring import psi_sql, quality_sql
+from tidemark.catalog.monitoring import DISTRIBUTION_SQL, exploded_bins, psi_sql, quality_sql
 from tidemark.plans.compute import backfill, compute_features
 from tidemark.functions.time import iso_text
 from tidemark.plans.historical import exploded_requests, historical_features
 from tidemark.plans.jobs import apply_definitions
 from tidemark.plans.modeling import MODEL_FEATURES, MODEL_NAME, MODEL_VIEW, train_and_register
-from tidemark.plans.monitoring import monitor_features, monitor_status
+from tidemark.plans.monitoring import monitor_features, monitor_status, stored_reference
 from tidemark.plans.publish import (
     materialize,
     parity_differences,
@@ -502,3 +502,10 @@ def published_texts(spark, folder):
         "features_as_of",
         F.get_json_object("document", "$.view_count_7d").cast("double").alias("view_count_7d"),
     )
+
+
+@query(DISTRIBUTION_SQL)
+def drift_reference_stored(spark, folder):
+    """A reference over a month, added up from the counts of its days."""
+    store = own_store(spark, folder)
+    return exploded_bins(stored_reference(store, MODEL_VIEW, FIRST, LAST))

@@ -121,7 +121,13 @@ def reference_distribution(
     values: DataFrame, bins: int = 10, slices: int | None = None
 ) -> DataFrame:
     """`feature_name, edges, shares` of long values, all features in one job."""
-    counts = value_counts(values)
+    return counted_distribution(value_counts(values), bins, slices)
+
+
+def counted_distribution(
+    counts: DataFrame, bins: int = 10, slices: int | None = None
+) -> DataFrame:
+    """The same out of counts per feature and value, such as those that add up from many days."""
     edges = quantile_edges(counts, bins, slices)
     named = counts.select("feature_name").distinct().join(edges, "feature_name", "left")
     every = named.withColumn(

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import ALERT
-from tidemark.operators.drift import drift_checks
+from tidemark.operators.drift import counted_distribution, drift_checks
 from tidemark.operators.freshness import freshness_checks
 from tidemark.operators.quality import problems, quality_checks
 from tidemark.operators.status import current_status
@@ -37,6 +37,13 @@ def validate_snapshot(store: FeatureStore, view_name: str, as_of: datetime) -> l
     return sorted(row["problem"] for row in found.collect())
 
 
+def stored_reference(
+    store: FeatureStore, view_name: str, since: date, until: date, bins: int = 10
+) -> DataFrame:
+    """A drift reference of all values of some days, out of the stored counts of these days."""
+    return counted_distribution(cut(store.values.counts(view_name, since, until)), bins)
+
+
 def snapshot_drift(store: FeatureStore, reference: DataFrame, as_of: datetime) -> DataFrame:
     """The drift checks of a snapshot against a stored reference."""
     return drift_checks(reference, store.values.snapshot(as_of), as_of)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.values import null_if_nan
 from tidemark.operators.upsert import merge_values
 from tidemark.session import cut, discard
 from tidemark.sources import schemas
@@ -17,8 +18,19 @@ from tidemark.sources.manifest import Manifest, Storage
 from tidemark.sources.tables import nullable
 
 PARTITIONS = ["view_name", "snapshot_date"]
-# Folders of a table: values of one day, or the last values before the first of a month.
-DAY, STATE = "day", "state"
+# Folders of a table: values of one day, the last values before the first of a month, or how often
+# each value of a feature occurs on one day.
+DAY, STATE, COUNTS = "day", "state", "counts"
+_COUNTED = T.StructType(
+    [
+        T.StructField("feature_name", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("view_name", T.StringType()),
+        T.StructField("snapshot_date", T.DateType()),
+    ]
+)
 
 
 def month_start(day: date) -> date:
@@ -39,12 +51,14 @@ class ValueStore:
     read grows with the number of commits. `vacuum` removes what no list of late names.
 
     Views whose values never expire may have states: for the first of a month, the last value of
-    every entity and feature before it. `as_known` reads a state and the days since.
+    every entity and feature before it. `as_known` reads a state and the days since. Days may have
+    the counts of their values, which add up to those of any range of days.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.path = f"{root}/feature_values"
+        self.counts_path = f"{root}/feature_value_counts"
         self.manifest = Manifest(spark, f"{root}/feature_value_manifest")
         self.schema = T.StructType(
             [*nullable(schemas.FEATURE_VALUES).fields, T.StructField("snapshot_date", T.DateType())]
@@ -76,8 +90,12 @@ class ValueStore:
         return self._read(self.folders(view_name, since, until))
 
     def _read(self, folders: Collection[dict]) -> DataFrame:
+        stored = T.StructType([*self.schema.fields, T.StructField("version", T.LongType())])
+        return self._folders_of(self.path, stored, folders).select(*self.schema.names)
+
+    def _folders_of(self, root: str, schema: T.StructType, folders: Collection[dict]) -> DataFrame:
         if not folders:
-            return self.spark.createDataFrame([], self.schema)
+            return self.spark.createDataFrame([], schema)
         by_version: dict[str, list[dict]] = {}
         for folder in folders:
             by_version.setdefault(folder["path"].partition("/")[0], []).append(folder)
@@ -86,9 +104,8 @@ class ValueStore:
             # A version that counts as a whole is one path
             whole = len(own) == own[0]["of"]
             paths += [version] if whole else [folder["path"] for folder in own]
-        stored = T.StructType([*self.schema.fields, T.StructField("version", T.LongType())])
-        reader = self.spark.read.schema(stored).option("basePath", self.path)
-        return reader.parquet(*[f"{self.path}/{path}" for path in paths]).drop("version")
+        reader = self.spark.read.schema(schema).option("basePath", root)
+        return reader.parquet(*[f"{root}/{path}" for path in paths])
 
     def snapshot(self, as_of: datetime, view_name: str | None = None) -> DataFrame:
         """The values stamped exactly `as_of`."""
@@ -186,7 +203,7 @@ class ValueStore:
             folder
             for folder in live
             if (folder["view"], folder["day"]) not in rows
-            if folder["kind"] == DAY
+            if folder["kind"] in (DAY, COUNTS)
         ] + [
             folder
             for folder in live
@@ -197,14 +214,16 @@ class ValueStore:
 
     def _added(self, rows: DataFrame, version: int, kind: str, counts: dict) -> list[dict]:
         """Write rows as a new version; its folders, with their counts by (view, day) if known."""
+        root = self.counts_path if kind == COUNTS else self.path
+        names = _COUNTED.names if kind == COUNTS else self.schema.names
         # Rebalancing gives each day few files and splits days that are too large
-        rows.select(*[field.name for field in self.schema.fields]).hint(
+        rows.select(*[name for name in names if name != "version"]).hint(
             "rebalance", *[F.col(name) for name in PARTITIONS]
         ).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             *PARTITIONS
-        ).parquet(f"{self.path}/version={version}")
+        ).parquet(f"{root}/version={version}")
         found = []
-        for view, days in self._subfolders(f"version={version}").items():
+        for view, days in self._subfolders(root, f"version={version}").items():
             for day in days:
                 name, stamp = (unquote(text.partition("=")[2]) for text in (view, day))
                 path = f"version={version}/{view}/{day}"
@@ -212,14 +231,43 @@ class ValueStore:
                 found.append({"kind": kind, "view": name, "day": stamp, "path": path, "rows": n_rows})
         return [{**folder, "of": len(found)} for folder in found]
 
-    def _subfolders(self, version: str) -> dict[str, list[str]]:
-        storage = Storage(self.spark, self.path)
+    def _subfolders(self, root: str, version: str) -> dict[str, list[str]]:
+        storage = Storage(self.spark, root)
         views = [name for name in storage.names(version) if "=" in name]
         return {
             view: [name for name in storage.names(f"{version}/{view}") if "=" in name]
             for view in views
         }
 
+    def count_days(
+        self, view_name: str, since: date | None = None, until: date | None = None
+    ) -> int:
+        """Count the values of the days that have no counts yet, in one pass over these days.
+
+        Returns how many days that were. A day that is written again loses its counts.
+        """
+        version, live = self.manifest.current()
+        counted = {f["day"] for f in self.folders(view_name, since, until, COUNTS)}
+        missing = [f for f in self.folders(view_name, since, until) if f["day"] not in counted]
+        if missing:
+            value = null_if_nan(F.col("value")).alias("value")
+            rows = self._read(missing).groupBy(*PARTITIONS, "feature_name", value)
+            rows = rows.agg(F.count(F.lit(1)).alias("n"))
+            self.manifest.commit(version + 1, live + self._added(rows, version + 1, COUNTS, {}))
+        return len(missing)
+
+    def counts(
+        self, view_name: str, since: date | None = None, until: date | None = None
+    ) -> DataFrame:
+        """`feature_name, value, n` over a range of days, added up from the counts of its days.
+
+        Missing values are null. The values themselves are read on days without counts only.
+        """
+        self.count_days(view_name, since, until)
+        days = self.folders(view_name, since, until, COUNTS)
+        stored = self._folders_of(self.counts_path, _COUNTED, days)
+        return stored.groupBy("feature_name", "value").agg(F.sum("n").alias("n"))
+
     def advance_states(self, view_name: str, until: date) -> int:
         """Add the states of a view that are missing up to a day; returns how many months.
 
@@ -275,7 +323,10 @@ class ValueStore:
         """
         current, _ = self.manifest.current()
         live = {folder["path"] for folder in self.manifest.forget(keep, now)}
-        storage = Storage(self.spark, self.path)
+        return sum(self._vacuumed(root, current, live) for root in (self.path, self.counts_path))
+
+    def _vacuumed(self, root: str, current: int, live: set[str]) -> int:
+        storage = Storage(self.spark, root)
         removed = 0
         for version in storage.names():
             number = version.removeprefix("version=")
@@ -284,7 +335,7 @@ class ValueStore:
                 continue
             found = [
                 f"{version}/{view}/{day}"
-                for view, days in self._subfolders(version).items()
+                for view, days in self._subfolders(root, version).items()
                 for day in days
             ]
             dead = [path for path in found if path not in live]
@@ -292,4 +343,3 @@ class ValueStore:
                 storage.remove(path)
             removed += len(dead)
         return removed
-
