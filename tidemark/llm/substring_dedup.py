@@ -25,6 +25,7 @@ from tidemark.llm.text import (
     Words,
     documents,
     in_one_text,
+    quoted,
     slices,
     utf8,
     window_hashes,
@@ -58,13 +59,16 @@ def deduplicated(
     """The rows of `docs` with all of their columns and the shortened texts."""
     found = _applied(docs, id_col, text_col, unit_words)
     return found.select(
-        *[F.col("text" if name == text_col else f"carried.{name}").alias(name) for name in docs.columns]
+        *[
+            F.col("text").alias(name) if name == text_col else F.col("carried").getField(name).alias(name)
+            for name in docs.columns
+        ]
     )
 
 
 def _applied(docs: DataFrame, id_col: str, text_col: str, unit_words: int) -> DataFrame:
     later = later_units(docs, id_col, text_col, unit_words)
-    others = F.struct(*[name for name in docs.columns if name != text_col])
+    others = F.struct(*[F.col(quoted(name)) for name in docs.columns if name != text_col])
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         utf8(F.col(text_col)).alias("text"),
@@ -115,24 +119,44 @@ def later_units(docs: DataFrame, id_col: str, text_col: str, unit_words: int) ->
         start, size = exchange.groups(found["digest"][order])
         several = found["known"].copy()
         several[order] |= np.repeat(size > 1, size)
-        return pa.table({"doc_id": found["doc_id"][several], "place": found["place"][several]})
+        return to_documents(found["doc_id"][several], found["place"][several])
+
+    def to_documents(doc_id, place):
+        """Packed places, dealt by document: a row per document bucket and not per place."""
+        order = np.lexsort((place, doc_id))
+        doc_id, place = doc_id[order], place[order]
+        by_doc = exchange.bucket_of(_spread(doc_id), n_doc_buckets)
+        return pa.Table.from_batches(
+            [exchange.pack(by_doc, {"doc_id": doc_id, "place": place})],
+        )
+
+    def gathered(table):
+        found = exchange.unpack(table, PLACES)
+        order = np.lexsort((found["place"], found["doc_id"]))
+        doc_id, place = found["doc_id"][order], found["place"][order]
+        fresh = np.ones(len(place), bool)
+        fresh[1:] = (doc_id[1:] != doc_id[:-1]) | (place[1:] != place[:-1])
+        doc_id, place = doc_id[fresh], place[fresh]
+        start, size = exchange.groups(doc_id)
+        data = [place[s : s + n].tobytes() for s, n in zip(start, size, strict=True)]
+        return pa.table({"doc_id": doc_id[start], "places": pa.array(data, pa.binary())})
 
     repeated = (
         rows.mapInArrow(sampled, exchange.schema(RECORD))
         .groupBy("bucket")
-        .applyInArrow(shared, "doc_id bigint, place int")
-        .groupBy("doc_id")
-        .agg(F.collect_set("place").alias("places"))
+        .applyInArrow(shared, exchange.schema(PLACES))
+        .groupBy("bucket")
+        .applyInArrow(gathered, "doc_id bigint, places binary")
     )
 
     def units(batches):
         for batch in slices(batches):
             words = Words(batch.column("text").to_pylist(), lower=True)
             starts = in_one_text(words, unit_words)
-            lists = batch.column("places")
-            text = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            lists = [np.frombuffer(x, np.int32) for x in batch.column("places").to_pylist()]
+            text = np.repeat(np.arange(batch.num_rows), [len(x) for x in lists])
             hit = np.zeros(len(words) + 1, np.int64)
-            np.add.at(hit, words.first[text] + lists.flatten().to_numpy(), 1)
+            np.add.at(hit, words.first[text] + np.concatenate(lists), 1)
             hits = np.concatenate([[0], np.cumsum(hit)])
             starts = starts[hits[starts + window] > hits[starts]]
             if len(starts):
@@ -146,12 +170,7 @@ def later_units(docs: DataFrame, id_col: str, text_col: str, unit_words: int) ->
         start, size = exchange.groups(found["digest"][order])
         first = np.repeat(start, size)
         gone = found["known"][order] | (doc_id != doc_id[first]) | (place != place[first])
-        doc_id, place = doc_id[gone], place[gone]
-        by_doc = exchange.bucket_of(_spread(doc_id), n_doc_buckets)
-        order = np.lexsort((place, doc_id))
-        return pa.Table.from_batches(
-            [exchange.pack(by_doc[order], {"doc_id": doc_id[order], "place": place[order]})],
-        )
+        return to_documents(doc_id[gone], place[gone])
 
     def joined(table):
         found = exchange.unpack(table, PLACES)

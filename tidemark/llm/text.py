@@ -39,6 +39,11 @@ def utf8(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
+def quoted(name: str) -> str:
+    """The name of a column as Spark reads it, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def few_rows_a_batch(spark: SparkSession) -> None:
     """Bounds the text that goes to Python at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
