@@ -351,10 +351,13 @@ def quality_scores(
 def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of `docs` that score 0.5 or more, with all of their columns. No shuffle."""
     few_rows_a_batch(docs.sparkSession)
+    # Rows travel whole, since Arrow functions take no names with dots.
+    rows, place = docs.select(F.struct("*").alias("row")), docs.columns.index(text_col)
 
     def chosen(batches):
         for batch in batches:
-            texts = pc.fill_null(batch.column(text_col).cast(pa.binary()), b"")
+            texts = pc.struct_field(batch.column("row"), [place])
+            texts = pc.fill_null(texts.cast(pa.binary()), b"")
             own = pa.RecordBatch.from_arrays([texts], ["text"])
             score = [
                 model.score(features(part.column("text").to_pylist()))
@@ -362,4 +365,4 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             ]
             yield batch.filter(pa.array(np.concatenate([*score, np.empty(0)]) >= 0.5))
 
-    return docs.mapInArrow(chosen, docs.schema)
+    return rows.mapInArrow(chosen, rows.schema).select("row.*")
