@@ -2,13 +2,16 @@
 
 import random
 
-SCHEMA = "doc_id bigint, text string, kept int, digest string, place int, row int, bucket string, n int"
+SCHEMA = (
+    "doc_id bigint, text string, kept int, digest string, place int, row int, bucket string, n int, "
+    "_id int, `a.b` int"
+)
 VOCABULARY = [f"w{i}" for i in range(400)]
 
 
 def frame(spark, rows):
     """(id, text) rows, with other columns whose names the operators use themselves."""
-    return spark.createDataFrame([(i, text, 1, "x", 2, 3, "y", 4) for i, text in rows], SCHEMA)
+    return spark.createDataFrame([(i, text, 1, "x", 2, 3, "y", 4, 5, 6) for i, text in rows], SCHEMA)
 
 
 def prose(seed, n_words, words=VOCABULARY):

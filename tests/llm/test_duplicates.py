@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tests.llm.corpus import VOCABULARY, frame, odd_rows, prose, words_of
@@ -239,6 +240,13 @@ def test_a_family_in_small_parts_equals_brute_force(spark, monkeypatch, members)
     assert sizes and max(sizes) <= 2 * members
 
 
+def as_sets(spark, sets):
+    """What `_dealt` asks for the sets of nodes, from a list of sets of numbers."""
+    rows = [(i, len(own), np.array(sorted(own), np.uint64).tobytes()) for i, own in enumerate(sets)]
+    table = spark.createDataFrame(rows, "node bigint, n bigint, own binary")
+    return lambda nodes: table.join(nodes.distinct(), "node")
+
+
 def test_one_list_of_many_components_is_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "PART_MEMBERS", 10)
     n = 100
@@ -246,14 +254,78 @@ def test_one_list_of_many_components_is_dealt_out(spark, monkeypatch):
         [(7, i, i // 20, 40, i % 5, 0) for i in range(n)],
         "list bigint, node bigint, component bigint, sizes int, positions int, low bigint",
     )
-    bits = bytes([255] * 16)
-    sketches = spark.createDataFrame(
-        [(i, 40, bits) for i in range(n)], "doc_id bigint, n bigint, sketch binary"
+    # Components 0 and 1, and 2 and 3, are alike; component 4 is like none.
+    sets = [set(range(1000 * (i // 40), 1000 * (i // 40) + 39)) | {9000 + i} for i in range(n)]
+    dealt = jaccard_join._dealt(entries, as_sets(spark, sets), 75, 8)
+    groups = dealt.where("kind = 1").groupBy("left", "right").count()
+    assert groups.agg({"count": "max"}).first()[0] <= 20
+    links = dealt.groupBy("left", "right").applyInArrow(
+        jaccard_join._links_of_parts(75), "a bigint, b bigint"
+    ).collect()
+    assert len(links) <= n * n // 100  # some for each pair of parts, not all pairs of members
+    for a, b in links:
+        assert 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    label = joined(links + [(i, i // 20 * 20) for i in range(n)], range(n))
+    assert label == {i: 80 if i >= 80 else i // 40 * 40 for i in range(n)}
+
+
+def test_members_without_a_partner_are_left_out(spark):
+    entries = spark.createDataFrame(
+        [(7, i, i, 40, 0, 0) for i in range(6)],
+        "list bigint, node bigint, component bigint, sizes int, positions int, low bigint",
     )
-    dealt = jaccard_join._dealt(entries, sketches, 75)
-    assert dealt.groupBy("left", "right").count().agg({"count": "max"}).first()[0] <= 40
-    pairs = dealt.groupBy("left", "right").applyInArrow(
-        jaccard_join._pairs_of_parts(75), "a bigint, b bigint"
+    sets = [{1000 * i + j for j in range(40)} for i in (1, 1, 2, 3, 4, 5)]
+    sketches = spark.createDataFrame(
+        [(i, 40, jaccard_join._sketch(np.array(sorted(own), np.uint64) * 7919)) for i, own in enumerate(sets)],
+        "doc_id bigint, n bigint, sketch binary",
     )
-    expected = [(i, j) for i in range(n) for j in range(i + 1, n) if i // 20 != j // 20]
-    assert sorted((row.a, row.b) for row in pairs.collect()) == expected
+    found = jaccard_join._open_members(entries, sketches, 75)
+    assert sorted(row.node for row in found.collect())[:2] == [0, 1]
+
+
+def parts_of(label, sets):
+    """One part as the groups of `_joining` hold it."""
+    part = object.__new__(jaccard_join._Members)
+    part.ids, part.labels = np.arange(len(sets)), np.array(label)
+    part.sizes = np.array([len(own) for own in sets])
+    part.own = [np.array(sorted(own), np.uint64).tobytes() for own in sets]
+    return part
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_links_inside_a_group_join_what_all_pairs_join(seed):
+    rng = random.Random(seed)
+    cores = [rng.sample(range(400), 40) for _ in range(4)]
+    sets, label = [], []
+    for i in range(60):
+        core = cores[rng.randrange(4)]
+        sets.append(set(core[: rng.randint(30, 40)]) | set(rng.sample(range(400), rng.randint(1, 8))))
+        label.append(i if rng.random() < 0.6 else max(i - 1, 0))
+    part = parts_of(label, sets)
+    different = part.labels[:, None] != part.labels[None, :]
+    open_pairs = np.triu(different, 1)
+    found = list(jaccard_join._joining(part, part, open_pairs, 75))
+    linked = [
+        (a, b)
+        for a, b in zip(*np.nonzero(open_pairs), strict=True)
+        if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    ]
+    assert set(found) <= set(linked)
+    same = [(a, label.index(label[a])) for a in range(60)]
+    assert joined([*found, *same], range(60)) == joined([*linked, *same], range(60))
+    assert len(found) < len(set(label))
+
+
+def test_a_large_family_gives_fewer_links_than_members():
+    """3,000 members, each two of one core alike, half of them under the similarity with the others."""
+    rng = random.Random(5)
+    core, other = range(60), [*range(40), *range(100, 130)]
+    sets = [
+        {*(core if i % 2 else other), *(1000 + rng.randrange(10**6) for _ in range(3))}
+        for i in range(3_000)
+    ]
+    part = parts_of(range(3_000), sets)
+    open_pairs = np.triu(np.ones((3_000, 3_000), bool), 1)
+    found = list(jaccard_join._joining(part, part, open_pairs, 75))
+    assert len(found) == 2_998
+    assert set(joined(found, range(3_000)).values()) == {0, 1}
