@@ -221,6 +221,13 @@ def family():
     return rows
 
 
+def test_pairs_of_many_buckets_are_one_row_each(spark):
+    rows = [(1, [2, 3]), (1, [3, 4]), (2, [3]), (-5, [2]), (1, [2]), (-5, [2])]
+    centres = spark.createDataFrame(rows, "digest bigint, docs array<bigint>").repartition(4)
+    found = jaccard_join._distinct_pairs(centres, 7).collect()
+    assert sorted((row.a, row.b) for row in found) == [(-5, 2), (1, 2), (1, 3), (1, 4), (2, 3)]
+
+
 @pytest.mark.parametrize("members", [2, 4_096])
 def test_a_family_in_small_parts_equals_brute_force(spark, monkeypatch, members):
     monkeypatch.setattr(jaccard_join, "PART_MEMBERS", members)
