@@ -2,8 +2,8 @@
 
 A task packs its records into one row per bucket, with an array per column, instead of a row per
 record. Spark shuffles and groups these rows by bucket; the group unpacks them into arrays again.
-The number of buckets follows the number of shuffle partitions, so a bucket's size does not grow
-with the data.
+The number of buckets follows the number of shuffle partitions, and a group holds one bucket: more
+data need more shuffle partitions.
 """
 
 from __future__ import annotations
