@@ -179,3 +179,35 @@ def test_running_totals(spark, slices):
     for g, x, n, upto in rows_of(found, "g", "x", "n", "upto"):
         assert upto == sum(c for a, b, c in data if a == g and b <= x)
     assert found.count() == 100
+
+
+@pytest.mark.parametrize("hot_rows", [None, 3])
+def test_wide_values_answer_like_long_ones(spark, hot_rows):
+    """A wide row stores every feature at its moment, also as null, and travels as one row."""
+    rng = random.Random(5)
+    stored = {
+        (machine, day(4) + n * HOUR): [rng.choice([None, float("nan"), 1.0, 2.5]) for _ in TTLS]
+        for machine in (1, 2)
+        for n in rng.sample(range(60), 12)
+    }
+    long = [
+        (name, machine, at, value)
+        for (machine, at), values in stored.items()
+        for name, value in zip(TTLS, values, strict=True)
+    ]
+    columns = ", ".join(f"{name} double" for name in TTLS)
+    wide = spark.createDataFrame(
+        [(*key, *values) for key, values in stored.items()],
+        f"entity_id bigint, event_timestamp timestamp, {columns}",
+    )
+    requests = request_rows(
+        spark, [(machine, day(4) + n * HOUR) for machine in (1, 2, 3) for n in range(0, 90, 2)]
+    )
+    answers = [
+        [tuple(map(str, row)) for row in rows_of(joined.orderBy("row_id"), "row_id", *TTLS)]
+        for joined in (
+            asof_join(requests, long_values(spark, long), TTLS, hot_rows=hot_rows),
+            asof_join(requests, wide, TTLS, hot_rows=hot_rows),
+        )
+    ]
+    assert answers[0] == answers[1]

@@ -191,3 +191,39 @@ def test_long_and_wide(spark):
     assert rows_of(to_wide(long, FEATURES[::-1], ["entity_id"])) == [(1, 4.0, 3.5, None, 2.0)]
     with pytest.raises(ValueError, match="does not return: \\['entity_id', 'other'\\]"):
         check_columns(wide.drop("entity_id"), [*FEATURES, "other"], "v")
+
+
+def test_labels_of_more_snapshots_than_bits_of_a_number(spark):
+    """Users who signed up twice or are unknown, 150 snapshots given in any order."""
+    rng = random.Random(9)
+    moment = lambda: day(1) + timedelta(hours=rng.randrange(24 * 200))
+    users = [(n, moment()) for n in range(6)] + [(0, moment())]
+    orders = [(rng.randrange(9), moment(), "1.00") for _ in range(60)]
+    snapshots = [day(1) + timedelta(days=n) for n in range(150)]
+    rng.shuffle(snapshots)
+    raw = commerce(spark, users, orders)
+    horizon = timedelta(days=3)
+    expected = sorted(
+        (user, at, int(any(u == user and at <= ts < at + horizon for u, ts, _ in orders)))
+        for user in range(6)
+        for at in snapshots
+        if any(u == user and ts < at for u, ts in users)
+    )
+    found = bought_within(raw.users, raw.orders, [*snapshots, snapshots[0]], horizon)
+    columns = ["entity_id", F.date_format("event_timestamp", "yyyy-MM-dd").alias("at"), "label"]
+    assert sorted(rows_of(found, *columns)) == [(u, f"{at:%Y-%m-%d}", b) for u, at, b in expected]
+
+
+@pytest.mark.parametrize("make", ["labels", "features"])
+def test_users_become_rows_per_snapshot_after_the_shuffle(spark, make):
+    raw = random_commerce(spark)
+    snapshots = daily_snapshots(date(2026, 3, 2), date(2026, 3, 20))
+    if make == "labels":
+        found = bought_within(raw.users, raw.orders, snapshots, HORIZON)
+    else:
+        found = purchase_stats_at(raw, snapshots)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # The plan is printed from its end, so what comes first in it is done last
+    final = plan.partition("Initial Plan")[0]
+    assert final.index("Generate") < final.index("Exchange")
