@@ -6,7 +6,7 @@ import random
 import pytest
 from conftest import rows_of
 
-from tidemark.plans.boosting import BoostedTrees, fit_boosted_trees
+from tidemark.plans.boosting import BoostedTrees, _binned, _cells, fit_boosted_trees
 from tidemark.plans.modeling import measured_auc, score
 
 PENALTY, RATE, LEAST = 1.0, 0.1, 3
@@ -107,3 +107,20 @@ def test_what_cannot_be_learned(spark):
     assert {r[0] for r in rows_of(score(model, gaps), "score")} == {0.5}
     with pytest.raises(ValueError, match="no rows"):
         fit_boosted_trees(alike.limit(0), ["a"], 1)
+
+
+def test_rows_with_equal_bins_are_one_cell(spark):
+    """Trees are grown over counted cells: copies of rows add counts and no rows."""
+    data = rows(4) * 7 + [(1.0, None, None)]
+    frame = spark.createDataFrame(data, "a double, b double, label int")
+    edges = {"a": [0.5, 1.5, 2.5], "b": [1.0, 2.0]}
+    found = rows_of(_cells(_binned(frame, edges, 5)))
+    expected = {}
+    for a, b, label in data:
+        missing = b is None or b != b
+        bins = (sum(e < a for e in edges["a"]), 4 if missing else sum(e < b for e in edges["b"]))
+        n, labelled, positives = expected.get(bins, (0, 0, 0.0))
+        known = label is not None
+        expected[bins] = (n + 1, labelled + known, positives + (label or 0))
+    assert {tuple(bins): tuple(counts) for bins, *counts in found} == expected
+    assert len(found) == len(expected)
