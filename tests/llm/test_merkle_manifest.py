@@ -3,6 +3,7 @@
 import zlib
 from hashlib import sha256
 
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import merkle_manifest as merkle
@@ -137,3 +138,22 @@ def test_ranks_need_no_dense_ids(spark):
     ids = [(-1) ** n * (n * 0x9E3779B97F4A7C15 % (1 << 63)) for n in range(300)]
     rows = [row(number) for number in ids]
     assert manifest(spark, rows) == brute_force(rows)
+
+
+def test_every_root_is_folded_from_its_leaf_and_siblings():
+    """A wrong sibling shows in rows that nobody tampered with, not only in claimed ones."""
+    digests = [hashed(str(n)) for n in range(5)]
+    block = {
+        "tree": "", "block": 0, "n": 5, "digests": digests, "ids": list(range(5)),
+        "claimed": [None, None, hashed("claim"), None, None], "subroot": "s",
+    }
+    top = merkle._levels(digests, 5)[-1][0]
+
+    def roots(sibling):
+        batch = pa.RecordBatch.from_pylist([{**block, "path": ["l" + sibling]}])
+        return next(merkle._proofs([batch])).column("folded_root").to_pylist()
+
+    right, wrong = roots(hashed("other")), roots(hashed("wrong"))
+    assert right == [hashed(hashed("other") + top) if n != 2 else right[2] for n in range(5)]
+    assert right[2] != right[0]
+    assert all(now != then for now, then in zip(wrong, right, strict=True))

@@ -106,7 +106,7 @@ def merkle_manifest(
     paths = trees.join(of_trees, F.col("upto") - 1 == F.col("_pos")).select(
         "tree", F.lit(0).cast("bigint").alias("pos"), F.col("leaf").alias("subroot"), "path"
     )
-    proofs = _met(rounds[0], _down(rounds[1:], paths)).mapInArrow(_proofs(root), PROOF_SCHEMA)
+    proofs = _met(rounds[0], _down(rounds[1:], paths)).mapInArrow(_proofs, PROOF_SCHEMA)
     return proofs.select(
         F.col("doc_id").alias(id_col),
         "leaf",
@@ -348,28 +348,27 @@ def folded(digest: str, steps: Sequence[str]) -> str:
     return digest
 
 
-def _proofs(root: str | None):
-    def prove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in _rows(batch):
-                levels = _levels(row["digests"], row["n"])
-                above = "".join(step[1:] for step in row["path"])
-                proofs, roots = [], []
-                for slot, claim in enumerate(row["claimed"]):
-                    steps = _steps(levels, slot)
-                    proofs.append(hashed("".join(step[1:] for step in steps) + above))
-                    roots.append(root if claim is None else folded(claim, steps + row["path"]))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": pa.array(row["ids"], pa.int64()),
-                        "leaf": pa.array(row["digests"], pa.string()),
-                        "subroot": pa.array([row["subroot"]] * len(proofs), pa.string()),
-                        "proof_sha256": pa.array(proofs, pa.string()),
-                        "folded_root": pa.array(roots, pa.string()),
-                    }
-                )
-
-    return prove
+def _proofs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every leaf's proof, and the root that follows from its claimed or else its own digest."""
+    for batch in batches:
+        for row in _rows(batch):
+            levels = _levels(row["digests"], row["n"])
+            above = "".join(step[1:] for step in row["path"])
+            proofs, roots = [], []
+            for slot, (own, claim) in enumerate(zip(row["digests"], row["claimed"], strict=True)):
+                steps = _steps(levels, slot)
+                proofs.append(hashed("".join(step[1:] for step in steps) + above))
+                told = own if claim is None else claim
+                roots.append(folded(told, steps + row["path"]))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc_id": pa.array(row["ids"], pa.int64()),
+                    "leaf": pa.array(row["digests"], pa.string()),
+                    "subroot": pa.array([row["subroot"]] * len(proofs), pa.string()),
+                    "proof_sha256": pa.array(proofs, pa.string()),
+                    "folded_root": pa.array(roots, pa.string()),
+                }
+            )
 
 
 def tampered(id_col: str = "doc_id", count_col: str = "n_chars") -> Column:
