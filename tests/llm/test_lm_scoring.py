@@ -109,6 +109,31 @@ def test_scores(spark, monkeypatch):
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
+def test_digests_that_meet_in_a_slot_are_told_apart():
+    rng = np.random.default_rng(9)
+    digests = rng.choice(rng.integers(0, 1 << 63, 400, np.uint64) << np.uint64(6), 3_000)
+    for own in (digests, digests[:1], digests[:0], np.zeros(5, np.uint64)):
+        places, times = lm_scoring.distinct(own)
+        assert Counter(own.tolist()) == dict(zip(own[places].tolist(), times.tolist(), strict=True))
+
+
+@pytest.mark.parametrize("n", [1, 2, 400])
+def test_numbers_of_words_that_meet_in_a_slot(monkeypatch, n):
+    listed = [b" ", *[b"w%d" % i for i in range(1, n)]]
+    vocabulary = lm_scoring.Vocabulary(
+        listed, np.arange(n), np.empty(0, np.int64), np.ones(gru.TAIL_CLASSES), n, n
+    )
+    words = Words([b" ".join([b"other", *listed[1:], b"w0", *listed[:0:-1], b"more"])])
+    # Eight digests in a slot, words that are not listed among them
+    hashes = Words.hashes
+    monkeypatch.setattr(Words, "hashes", lambda self: hashes(self) << np.uint64(3))
+    index = lm_scoring.Index(vocabulary)
+    assert set(index.digests.tolist()) >= set(Words([b"\n".join(listed[1:])]).hashes().tolist())
+    own = lm_scoring.LISTED + gru.TAIL_CLASSES - 1
+    places = list(range(1, n))
+    assert index.numbers(words).tolist() == [own, *places, own, *places[::-1], own]
+
+
 def test_words_of_a_class_share_it(spark):
     """The shares of a class's words and of one unknown word sum to one."""
     rows = [(i, prose(i, 3000, [f"t{k}" for k in range(3000)])) for i in range(10)]

@@ -46,14 +46,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 7 == 2, F.lit(False))
 
 
-def endings(words: Words) -> np.ndarray:
+def endings(words: Words, places=slice(None)) -> np.ndarray:
     """The last bytes of each word, as a number, without up to PUNCTUATED signs behind them."""
-    stops = words.ends.copy()
+    starts, stops = words.starts[places], words.ends[places].copy()
     for _ in range(PUNCTUATED):
-        stops -= IS_PUNCTUATION[words.data[stops - 1]] & (stops > words.starts + 1)
-    found = np.minimum(stops - words.starts, ENDING_BYTES) << 8 * ENDING_BYTES
+        stops -= IS_PUNCTUATION[words.data[stops - 1]] & (stops > starts + 1)
+    found = np.minimum(stops - starts, ENDING_BYTES) << 8 * ENDING_BYTES
     for k in range(ENDING_BYTES):
-        inside = stops - 1 - k >= words.starts
+        inside = stops - 1 - k >= starts
         found += np.where(inside, words.data[stops - 1 - k].astype(np.int64) << 8 * k, 0)
     return found
 
@@ -66,7 +66,7 @@ def count_words(rows: DataFrame) -> DataFrame:
         for batch in slices(batches):
             words = Words(batch.column("text").to_pylist(), lower=True)
             n_ends += batch.num_rows
-            _, places, times = np.unique(words.hashes(), return_index=True, return_counts=True)
+            places, times = distinct(words.hashes())
             yield _counts(words.words(places), times)
         if n_ends:
             yield _counts([END_WORD], [n_ends])
@@ -79,6 +79,21 @@ def count_words(rows: DataFrame) -> DataFrame:
     )
 
 
+def distinct(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct digest, and how often it occurs. Digests are put into slots, where the
+    last one stays; only those that another one has displaced are sorted."""
+    n = len(digests)
+    slots = (digests & np.uint64((1 << (2 * n).bit_length()) - 1)).astype(np.int64)
+    stays = np.empty(1 << (2 * n).bit_length(), np.int64)
+    stays[slots] = np.arange(n)
+    stays = stays[slots]
+    same = digests[stays] == digests
+    times = np.bincount(stays[same], minlength=n)
+    places, displaced = np.flatnonzero(times), np.flatnonzero(~same)
+    _, others, more = np.unique(digests[displaced], return_index=True, return_counts=True)
+    return np.concatenate([places, displaced[others]]), np.concatenate([times[places], more])
+
+
 def _counts(words, times) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(
         {"word": pa.array(words, pa.binary()), "n": pa.array(times, pa.int64())}
@@ -96,8 +111,8 @@ class Vocabulary:
     n_tokens: int
     n_distinct: int
 
-    def tail_classes(self, words: Words) -> np.ndarray:
-        own = endings(words)
+    def tail_classes(self, words: Words, places=slice(None)) -> np.ndarray:
+        own = endings(words, places)
         if not len(self.endings):
             return np.full(len(own), gru.TAIL_CLASSES - 1)
         near = np.minimum(np.searchsorted(self.endings, own), len(self.endings) - 1)
@@ -112,24 +127,43 @@ class Index:
         listed = vocabulary.words
         # The end of documents, a space, has no words of its own here
         words = Words([b"\n".join(listed[1:])])
-        digests = words.hashes()
-        self.by_digest = np.argsort(digests)
-        self.digests = digests[self.by_digest]
+        self._enter(words.hashes())
         own = vocabulary.tail_classes(words)[HEAD - 1 :]
         heads = np.arange(min(len(listed), HEAD))
         unused = np.full(LISTED - len(listed), HEAD)
         classes = HEAD + np.arange(gru.TAIL_CLASSES)
         self.symbols = np.concatenate([heads, HEAD + own, unused, classes])
 
+    def _enter(self, digests: np.ndarray) -> None:
+        """A table of twice as many slots or more: a digest is in the first free one from its own on."""
+        n_slots = 1 << max(3, (2 * len(digests)).bit_length())
+        self.last_slot = np.uint64(n_slots - 1)
+        self.places, self.digests = np.full(n_slots, -1, np.int64), np.zeros(n_slots, np.uint64)
+        todo = np.arange(len(digests))
+        slots = (digests & self.last_slot).astype(np.int64)
+        while len(todo):
+            free = self.places[slots] < 0
+            self.places[slots[free]] = todo[free]
+            own = self.places[slots] == todo
+            self.digests[slots[own]] = digests[todo[own]]
+            todo, slots = todo[~own], (slots[~own] + 1) % n_slots
+
     def numbers(self, words: Words) -> np.ndarray:
-        others = LISTED + self.vocabulary.tail_classes(words)
-        if not len(self.digests):
-            return others
-        # Each distinct word is looked up once, in order
-        digests, which = np.unique(words.hashes(), return_inverse=True)
-        near = np.minimum(np.searchsorted(self.digests, digests), len(self.digests) - 1)
-        found = np.where(self.digests[near] == digests, self.by_digest[near] + 1, -1)[which]
-        return np.where(found < 0, others, found)
+        digests = words.hashes()
+        slots = (digests & self.last_slot).astype(np.int64)
+        found = self.places[slots]
+        # Slots that hold another digest; a free one says that the word is not listed
+        others = np.flatnonzero((self.digests[slots] != digests) & (found >= 0))
+        slots = slots[others]
+        while len(others):
+            slots = (slots + 1) % len(self.places)
+            found[others] = self.places[slots]
+            left = (self.digests[slots] != digests[others]) & (found[others] >= 0)
+            others, slots = others[left], slots[left]
+        found += 1
+        tail = np.flatnonzero(found == 0)
+        found[tail] = LISTED + self.vocabulary.tail_classes(words, tail)
+        return found
 
 
 def learn_vocabulary(counts: DataFrame) -> Vocabulary:
