@@ -1,13 +1,15 @@
 """Quality rules and the quality classifier."""
 
 import random
+import resource
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
-from tests.llm.corpus import frame, prose, words_of
+from tests.llm.corpus import frame, odd_rows, prose, words_of
 from tidemark.llm import gam, quality_rules
-from tidemark.llm.text import Words, window_hashes
+from tidemark.llm.text import Words, parts, slices, window_hashes
 
 
 def longest_at(words, i):
@@ -138,3 +140,27 @@ def test_without_labels_all_scores_are_even(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     found = gam.quality_scores(docs, gam.fit_scores(docs, none)).collect()
     assert [row.score for row in found] == [0.5, 0.5]
+
+
+def test_freed_memory_goes_back_after_the_last_slice():
+    def resident():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * resource.getpagesize()
+
+    # Too small for mappings of their own; the last one stays and keeps the heap as it is
+    held = [np.ones(10_000) for _ in range(2_000)]
+    last = held.pop()
+    held.clear()
+    before = resident()
+    assert list(slices([])) == []
+    assert resident() < before - (100 << 20)
+    assert last.sum() == 10_000
+
+
+def test_features_of_a_slice_are_those_of_the_whole():
+    texts = [text.encode() for _, text in odd_rows() if text is not None]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.binary())})
+    cut = [part.column("text").to_pylist() for part in parts(batch, 40)]
+    assert sum(cut, []) == texts and len(cut) > 1
+    assert all(len(part) == 1 or sum(map(len, part)) <= 40 for part in cut)
+    assert np.array_equal(np.concatenate([gam.features(part) for part in cut]), gam.features(texts))

@@ -21,14 +21,18 @@ from tidemark.llm.text import (
     Words,
     documents,
     few_rows_a_batch,
+    give_back,
     in_one_text,
     mixed,
+    parts,
     slices,
     window_hashes,
 )
 
 # The most labelled rows that are collected for training, by the order of a hash of their id.
 MAX_ROWS = 40_000
+# Text whose features are taken at once: their arrays are some forty times as large.
+FEATURE_BYTES = 1 << 20
 BINS = 48
 PAIR_BINS = 12
 ROUNDS = 80
@@ -303,7 +307,7 @@ def fit_scores(
     rows = documents(docs, id_col, text_col).join(F.broadcast(sample), "doc_id")
 
     def measured(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, FEATURE_BYTES):
             found = features(batch.column("text").to_pylist())
             listed = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), len(FEATURES))
             yield pa.RecordBatch.from_arrays(
@@ -336,7 +340,7 @@ def quality_scores(
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def scored(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, FEATURE_BYTES):
             score = model.score(features(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
@@ -361,8 +365,9 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             own = pa.RecordBatch.from_arrays([texts], ["text"])
             score = [
                 model.score(features(part.column("text").to_pylist()))
-                for part in slices([own])
+                for part in parts(own, FEATURE_BYTES)
             ]
             yield batch.filter(pa.array(np.concatenate([*score, np.empty(0)]) >= 0.5))
+        give_back()
 
     return rows.mapInArrow(chosen, rows.schema).select("row.*")
