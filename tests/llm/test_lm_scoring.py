@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.corpus import frame, odd_rows, prose, words_of
@@ -171,3 +172,45 @@ def test_every_symbol_is_learned_once_from_the_start_of_its_document():
         for states, _, weights in windows
     )
     assert begun == len(docs)
+
+
+def test_documents_of_several_slices_are_scored_side_by_side(spark, monkeypatch):
+    rows = [(i, prose(i, 40 + 7 * i, ["the", "of", "sun", "sea", f"own{i}"])) for i in range(30)]
+    vocabulary = lm_scoring.learn_vocabulary(
+        lm_scoring.count_words(frame(spark, rows).selectExpr("encode(text, 'utf-8') AS text"))
+    )
+    index, logs = lm_scoring.Index(vocabulary), np.zeros(lm_scoring.LISTED + gru.TAIL_CLASSES)
+    batches = [
+        pa.RecordBatch.from_pydict({"doc_id": [i], "text": [text.encode()]}) for i, text in rows
+    ]
+    monkeypatch.setattr(lm_scoring, "SCORED_TOKENS", 600)
+    found = list(lm_scoring._gathered(batches, index, logs, np.zeros(gru.TAIL_CLASSES)))
+    own = [x.doc_id[0].as_py() for some in found for x in some]
+    assert own == [i for i, _ in rows] and 1 < len(found) < len(rows)
+    sums = [sum(len(x.symbols) + len(x.counts) for x in some) for some in found]
+    assert min(sums[:-1]) >= 600 and max(sums) < 600 + 40 + 7 * 30 + 1
+
+
+def test_windows_of_one_step_have_the_mean_of_their_gradients():
+    rng = np.random.default_rng(11)
+    model, windows = network(7), []
+    for times, lanes in ((6, 3), (2, 1), (5, 4)):
+        symbols = rng.integers(0, gru.SYMBOLS, (times, lanes))
+        weights = (rng.random(symbols.shape) < 0.8).astype(float)
+        windows.append((*forward(model, symbols), symbols, weights))
+    loss, grads = model.mean_gradients(windows)
+    alone = [model.gradients(*window) for window in windows]
+    sums = [window[-1].sum() for window in windows]
+    assert loss == pytest.approx(sum(own for own, _ in alone))
+    for name, grad in grads.items():
+        mean = sum(own[name] * n for (_, own), n in zip(alone, sums, strict=True)) / sum(sums)
+        assert np.allclose(grad, mean, rtol=1e-6, atol=1e-9)
+
+
+def test_weights_that_lie_far_apart_have_probabilities():
+    model = network(3)
+    model.values["classes"] *= 400
+    state = np.full((1, gru.HIDDEN), 0.9)
+    every = np.arange(gru.SYMBOLS)
+    found = model.log_chances(np.repeat(state, len(every), 0), every)
+    assert np.isfinite(found).all() and np.exp(found).sum() == pytest.approx(1)

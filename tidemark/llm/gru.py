@@ -21,6 +21,8 @@ SYMBOLS = HEAD + TAIL_CLASSES
 HIDDEN = 16
 # Fixed place of the end of a document among the symbols.
 END = 0
+# Rows of a softmax that are worked on at once, to stay in a core's cache.
+BLOCK = 1_024
 
 SHAPES = {
     "inputs": (SYMBOLS, 3 * HIDDEN),
@@ -63,122 +65,236 @@ class Network:
     def to_bytes(self) -> bytes:
         return b"".join(self.values[name].astype(np.float32).tobytes() for name in SHAPES)
 
-    def step(self, symbols: np.ndarray, state: np.ndarray, trace: list | None = None) -> np.ndarray:
-        """The states after one more symbol each."""
-        given = self.values["inputs"][symbols]
-        own = state @ self.values["states"]
-        gates = _logistic(given[:, : 2 * HIDDEN] + own[:, : 2 * HIDDEN])
-        update, reset = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        inner = own[:, 2 * HIDDEN :]
-        new = np.tanh(given[:, 2 * HIDDEN :] + reset * inner)
+    def parts(self) -> Parts:
+        """The weights of the update, the reset and the inner part, each in one piece."""
+        return Parts(_by_part(self.values["inputs"]), _by_part(self.values["states"]))
+
+    def step(
+        self,
+        symbols: np.ndarray,
+        state: np.ndarray,
+        trace: list | None = None,
+        parts: Parts | None = None,
+    ) -> np.ndarray:
+        """The states after one more symbol each. `parts` saves their making at every step."""
+        parts = parts or self.parts()
+        given = parts.inputs.take(symbols, 1)
+        own = state @ parts.states
+        gates, new, inner = given[:2], given[2], own[2]
+        gates += own[:2]
+        _logistic(gates)
+        update, reset = gates
+        new += reset * inner
+        np.tanh(new, out=new)
         if trace is not None:
-            trace.append((symbols, state, update, reset, inner, new))
-        return new + update * (state - new)
+            trace.append((gates, inner, new))
+        found = state - new
+        found *= update
+        found += new
+        return found
 
     def log_chances(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each symbol in the state before it."""
-        values = self.values
-        classes = class_of(symbols)
-        found = _log_chosen(states, values["classes"], values["class_bias"], classes)
-        for number, rows in by_class(classes):
-            members, bias = values["members"][number], values["member_bias"][number]
-            found[rows] += _log_chosen(states[rows], members, bias, symbols[rows] % CLASS_SIZE)
+        classes, members = self._outputs()
+        found = np.empty(len(symbols), states.dtype)
+        for at in range(0, len(symbols), BLOCK):
+            block = slice(at, at + BLOCK)
+            _, _, found[block] = classes.chances(_with_one(states[block]), class_of(symbols[block]))
+        order = np.argsort(symbols.astype(np.int16), kind="stable")
+        heads, bounds = _heads(symbols[order])
+        order = order[:heads]
+        own = symbols[order] % CLASS_SIZE
+        _, _, more = members.chances(_with_one(states[order]), own, bounds)
+        found[order] += more
         return found
 
+    def _outputs(self) -> tuple[Softmax, Softmax]:
+        values = self.values
+        return (
+            Softmax(values["classes"], values["class_bias"]),
+            Softmax(values["members"], values["member_bias"]),
+        )
+
     def gradients(self, trace, ended, states, symbols, weights) -> tuple[float, dict]:
         """Loss and gradients of one window.
 
         `trace`: what `step` kept for each time; `ended`: which lanes were reset after it;
         `states`, `symbols`, `weights`: by time and lane, the states before the symbols.
         """
-        values = self.values
-        times, lanes = symbols.shape
-        grads = {name: np.zeros_like(value) for name, value in values.items()}
-        flat_states = states.reshape(-1, HIDDEN)
-        flat, weight = symbols.ravel(), weights.ravel()
-        scale = np.float32(1 / max(weight.sum(), 1))
-        classes = class_of(flat)
-        logits = flat_states @ values["classes"] + values["class_bias"]
-        own, chance = _log_softmax(logits, classes)
-        loss = -float((own * weight).sum())
-        chance[np.arange(len(flat)), classes] -= 1
-        chance *= (weight * scale)[:, None]
-        grads["classes"] = flat_states.T @ chance
-        grads["class_bias"] = chance.sum(0)
-        back = chance @ values["classes"].T
-        for number, rows in by_class(classes):
-            part = flat_states[rows]
-            member = flat[rows] % CLASS_SIZE
-            logits = part @ values["members"][number] + values["member_bias"][number]
-            own, chance = _log_softmax(logits, member)
-            loss -= float((own * weight[rows]).sum())
-            chance[np.arange(len(member)), member] -= 1
-            chance *= (weight[rows] * scale)[:, None]
-            grads["members"][number] = part.T @ chance
-            grads["member_bias"][number] = chance.sum(0)
-            back[rows] += chance @ values["members"][number].T
-        back = back.reshape(times, lanes, HIDDEN)
-        coming = np.zeros((lanes, HIDDEN), np.float32)
-        given_grads = np.empty((times, lanes, 3 * HIDDEN), np.float32)
-        for t in range(times - 1, -1, -1):
-            _, state, update, reset, inner, new = trace[t]
-            coming = np.where(ended[t][:, None], 0, coming)
-            d_update = coming * (state - new) * update * (1 - update)
-            d_new = coming * (1 - update) * (1 - new * new)
-            d_reset = d_new * inner * reset * (1 - reset)
-            d_own = np.concatenate([d_update, d_reset, d_new * reset], 1)
-            given_grads[t] = np.concatenate([d_update, d_reset, d_new], 1)
-            grads["states"] += state.T @ d_own
-            coming = coming * update + d_own @ values["states"].T + back[t]
-        order = np.argsort(flat, kind="stable")
-        start = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        grads["inputs"][flat[order[start]]] = np.add.reduceat(
-            given_grads.reshape(-1, 3 * HIDDEN)[order], start
-        )
+        return self.mean_gradients([(trace, ended, states, symbols, weights)])
+
+    def mean_gradients(self, windows: list[tuple]) -> tuple[float, dict]:
+        """Loss of several windows, and gradients of its mean over their symbols by weight."""
+        flat = np.concatenate([window[3].ravel() for window in windows])
+        weight = np.concatenate([window[4].ravel() for window in windows])
+        flat_states = _with_one(np.concatenate([w[2].reshape(-1, HIDDEN) for w in windows]))
+        scale = weight * np.float32(1 / max(weight.sum(), 1))
+        classes, members = self._outputs()
+        grads = {name: np.zeros_like(value) for name, value in self.values.items()}
+        back = np.empty((len(flat), HIDDEN), flat_states.dtype)
+        own_classes, loss = class_of(flat), 0.0
+        for at in range(0, len(flat), BLOCK):
+            block = slice(at, at + BLOCK)
+            part, own = flat_states[block], own_classes[block]
+            chance, total, logs = classes.chances(part, own)
+            loss -= float((logs * weight[block]).sum())
+            chance[np.arange(len(own)), own] -= total
+            share = (scale[block] / total)[:, None]
+            np.matmul(chance, classes.weights.T, out=back[block])
+            back[block] *= share
+            sums = (part * share).T @ chance
+            grads["classes"] += sums[:-1]
+            grads["class_bias"] += sums[-1]
+        order = np.argsort(flat.astype(np.int16), kind="stable")
+        ordered = flat[order]
+        heads, bounds = _heads(ordered)
+        places = order[:heads]
+        part, own = flat_states[places], ordered[:heads] % CLASS_SIZE
+        chance, total, logs = members.chances(part, own, bounds)
+        loss -= float((logs * weight[places]).sum())
+        chance[np.arange(heads), own] -= total
+        chance *= (scale[places] / total)[:, None]
+        more = np.empty((heads, HIDDEN), back.dtype)
+        for number, start, stop in _runs(bounds):
+            run = chance[start:stop]
+            np.matmul(run, members.weights[number].T, out=more[start:stop])
+            sums = part[start:stop].T @ run
+            grads["members"][number] = sums[:-1]
+            grads["member_bias"][number] = sums[-1]
+        back[places] += more
+        at, going = 0, _by_part(self.values["states"]).transpose(0, 2, 1)
+        # Gradients of what the inputs gave, and of what the states gave to the inner part
+        given = np.empty((len(flat), 3 * HIDDEN), back.dtype)
+        inner = np.empty((len(flat), HIDDEN), back.dtype)
+        for trace, ended, states, symbols, _ in windows:
+            block = slice(at, at + symbols.size)
+            of_window = back[block].reshape(states.shape)
+            _back(going, trace, ended, states, of_window, given[block], inner[block])
+            at += symbols.size
+        states = flat_states[:, :-1].T
+        grads["states"][:, : 2 * HIDDEN] = states @ given[:, : 2 * HIDDEN]
+        grads["states"][:, 2 * HIDDEN :] = states @ inner
+        start = np.flatnonzero(np.diff(ordered, prepend=-1))
+        grads["inputs"][ordered[start]] = np.add.reduceat(given.take(order, 0), start)
         return loss, grads
 
 
+@dataclass
+class Parts:
+    """Weights by part: update, reset and inner part."""
+
+    inputs: np.ndarray
+    states: np.ndarray
+
+
+def _by_part(weights: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(weights.reshape(len(weights), 3, HIDDEN).transpose(1, 0, 2))
+
+
+def _back(going, trace, ended, states, back, given, inner_given) -> None:
+    """Writes the gradients of what the inputs gave, and of what the states gave to the inner part.
+
+    `back`: gradients of the states before each time's symbols, by what was read from them;
+    `going`: the states' weights, by part, from the parts to the states.
+    """
+    times, lanes, _ = back.shape
+    # What a state's gradient is multiplied by, for the update, the reset and the inner part
+    factors = np.empty((times, 3, lanes, HIDDEN), back.dtype)
+    rest = np.empty_like(back)
+    coming = np.zeros((lanes, HIDDEN), back.dtype)
+    any_ended = [x.any() for x in ended]
+    for t in range(times - 1, -1, -1):
+        (update, reset), inner, new = trace[t]
+        of_update, of_reset, of_inner = factor = factors[t]
+        if any_ended[t]:
+            coming[ended[t]] = 0
+        np.subtract(states[t], new, out=of_update)
+        of_update *= update
+        left = 1 - update
+        of_update *= left
+        left *= 1 - new * new
+        np.multiply(left, reset, out=of_inner)
+        np.multiply(of_inner, inner, out=of_reset)
+        of_reset *= 1 - reset
+        factor *= coming
+        np.multiply(left, coming, out=rest[t])
+        coming *= update
+        coming += (factor @ going).sum(0)
+        coming += back[t]
+    laid = given.reshape(times, lanes, 3, HIDDEN)
+    laid[:, :, :2] = factors[:, :2].transpose(0, 2, 1, 3)
+    laid[:, :, 2] = rest
+    inner_given.reshape(back.shape)[:] = factors[:, 2]
+
+
 def class_of(symbols: np.ndarray) -> np.ndarray:
     return np.where(
         symbols < HEAD, symbols // CLASS_SIZE, symbols - HEAD + HEAD_CLASSES
     )
 
 
-def by_class(classes: np.ndarray):
-    """(head class, places) of each head class that occurs."""
-    order = np.argsort(classes.astype(np.int16), kind="stable")
-    bounds = np.searchsorted(classes[order], np.arange(HEAD_CLASSES + 1))
-    for number in range(HEAD_CLASSES):
-        if bounds[number] < bounds[number + 1]:
-            yield number, order[bounds[number] : bounds[number + 1]]
+def _heads(ordered: np.ndarray) -> tuple[int, np.ndarray]:
+    """How many of the ordered symbols are head words, and where each class of them begins."""
+    bounds = np.searchsorted(ordered, np.arange(0, HEAD + 1, CLASS_SIZE))
+    return int(bounds[-1]), bounds
 
 
-def _logistic(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def _runs(bounds: np.ndarray):
+    """(number, start, end) of each class that occurs."""
+    places = bounds.tolist()
+    for number in range(len(places) - 1):
+        if places[number] < places[number + 1]:
+            yield number, places[number], places[number + 1]
 
 
-def _log_softmax(logits: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log probability of the chosen column, and all probabilities."""
-    logits -= logits.max(1, keepdims=True)
-    own = logits[np.arange(len(logits)), chosen]
-    np.exp(logits, out=logits)
-    total = logits.sum(1)
-    logits /= total[:, None]
-    return own - np.log(total), logits
+def _with_one(states: np.ndarray) -> np.ndarray:
+    """The states with a column of ones behind them, which the bias is the weight of."""
+    found = np.empty((len(states), HIDDEN + 1), states.dtype)
+    found[:, :-1] = states
+    found[:, -1] = 1
+    return found
 
 
-def _log_chosen(
-    states: np.ndarray, weights: np.ndarray, bias: np.ndarray, chosen: np.ndarray
-) -> np.ndarray:
-    """Log probability of the chosen column of a softmax. States lie between -1 and 1."""
-    most = float((np.abs(weights).sum(0) + bias).max())
-    logits = states @ weights
-    logits += bias - most
-    own = logits[np.arange(len(logits)), chosen]
-    if float((np.abs(weights).sum(0)).max()) > 40:  # too far apart for one shift for all rows
-        return _log_softmax(logits, chosen)[0]
-    np.exp(logits, out=logits)
-    return own - np.log(logits.sum(1))
+def _logistic(x: np.ndarray) -> None:
+    np.negative(x, out=x)
+    exponentials(x)
+    x += 1
+    np.reciprocal(x, out=x)
+
+
+class Softmax:
+    """A softmax layer, or several with a row of weights each, for states between -1 and 1."""
+
+    def __init__(self, weights: np.ndarray, bias: np.ndarray):
+        self.weights = weights
+        reach = np.abs(weights).sum(-2)
+        most = (reach + bias).max(-1, keepdims=True)
+        # No logit is above 0, and too far below none unless the reach is long
+        self.is_near = float(reach.max()) <= 40
+        self.table = np.concatenate([weights, np.expand_dims(bias - most, -2)], -2)
+
+    def chances(self, states: np.ndarray, chosen: np.ndarray, bounds: np.ndarray | None = None):
+        """Exponentials of the logits, their sum, and the log probability of the chosen column.
+
+        `states` have a one behind them; with several layers they are in runs, cut at `bounds`.
+        """
+        logits = np.empty((len(states), self.table.shape[-1]), states.dtype)
+        if bounds is None:
+            np.matmul(states, self.table, out=logits)
+        else:
+            for number, start, stop in _runs(bounds):
+                np.matmul(states[start:stop], self.table[number], out=logits[start:stop])
+        if not self.is_near:  # too far apart for one shift for all rows
+            logits -= logits.max(1, keepdims=True)
+        own = logits[np.arange(len(logits)), chosen]
+        exponentials(logits)
+        total = logits @ np.ones(logits.shape[1], logits.dtype)
+        return logits, total, own - np.log(total)
+
+
+def exponentials(x: np.ndarray) -> None:
+    """In place."""
+    np.exp(x, out=x)
 
 
 class Trainer:
@@ -192,7 +308,7 @@ class Trainer:
         self.network, self.rate, self.window, self.lanes = network, rate, window, lanes
         self.first = {name: np.zeros_like(x) for name, x in network.values.items()}
         self.second = {name: np.zeros_like(x) for name, x in network.values.items()}
-        self.sums = {name: np.zeros_like(x) for name, x in network.values.items()}
+        self.waiting: list[tuple] = []  # windows since the last step
         self.steps, self.loss, self.weight, self.gathered = 0, 0.0, 0.0, 0.0
         self.coming: deque[np.ndarray] = deque()
         # What each lane has left to read, and its state
@@ -244,36 +360,33 @@ class Trainer:
             part[:n, lane] = self.left[lane][:n]
             weights[:n, lane] = 1
             self.left[lane] = self.left[lane][n:]
-        state, trace, states, ended = self.state, [], [], []
-        for symbols_now in part:
+        state, trace, states, ended = self.state, [], [], part == END
+        parts = self.network.parts()
+        for symbols_now, over in zip(part, ended, strict=True):
             states.append(state)
-            state = self.network.step(symbols_now, state, trace)
-            over = symbols_now == END
-            state[over] = 0
-            ended.append(over)
+            state = self.network.step(symbols_now, state, trace, parts)
+            if over.any():
+                state[over] = 0
         self.state = state
         self._update(trace, ended, np.stack(states), part, weights)
 
     def _update(self, trace, ended, states, symbols, weights) -> None:
-        """Adds up the gradients of windows; a step is taken from as many symbols as all lanes have."""
-        loss, grads = self.network.gradients(trace, ended, states, symbols, weights)
-        self.loss += loss
-        n = float(weights.sum())
-        for name, grad in grads.items():
-            self.sums[name] += grad * np.float32(n)
-        self.gathered += n
+        """Keeps windows; a step is taken from as many symbols as all lanes have."""
+        self.waiting.append((trace, ended, states, symbols, weights))
+        self.gathered += float(weights.sum())
         if self.gathered >= self.lanes * self.window:
             self._step()
 
     def _step(self) -> None:
         self.weight += self.gathered
         self.steps += 1
-        grads = {name: x / np.float32(self.gathered) for name, x in self.sums.items()}
+        loss, grads = self.network.mean_gradients(self.waiting)
+        self.loss += loss
+        self.waiting = []
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
         shrink = min(1.0, 1.0 / max(norm, 1e-9)) * min(
             1.0, self.gathered / (self.lanes * self.window)
         )
-        self.sums = {name: np.zeros_like(x) for name, x in self.network.values.items()}
         self.gathered = 0.0
         even = self.rate * np.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps)
         for name, grad in grads.items():
@@ -300,6 +413,7 @@ def log_likelihoods(
     state = np.zeros((len(order), HIDDEN), np.float32)
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
     most = int(longest[0]) + 1 if len(order) else 0
+    parts = network.parts()
     n_waiting = 0
     for t in range(most):
         # Documents with a symbol left, their end included.
@@ -315,7 +429,7 @@ def log_likelihoods(
             lane = np.concatenate([np.arange(len(x)) for _, x in waiting])
             total += np.bincount(lane, network.log_chances(states, chosen), len(total))
             waiting, n_waiting = [], 0
-        state = network.step(now[:inside], state[:inside])
+        state = network.step(now[:inside], state[:inside], parts=parts)
     found = np.empty(len(order))
     found[order] = total
     return found

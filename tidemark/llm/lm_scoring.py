@@ -34,6 +34,9 @@ SCORED_SYMBOLS = 32_768
 GROUP = 64
 TRAIN_BYTES = 8 << 20
 SCORE_BYTES = 16 << 20
+# Tokens of documents that are scored side by side. Few documents are long, and a step of a few takes
+# nearly as long as one of many.
+SCORED_TOKENS = 4 << 20
 # A space is in no word: it stands for the end of a document.
 END_WORD = b" "
 ENDING_BYTES = 3
@@ -290,7 +293,7 @@ def _scored(rows, counts, vocabulary: Vocabulary, network: Network, id_col: str)
     )
 
     def scored(batches):
-        index, own = Index(vocabulary), Network.from_bytes(data)
+        index, own_network = Index(vocabulary), Network.from_bytes(data)
         n_listed = len(vocabulary.words)
         logs = np.zeros(len(index.symbols))
         logs[:n_listed] = np.log10(vocabulary.counts + 1.0)
@@ -298,31 +301,26 @@ def _scored(rows, counts, vocabulary: Vocabulary, network: Network, id_col: str)
         totals = np.log10(vocabulary.tail_totals)
         number = TaskContext.get().partitionId() << 32
         has_end = n_listed > 0
-        for batch in slices(batches, SCORE_BYTES):
-            words = Words(batch.column("text").to_pylist(), lower=True)
-            numbers = index.numbers(words)
-            symbols = index.symbols[numbers]
-            likely = gru.log_likelihoods(own, symbols, words.first, SCORED_SYMBOLS) / np.log(10)
-            in_tail = symbols >= HEAD
-            shares = np.where(
-                in_tail, logs[numbers] - totals[np.where(in_tail, symbols - HEAD, 0)], 0
-            )
-            is_listed = numbers < LISTED
-            rest = _rest(words, ~is_listed)
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.arange(number, number + n)),
-                    batch.column("doc_id"),
-                    pa.array(words.counts + 1),
-                    pa.array(words.per_words(is_listed) + has_end),
-                    pa.array(_float_sums(logs[numbers], words.first) + (logs[0] if has_end else 0)),
-                    pa.array(likely + _float_sums(shares, words.first)),
-                    rest,
-                ],
-                ["row", "doc_id", "n_tokens", "n_listed", "log_listed", "log_model", "rest"],
-            )
-            number += n
+        for some in _gathered(slices(batches, SCORE_BYTES), index, logs, totals):
+            symbols = np.concatenate([own.symbols for own in some])
+            first = np.concatenate([[0], np.cumsum(np.concatenate([own.counts for own in some]))])
+            likely = gru.log_likelihoods(own_network, symbols, first, SCORED_SYMBOLS) / np.log(10)
+            at = 0
+            for own in some:
+                n = len(own.counts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.arange(number, number + n)),
+                        own.doc_id,
+                        pa.array(own.counts + 1),
+                        pa.array(own.n_listed + has_end),
+                        pa.array(own.log_listed + (logs[0] if has_end else 0)),
+                        pa.array(likely[at : at + n] + own.log_shares),
+                        own.rest,
+                    ],
+                    ["row", "doc_id", "n_tokens", "n_listed", "log_listed", "log_model", "rest"],
+                )
+                number, at = number + n, at + n
 
     found = cut(rows.mapInArrow(scored, schema))
     others = (
@@ -349,6 +347,50 @@ def _scored(rows, counts, vocabulary: Vocabulary, network: Network, id_col: str)
     )
 
 
+@dataclass
+class Read:
+    """What scoring needs of a slice of documents, without their texts."""
+
+    doc_id: pa.Array
+    counts: np.ndarray
+    symbols: np.ndarray
+    n_listed: np.ndarray
+    log_listed: np.ndarray
+    log_shares: np.ndarray  # of the words of a class in it
+    rest: pa.Array
+
+
+def _gathered(batches, index: Index, logs: np.ndarray, totals: np.ndarray):
+    """Lists of slices that hold SCORED_TOKENS tokens together, or the last of them."""
+    some, n_tokens = [], 0
+    for batch in batches:
+        some.append(_read(batch, index, logs, totals))
+        n_tokens += len(some[-1].symbols) + batch.num_rows
+        if n_tokens >= SCORED_TOKENS:
+            yield some
+            some, n_tokens = [], 0
+    if some:
+        yield some
+
+
+def _read(batch: pa.RecordBatch, index: Index, logs: np.ndarray, totals: np.ndarray) -> Read:
+    words = Words(batch.column("text").to_pylist(), lower=True)
+    numbers = index.numbers(words)
+    symbols = index.symbols[numbers]
+    in_tail = symbols >= HEAD
+    shares = np.where(in_tail, logs[numbers] - totals[np.where(in_tail, symbols - HEAD, 0)], 0)
+    is_listed = numbers < LISTED
+    return Read(
+        batch.column("doc_id"),
+        words.counts,
+        symbols.astype(np.int16),
+        words.per_words(is_listed),
+        _float_sums(logs[numbers], words.first),
+        _float_sums(shares, words.first),
+        _rest(words, ~is_listed),
+    )
+
+
 def _float_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0.0], np.cumsum(values)])
     return total[bounds[1:]] - total[bounds[:-1]]
