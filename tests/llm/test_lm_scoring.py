@@ -214,3 +214,77 @@ def test_weights_that_lie_far_apart_have_probabilities():
     every = np.arange(gru.SYMBOLS)
     found = model.log_chances(np.repeat(state, len(every), 0), every)
     assert np.isfinite(found).all() and np.exp(found).sum() == pytest.approx(1)
+
+
+def test_exponentials_of_the_tables():
+    x = np.random.default_rng(12).uniform(-80, 0, 5_000).astype(np.float32)
+    x[:3] = 0, -0.25 / gru.FINE, -80
+    for table, own in ((gru.EXPONENTIALS, x), (gru.AROUND, x + 40)):
+        steps = own * np.float32(gru.FINE)
+        found = gru.listed_factors(steps, table) * steps
+        assert np.allclose(found, np.exp(own.astype(float)), rtol=2e-6, atol=0)
+
+
+def test_states_and_chances_by_the_tables_are_those_without():
+    rng = np.random.default_rng(13)
+    exact, model = network(6), network(6)
+    model.values = {name: value.astype(np.float32) for name, value in model.values.items()}
+    assert model.parts(many=True).is_listed and all(x.is_listed for x in model._outputs())
+    assert not any(x.is_listed for x in exact._outputs())
+    symbols, state = rng.integers(0, gru.SYMBOLS, 500), rng.uniform(-1, 1, (500, gru.HIDDEN))
+    own = model.step(symbols, state.astype(np.float32), parts=model.parts(many=True))
+    assert np.allclose(own, exact.step(symbols, state), atol=2e-6)
+    chances = model.log_chances(state.astype(np.float32), symbols)
+    assert np.allclose(chances, exact.log_chances(state, symbols), atol=2e-5)
+
+
+def test_a_trace_in_one_piece_gives_the_gradients_of_a_list():
+    rng = np.random.default_rng(14)
+    model, symbols = network(8), rng.integers(0, gru.SYMBOLS, (11, 4))
+    steps, ended, states = forward(model, symbols)
+    weights = np.ones(symbols.shape)
+    loss, grads = model.gradients(steps, ended, states, symbols, weights)
+    trace = gru.Trace(*symbols.shape, float)
+    for now, state in zip(symbols, states, strict=True):
+        model.step(now, state, trace)
+    found, own = model.gradients(trace, ended, states, symbols, weights)
+    assert found == loss and all(np.allclose(grads[x], own[x]) for x in grads)
+
+
+def test_documents_are_numbered_once(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "LISTED", 4)
+    rows = [(1, "a b a zz zz"), (2, None), (3, "zz b\ty a"), (4, "a"), (None, "a b")]
+    docs = frame(spark, rows).selectExpr("doc_id", "encode(coalesce(text, ''), 'utf-8') AS text")
+    vocabulary = lm_scoring.learn_vocabulary(lm_scoring.count_words(docs))
+    assert vocabulary.words == [b" ", b"a", b"b", b"zz"]
+    assert (vocabulary.n_tokens, vocabulary.n_distinct) == (17, 5)
+    vocabulary.words, vocabulary.counts = vocabulary.words[:3], vocabulary.counts[:3]
+    found = {r.doc_id: r for r in lm_scoring.numbered(docs, vocabulary).collect()}
+    symbols = {k: np.frombuffer(r.symbols, lm_scoring.SYMBOL).tolist() for k, r in found.items()}
+    last = gru.SYMBOLS - 1
+    assert symbols == {1: [1, 2, 1, last, last], 2: [], 3: [last, 2, last, 1], 4: [1], None: [1, 2]}
+    rest = {k: sorted((bytes(x.word), x.times) for x in r.rest) for k, r in found.items()}
+    assert rest == {1: [(b"zz", 2)], 2: [], 3: [(b"y", 1), (b"zz", 1)], 4: [], None: []}
+    assert [found[k].n_listed for k in (1, 2, 3, 4)] == [4, 1, 3, 2]
+
+
+@pytest.mark.parametrize("listed", [2, 5, 9, 40])
+def test_words_are_listed_by_count_then_by_bytes(spark, monkeypatch, listed):
+    monkeypatch.setattr(lm_scoring, "LISTED", listed)
+    monkeypatch.setattr(lm_scoring, "HEAD", 3)
+    texts = [" ".join(f"w{k:02d}" for k in range(30) for _ in range(k % 4 + 1))]
+    docs = frame(spark, [(1, texts[0])]).selectExpr("encode(text, 'utf-8') AS text")
+    found = lm_scoring.learn_vocabulary(lm_scoring.count_words(docs))
+    counts = Counter(x.encode() for x in texts[0].split())
+    order = [b" ", *sorted(counts, key=lambda x: (-counts[x], x))]
+    assert found.words == order[:listed]
+    outside = order[3:] if listed >= 3 else []
+    if listed > 3:
+        assert found.tail_totals.sum() == sum(counts[x] + 1 for x in outside) + gru.TAIL_CLASSES
+
+
+def test_words_as_arrow_has_them():
+    words = Words([b"", b"one  two\tthree", b"four "])
+    for places in ([], [0], [3, 1, 1, 2]):
+        places = np.array(places, np.int64)
+        assert words.array(places).to_pylist() == words.words(places)

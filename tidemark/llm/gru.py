@@ -23,6 +23,13 @@ HIDDEN = 16
 END = 0
 # Rows of a softmax that are worked on at once, to stay in a core's cache.
 BLOCK = 1_024
+# Steps of a table of exponentials in one unit, and how many it has.
+FINE = 512
+STEPS = 1 << 16
+# A float of this size has no place behind the point, and its last 16 bits are a whole number.
+WHOLE = np.float32(1.5 * 2**23)
+# Times of a window whose factors are made at once, for the same reason.
+TIMES = 8
 
 SHAPES = {
     "inputs": (SYMBOLS, 3 * HIDDEN),
@@ -65,28 +72,42 @@ class Network:
     def to_bytes(self) -> bytes:
         return b"".join(self.values[name].astype(np.float32).tobytes() for name in SHAPES)
 
-    def parts(self) -> Parts:
-        """The weights of the update, the reset and the inner part, each in one piece."""
-        return Parts(_by_part(self.values["inputs"]), _by_part(self.values["states"]))
+    def parts(self, many: bool = False) -> Parts:
+        """The weights of the update, the reset and the inner part, each in one piece.
+
+        Those of the gates are negative, as a gate takes the exponential of less its sum, and for steps
+        of many lanes in steps of the exponentials' table, if no sum leaves it.
+        """
+        found = Parts(_by_part(self.values["inputs"]), _by_part(self.values["states"]))
+        for weights in (found.inputs, found.states):
+            np.negative(weights[:2], out=weights[:2])
+        if many and found.inputs.dtype == np.float32:
+            most = np.abs(found.inputs[:2]).max() + np.abs(found.states[:2]).sum(1).max()
+            found.is_listed = bool(most < STEPS / FINE / 2 - 1)
+            if found.is_listed:
+                found.inputs[:2] *= np.float32(FINE)
+                found.states[:2] *= np.float32(FINE)
+        return found
 
     def step(
         self,
         symbols: np.ndarray,
         state: np.ndarray,
-        trace: list | None = None,
+        trace: list | Trace | None = None,
         parts: Parts | None = None,
     ) -> np.ndarray:
         """The states after one more symbol each. `parts` saves their making at every step."""
         parts = parts or self.parts()
-        given = parts.inputs.take(symbols, 1)
-        own = state @ parts.states
+        given, own = trace.room() if isinstance(trace, Trace) else (None, None)
+        given = parts.inputs.take(symbols, 1, out=given, mode="clip")
+        own = np.matmul(state, parts.states, out=own)
         gates, new, inner = given[:2], given[2], own[2]
         gates += own[:2]
-        _logistic(gates)
+        _logistic(gates, parts.is_listed)
         update, reset = gates
         new += reset * inner
         np.tanh(new, out=new)
-        if trace is not None:
+        if isinstance(trace, list):
             trace.append((gates, inner, new))
         found = state - new
         found *= update
@@ -99,13 +120,12 @@ class Network:
         found = np.empty(len(symbols), states.dtype)
         for at in range(0, len(symbols), BLOCK):
             block = slice(at, at + BLOCK)
-            _, _, found[block] = classes.chances(_with_one(states[block]), class_of(symbols[block]))
+            found[block] = classes.logs(_with_one(states[block]), class_of(symbols[block]))
         order = np.argsort(symbols.astype(np.int16), kind="stable")
         heads, bounds = _heads(symbols[order])
         order = order[:heads]
         own = symbols[order] % CLASS_SIZE
-        _, _, more = members.chances(_with_one(states[order]), own, bounds)
-        found[order] += more
+        found[order] += members.logs(_with_one(states[order]), own, bounds)
         return found
 
     def _outputs(self) -> tuple[Softmax, Softmax]:
@@ -138,7 +158,7 @@ class Network:
             part, own = flat_states[block], own_classes[block]
             chance, total, logs = classes.chances(part, own)
             loss -= float((logs * weight[block]).sum())
-            chance[np.arange(len(own)), own] -= total
+            chance.reshape(-1)[_places(chance, own)] -= total
             share = (scale[block] / total)[:, None]
             np.matmul(chance, classes.weights.T, out=back[block])
             back[block] *= share
@@ -152,7 +172,7 @@ class Network:
         part, own = flat_states[places], ordered[:heads] % CLASS_SIZE
         chance, total, logs = members.chances(part, own, bounds)
         loss -= float((logs * weight[places]).sum())
-        chance[np.arange(heads), own] -= total
+        chance.reshape(-1)[_places(chance, own)] -= total
         chance *= (scale[places] / total)[:, None]
         more = np.empty((heads, HIDDEN), back.dtype)
         for number, start, stop in _runs(bounds):
@@ -163,68 +183,101 @@ class Network:
             grads["member_bias"][number] = sums[-1]
         back[places] += more
         at, going = 0, _by_part(self.values["states"]).transpose(0, 2, 1)
-        # Gradients of what the inputs gave, and of what the states gave to the inner part
-        given = np.empty((len(flat), 3 * HIDDEN), back.dtype)
-        inner = np.empty((len(flat), HIDDEN), back.dtype)
+        # Gradients of what the states gave to each part, and of what the inputs gave to the inner part
+        given = np.empty((4, len(flat), HIDDEN), back.dtype)
         for trace, ended, states, symbols, _ in windows:
             block = slice(at, at + symbols.size)
-            of_window = back[block].reshape(states.shape)
-            _back(going, trace, ended, states, of_window, given[block], inner[block])
+            of_window = given[:, block].reshape(4, *states.shape)
+            _back(going, trace, ended, states, back[block].reshape(states.shape), of_window)
             at += symbols.size
         states = flat_states[:, :-1].T
-        grads["states"][:, : 2 * HIDDEN] = states @ given[:, : 2 * HIDDEN]
-        grads["states"][:, 2 * HIDDEN :] = states @ inner
         start = np.flatnonzero(np.diff(ordered, prepend=-1))
-        grads["inputs"][ordered[start]] = np.add.reduceat(given.take(order, 0), start)
+        for number, of_inputs in enumerate((0, 1, 3)):
+            part = slice(number * HIDDEN, (number + 1) * HIDDEN)
+            grads["states"][:, part] = states @ given[number]
+            # Pairs of columns are summed as complex numbers, in half as many sums
+            rows = given[of_inputs].take(order, 0).view(np.result_type(back, np.complex64))
+            sums = np.add.reduceat(rows, start).view(back.dtype)
+            grads["inputs"][ordered[start], part] = sums
         return loss, grads
 
 
+class Trace:
+    """What `step` keeps of all times of a window, in one piece: gates and new by time in `given`, the
+    inner part in `own`. `_back` uses it up."""
+
+    def __init__(self, times: int, lanes: int, dtype):
+        self.given, self.own = np.empty((2, times, 3, lanes, HIDDEN), dtype)
+        self.times = 0
+
+    def room(self) -> tuple[np.ndarray, np.ndarray]:
+        self.times += 1
+        return self.given[self.times - 1], self.own[self.times - 1]
+
+    @staticmethod
+    def of(steps: list) -> Trace:
+        gates, inner, new = steps[0]
+        found = Trace(len(steps), len(new), new.dtype)
+        for gates, inner, new in steps:
+            given, own = found.room()
+            given[:2], given[2], own[2] = gates, new, inner
+        return found
+
+
 @dataclass
 class Parts:
     """Weights by part: update, reset and inner part."""
 
     inputs: np.ndarray
     states: np.ndarray
+    is_listed: bool = False
 
 
 def _by_part(weights: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(weights.reshape(len(weights), 3, HIDDEN).transpose(1, 0, 2))
 
 
-def _back(going, trace, ended, states, back, given, inner_given) -> None:
-    """Writes the gradients of what the inputs gave, and of what the states gave to the inner part.
+def _back(going, trace, ended, states, back, given) -> None:
+    """Writes into `given`, by part, time and lane, the gradients of what the states gave to the
+    update, the reset and the inner part, and of what the inputs gave to the inner part.
 
     `back`: gradients of the states before each time's symbols, by what was read from them;
     `going`: the states' weights, by part, from the parts to the states.
     """
     times, lanes, _ = back.shape
-    # What a state's gradient is multiplied by, for the update, the reset and the inner part
-    factors = np.empty((times, 3, lanes, HIDDEN), back.dtype)
-    rest = np.empty_like(back)
-    coming = np.zeros((lanes, HIDDEN), back.dtype)
-    any_ended = [x.any() for x in ended]
-    for t in range(times - 1, -1, -1):
-        (update, reset), inner, new = trace[t]
-        of_update, of_reset, of_inner = factor = factors[t]
-        if any_ended[t]:
-            coming[ended[t]] = 0
-        np.subtract(states[t], new, out=of_update)
+    trace = trace if isinstance(trace, Trace) else Trace.of(trace)
+    # First what a state's gradient is multiplied by, for all lanes of some times
+    for at in range(0, times, TIMES):
+        some = slice(at, at + TIMES)
+        update, reset, new = trace.given[some].swapaxes(0, 1)
+        inner = trace.own[some, 2]
+        of_update, of_reset, of_inner, left = given[:, some]
+        np.subtract(states[some], new, out=of_update)
         of_update *= update
-        left = 1 - update
+        np.subtract(1, update, out=left)
         of_update *= left
-        left *= 1 - new * new
+        new *= new
+        np.subtract(1, new, out=new)
+        left *= new
         np.multiply(left, reset, out=of_inner)
         np.multiply(of_inner, inner, out=of_reset)
-        of_reset *= 1 - reset
-        factor *= coming
-        np.multiply(left, coming, out=rest[t])
-        coming *= update
-        coming += (factor @ going).sum(0)
+        np.subtract(1, reset, out=reset)
+        of_reset *= reset
+    coming = np.zeros((lanes, HIDDEN), back.dtype)
+    through = np.empty((3, lanes, HIDDEN), back.dtype)
+    any_ended = np.any(ended, 1)
+    for t in range(times - 1, -1, -1):
+        if any_ended[t]:
+            coming[ended[t]] = 0
+        factors = given[:, t]
+        factors *= coming
+        np.matmul(factors[:3], going, out=through)
+        coming *= trace.given[t, 0]
+        first, second, third = through
+        first += second
+        first += third
+        coming += first
         coming += back[t]
-    laid = given.reshape(times, lanes, 3, HIDDEN)
-    laid[:, :, :2] = factors[:, :2].transpose(0, 2, 1, 3)
-    laid[:, :, 2] = rest
-    inner_given.reshape(back.shape)[:] = factors[:, 2]
 
 
 def class_of(symbols: np.ndarray) -> np.ndarray:
@@ -255,9 +308,12 @@ def _with_one(states: np.ndarray) -> np.ndarray:
     return found
 
 
-def _logistic(x: np.ndarray) -> None:
-    np.negative(x, out=x)
-    exponentials(x)
+def _logistic(x: np.ndarray, is_listed: bool = False) -> None:
+    """Of less the sums, in place."""
+    if is_listed:
+        x *= listed_factors(x, AROUND)
+    else:
+        exponentials(x)
     x += 1
     np.reciprocal(x, out=x)
 
@@ -272,24 +328,53 @@ class Softmax:
         # No logit is above 0, and too far below none unless the reach is long
         self.is_near = float(reach.max()) <= 40
         self.table = np.concatenate([weights, np.expand_dims(bias - most, -2)], -2)
+        # The logits as steps of the exponentials' table, if all of them are in it
+        least = float((bias - reach - most).min())
+        in_table = weights.dtype == np.float32 and least > 1 - STEPS / FINE
+        self.is_listed = in_table and self.is_near
+        if self.is_listed:
+            self.table *= np.float32(FINE)
 
     def chances(self, states: np.ndarray, chosen: np.ndarray, bounds: np.ndarray | None = None):
         """Exponentials of the logits, their sum, and the log probability of the chosen column.
 
         `states` have a one behind them; with several layers they are in runs, cut at `bounds`.
         """
+        logits, own = self._logits(states, chosen, bounds)
+        if self.is_listed:
+            logits *= listed_factors(logits)
+        else:
+            exponentials(logits)
+        total = logits @ np.ones(logits.shape[1], logits.dtype)
+        return logits, total, own - np.log(total)
+
+    def logs(self, states: np.ndarray, chosen: np.ndarray, bounds: np.ndarray | None = None):
+        """The last of these alone."""
+        logits, own = self._logits(states, chosen, bounds)
+        if self.is_listed:
+            return own - np.log(np.einsum("ij,ij->i", listed_factors(logits), logits))
+        exponentials(logits)
+        return own - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
+
+    def _logits(self, states, chosen, bounds) -> tuple[np.ndarray, np.ndarray]:
+        """In steps of the table if they are in it, and the chosen ones in units."""
         logits = np.empty((len(states), self.table.shape[-1]), states.dtype)
         if bounds is None:
             np.matmul(states, self.table, out=logits)
         else:
             for number, start, stop in _runs(bounds):
                 np.matmul(states[start:stop], self.table[number], out=logits[start:stop])
-        if not self.is_near:  # too far apart for one shift for all rows
+        if not (self.is_listed or self.is_near):  # too far apart for one shift for all rows
             logits -= logits.max(1, keepdims=True)
-        own = logits[np.arange(len(logits)), chosen]
-        exponentials(logits)
-        total = logits @ np.ones(logits.shape[1], logits.dtype)
-        return logits, total, own - np.log(total)
+        own = logits.reshape(-1).take(_places(logits, chosen))
+        if self.is_listed:
+            own /= np.float32(FINE)
+        return logits, own
+
+
+def _places(rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Where one column of each row is in all of them."""
+    return np.arange(0, rows.size, rows.shape[1]) + columns
 
 
 def exponentials(x: np.ndarray) -> None:
@@ -297,6 +382,27 @@ def exponentials(x: np.ndarray) -> None:
     np.exp(x, out=x)
 
 
+# Of each step from 0 down, by its last 16 bits, divided by the steps of a unit.
+EXPONENTIALS = (np.exp(-(-np.arange(STEPS) % STEPS) / FINE) / FINE).astype(np.float32)
+# The same with half of the steps above 0.
+AROUND = np.arange(STEPS).astype(np.uint16).view(np.int16)
+AROUND = (np.exp(AROUND / FINE) / FINE).astype(np.float32)
+
+
+def listed_factors(x: np.ndarray, table: np.ndarray = EXPONENTIALS) -> np.ndarray:
+    """For 32-bit numbers inside the table, in steps of it: two factors of their exponentials. One is
+    returned, the other takes the place of the numbers.
+
+    One is the exponential at the nearest step, the other that of the rest to the first order. The
+    product is right to half a millionth.
+    """
+    near = x + WHOLE
+    found = table.take(near.view(np.uint16)[..., ::2], mode="wrap")
+    near -= WHOLE + np.float32(FINE)
+    x -= near
+    return found
+
+
 class Trainer:
     """Steps along lanes of documents by truncated backpropagation, with Adam.
 
@@ -335,9 +441,10 @@ class Trainer:
 
     def _filled(self) -> bool:
         """Gives documents to lanes with less than a window; whether all lanes have a window."""
-        for lane, rest in enumerate(self.left):
-            parts = [rest]
-            n = len(rest)
+        short = [lane for lane, rest in enumerate(self.left) if len(rest) < self.window]
+        for lane in short:
+            parts = [self.left[lane]]
+            n = len(parts[0])
             while n < self.window and self.coming:
                 parts.append(self.coming.popleft())
                 n += len(parts[-1])
@@ -346,29 +453,31 @@ class Trainer:
         while len(self.left) < self.lanes and self.coming:
             self.left.append(self.coming.popleft())
             self.state = np.concatenate([self.state, np.zeros((1, HIDDEN), np.float32)])
-        reading = [lane for lane, rest in enumerate(self.left) if len(rest)]
-        if len(reading) < len(self.left):
+        if not all(len(self.left[lane]) for lane in short):
+            reading = [lane for lane, rest in enumerate(self.left) if len(rest)]
             self.left = [self.left[lane] for lane in reading]
             self.state = self.state[reading]
         return len(self.left) == self.lanes and all(len(x) >= self.window for x in self.left)
 
     def _window(self) -> None:
-        lengths = [min(len(rest), self.window) for rest in self.left]
-        part = np.full((max(lengths), len(lengths)), END, np.int64)
-        weights = np.zeros(part.shape, np.float32)
-        for lane, n in enumerate(lengths):
-            part[:n, lane] = self.left[lane][:n]
-            weights[:n, lane] = 1
-            self.left[lane] = self.left[lane][n:]
-        state, trace, states, ended = self.state, [], [], part == END
+        some = [rest[: self.window] for rest in self.left]
+        self.left = [rest[self.window :] for rest in self.left]
+        lengths = np.fromiter(map(len, some), np.int64, len(some))
+        inside = np.arange(lengths.max()) < lengths[:, None]
+        part = np.full(inside.shape, END, np.int64)
+        part[inside] = np.concatenate(some)
+        part, weights = np.ascontiguousarray(part.T), inside.T.astype(np.float32, order="C")
+        state, ended = self.state, part == END
+        trace = Trace(*part.shape, state.dtype)
+        states = np.empty((*part.shape, HIDDEN), state.dtype)
         parts = self.network.parts()
-        for symbols_now, over in zip(part, ended, strict=True):
-            states.append(state)
-            state = self.network.step(symbols_now, state, trace, parts)
-            if over.any():
-                state[over] = 0
+        for t, any_ended in enumerate(ended.any(1)):
+            states[t] = state
+            state = self.network.step(part[t], state, trace, parts)
+            if any_ended:
+                state[ended[t]] = 0
         self.state = state
-        self._update(trace, ended, np.stack(states), part, weights)
+        self._update(trace, ended, states, part, weights)
 
     def _update(self, trace, ended, states, symbols, weights) -> None:
         """Keeps windows; a step is taken from as many symbols as all lanes have."""
@@ -390,9 +499,10 @@ class Trainer:
         self.gathered = 0.0
         even = self.rate * np.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps)
         for name, grad in grads.items():
-            grad = grad * np.float32(shrink)
+            grad *= np.float32(shrink)
             self.first[name] += 0.1 * (grad - self.first[name])
-            self.second[name] += 0.001 * (grad * grad - self.second[name])
+            grad *= grad
+            self.second[name] += 0.001 * (grad - self.second[name])
             self.network.values[name] -= np.float32(even) * self.first[name] / (
                 np.sqrt(self.second[name]) + np.float32(1e-8)
             )
@@ -408,17 +518,17 @@ def log_likelihoods(
     """
     lengths = np.diff(first)
     order = np.argsort(-lengths, kind="stable")
-    begin, longest = first[order], lengths[order]
+    begin, shorter = first[order], -lengths[order]
     total = np.zeros(len(order))
     state = np.zeros((len(order), HIDDEN), np.float32)
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
-    most = int(longest[0]) + 1 if len(order) else 0
-    parts = network.parts()
+    most = 1 - int(shorter[0]) if len(order) else 0
+    parts = network.parts(many=True)
     n_waiting = 0
     for t in range(most):
         # Documents with a symbol left, their end included.
-        n = int(np.searchsorted(-longest, -t, "right"))
-        inside = int(np.searchsorted(-longest, -t, "left"))
+        n = int(np.searchsorted(shorter, -t, "right"))
+        inside = int(np.searchsorted(shorter, -t, "left"))
         now = np.full(n, END, np.int64)
         now[:inside] = symbols[begin[:inside] + t]
         waiting.append((state[:n], now))

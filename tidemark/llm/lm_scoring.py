@@ -6,7 +6,8 @@ them in exactly one round; tasks start from the same network, learn from every w
 documents with the state carried along, and the networks are averaged by the number of words. Words outside the head
 have a class by their ending, learned by the network, and their share of the class by counts.
 
-The words of largest count, `LISTED` of them, are broadcast; counts of the others are joined.
+The words of largest count, `LISTED` of them, are broadcast; counts of the others are joined. Texts
+are read twice, for the counts and for the symbols; the network learns from symbols and scores them.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import gru
 from tidemark.llm.gru import HEAD, Network, Trainer
-from tidemark.llm.text import Words, documents, slices
+from tidemark.llm.text import Words, documents, give_back, keep_freed, mixed, slices
 from tidemark.session import cut
 
 LISTED = 200_000
@@ -32,7 +33,7 @@ LANES = 192
 SCORED_SYMBOLS = 32_768
 # Networks that are averaged in one place.
 GROUP = 64
-TRAIN_BYTES = 8 << 20
+COUNTED_BYTES = 12 << 20
 SCORE_BYTES = 16 << 20
 # Tokens of documents that are scored side by side. Few documents are long, and a step of a few takes
 # nearly as long as one of many.
@@ -40,6 +41,9 @@ SCORED_TOKENS = 4 << 20
 # A space is in no word: it stands for the end of a document.
 END_WORD = b" "
 ENDING_BYTES = 3
+# How symbols are kept.
+SYMBOL = np.dtype("<i2")
+NUMBERED = "row doc_id symbols n_tokens n_listed log_listed log_shares rest".split()
 PUNCTUATED = 4
 IS_PUNCTUATION = np.isin(np.arange(256), list(b".,;:!?%&*#$|\"'()"))
 
@@ -62,26 +66,41 @@ def endings(words: Words, places=slice(None)) -> np.ndarray:
 
 
 def count_words(rows: DataFrame) -> DataFrame:
-    """(word, n) of all words and ends of the documents, summed up in tasks first."""
+    """(word, ending, n) of all words and ends of the documents, summed up in tasks first."""
 
     def counted(batches):
         n_ends = 0
-        for batch in slices(batches):
-            words = Words(batch.column("text").to_pylist(), lower=True)
-            n_ends += batch.num_rows
+        for texts in _many(slices(batches)):
+            words = Words(texts, lower=True)
+            n_ends += len(texts)
             places, times = distinct(words.hashes())
-            yield _counts(words.words(places), times)
+            yield _counts(words.array(places), endings(words, places), times)
         if n_ends:
-            yield _counts([END_WORD], [n_ends])
+            yield _counts(pa.array([END_WORD], pa.binary()), [0], [n_ends])
 
     return (
         rows.select("text")
-        .mapInArrow(counted, "word binary, n bigint")
-        .groupBy("word")
+        .mapInArrow(counted, "word binary, ending bigint, n bigint")
+        .groupBy("word", "ending")
         .agg(F.sum("n").alias("n"))
     )
 
 
+def _many(batches):
+    """Lists of the texts of several slices, of COUNTED_BYTES together at most or of one slice. A word
+    is one row for each of them."""
+    some, n_bytes = [], 0
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        own = sum(map(len, texts))
+        if some and n_bytes + own > COUNTED_BYTES:
+            yield some
+            some, n_bytes = [], 0
+        some, n_bytes = some + texts, n_bytes + own
+    if some:
+        yield some
+
+
 def distinct(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A place of each distinct digest, and how often it occurs. Digests are put into slots, where the
     last one stays; only those that another one has displaced are sorted."""
@@ -97,9 +116,13 @@ def distinct(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([places, displaced[others]]), np.concatenate([times[places], more])
 
 
-def _counts(words, times) -> pa.RecordBatch:
+def _counts(words, ends, times) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(
-        {"word": pa.array(words, pa.binary()), "n": pa.array(times, pa.int64())}
+        {
+            "word": words,
+            "ending": pa.array(ends, pa.int64()),
+            "n": pa.array(times, pa.int64()),
+        }
     )
 
 
@@ -151,8 +174,8 @@ class Index:
             self.digests[slots[own]] = digests[todo[own]]
             todo, slots = todo[~own], (slots[~own] + 1) % n_slots
 
-    def numbers(self, words: Words) -> np.ndarray:
-        digests = words.hashes()
+    def numbers(self, words: Words, digests: np.ndarray | None = None) -> np.ndarray:
+        digests = words.hashes() if digests is None else digests
         slots = (digests & self.last_slot).astype(np.int64)
         found = self.places[slots]
         # Slots that hold another digest; a free one says that the word is not listed
@@ -171,65 +194,117 @@ class Index:
 
 def learn_vocabulary(counts: DataFrame) -> Vocabulary:
     """From the counts of all training words. At most LISTED of them are collected."""
-    totals = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    listed = counts.orderBy(F.col("word") != END_WORD, F.desc("n"), "word").limit(LISTED).toArrow()
+    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).toArrow()
+    by_n, n_words = sizes.column("n").to_numpy(), sizes.column("words").to_numpy()
+    behind = np.flatnonzero(np.cumsum(n_words) >= LISTED)
+    # Words of smaller counts are not sorted, as those above them are enough
+    least = int(by_n[behind[0]]) if len(behind) else 0
+    is_end = F.col("word") == END_WORD
+    listed = (
+        counts.where(is_end | (F.col("n") >= least))
+        .orderBy(~is_end, F.desc("n"), "word")
+        .select("word", "n")
+        .limit(LISTED)
+        .toArrow()
+    )
     words = listed.column("word").to_pylist()
     numbers = listed.column("n").to_numpy().astype(np.int64)
-    head = set(words[:HEAD])
-
-    def ended(batches):
-        for batch in batches:
-            pairs = zip(
-                batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True
-            )
-            own = [(word, n) for word, n in pairs if word not in head]
-            if own:
-                codes, which = np.unique(
-                    endings(Words([b"\n".join(word for word, _ in own)])), return_inverse=True
-                )
-                sums = np.bincount(which, [n + 1 for _, n in own]).astype(np.int64)
-                yield pa.RecordBatch.from_pydict({"ending": codes, "n": sums})
-
-    sums = cut(
-        counts.mapInArrow(ended, "ending bigint, n bigint")
-        .groupBy("ending")
-        .agg(F.sum("n").alias("n"))
-    )
+    outside = F.lit(False)
+    if len(words) > HEAD:
+        n, least_n = F.col("n"), int(numbers[HEAD - 1])
+        outside = ~is_end & ((n < least_n) | ((n == least_n) & (F.col("word") > words[HEAD - 1])))
+    sums = cut(counts.where(outside).groupBy("ending").agg(F.sum(F.col("n") + 1).alias("n")))
     common = sums.orderBy(F.desc("n"), "ending").limit(gru.TAIL_CLASSES - 1).collect()
     common = sorted((row["ending"], row["n"]) for row in common)
     tail = np.zeros(gru.TAIL_CLASSES)
     tail[: len(common)] = [n for _, n in common]
     tail[-1] = (sums.agg(F.sum("n")).first()[0] or 0) - tail.sum()
     classes = np.array([code for code, _ in common], np.int64)
-    return Vocabulary(words, numbers, classes, tail + 1, totals[0] or 0, totals[1])
+    n_tokens, n_distinct = int((by_n * n_words).sum()), int(n_words.sum())
+    return Vocabulary(words, numbers, classes, tail + 1, n_tokens, n_distinct)
 
 
-def train(rows: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Network:
-    """The network after one pass over the documents, in `rounds` hash slices."""
+def numbered(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """One row per document: its symbols, and what of its scores does not need the network.
+
+    row, doc_id, symbols, n_tokens, n_listed, log_listed; log_shares: of its words in their classes;
+    rest: its distinct words that are not listed, and how often each occurs.
+    """
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = (
+        f"row bigint, doc_id {kind}, symbols binary, n_tokens bigint, n_listed bigint, "
+        "log_listed double, log_shares double, rest array<struct<word: binary, times: bigint>>"
+    )
+
+    def read(batches):
+        index, n_listed = Index(vocabulary), len(vocabulary.words)
+        logs = np.zeros(len(index.symbols))
+        logs[:n_listed] = np.log10(vocabulary.counts + 1.0)
+        # What a word's share of its class divides by; a head word is scored by the network alone.
+        totals = np.log10(vocabulary.tail_totals)
+        number = TaskContext.get().partitionId() << 32
+        has_end = n_listed > 0
+        for some in _gathered(slices(batches, SCORE_BYTES), index, logs, totals):
+            for own in some:
+                n = len(own.counts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.arange(number, number + n)),
+                        own.doc_id,
+                        _packed(own.symbols, own.counts),
+                        pa.array(own.counts + 1),
+                        pa.array(own.n_listed + has_end),
+                        pa.array(own.log_listed + (logs[0] if has_end else 0)),
+                        pa.array(own.log_shares),
+                        own.rest,
+                    ],
+                    NUMBERED,
+                )
+                number += n
+
+    return rows.mapInArrow(read, schema)
+
+
+def _packed(symbols: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The symbols of each document, as bytes."""
+    ends = np.concatenate([[0], np.cumsum(counts)]) * symbols.itemsize
+    buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(symbols))]
+    return pa.Array.from_buffers(pa.large_binary(), len(counts), buffers).cast(pa.binary())
+
+
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of all documents of a batch, and how many each has."""
+    own = batch.column("symbols").to_pylist()
+    symbols = np.frombuffer(b"".join(own), SYMBOL)
+    return symbols, np.fromiter(map(len, own), np.int64, len(own)) // symbols.itemsize
+
+
+def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Network:
+    """The network after one pass over the numbered documents, in `rounds` hash slices."""
     head = np.zeros(HEAD)
     head[: min(HEAD, len(vocabulary.words))] = vocabulary.counts[:HEAD]
     network = Network.started(head, vocabulary.tail_totals)
     turn = F.pmod(F.coalesce(F.xxhash64("doc_id"), F.lit(0)), F.lit(rounds))
     for number in range(rounds):
-        found = _averaged(rows.where(turn == number), vocabulary, network)
+        found = _averaged(docs.where(turn == number), network)
         network = found or network
     return network
 
 
-def _averaged(rows: DataFrame, vocabulary: Vocabulary, network: Network) -> Network | None:
+def _averaged(docs: DataFrame, network: Network) -> Network | None:
     start = network.to_bytes()
 
     def trained(batches):
-        index = Index(vocabulary)
+        keep_freed()
         trainer = Trainer(Network.from_bytes(start), RATE, WINDOW, LANES)
         n_symbols = 0
-        for batch in slices(batches, TRAIN_BYTES):
-            words = Words(batch.column("text").to_pylist(), lower=True)
-            symbols = index.symbols[index.numbers(words)]
-            laid = np.insert(symbols, words.first[1:], gru.END)
+        for batch in batches:
+            symbols, counts = _unpacked(batch)
+            laid = np.insert(symbols, np.cumsum(counts), gru.END)
             trainer.learn(laid)
             n_symbols += len(laid)
         trainer.finish()
+        give_back()
         if n_symbols:
             part = TaskContext.get().partitionId()
             yield _network(part, trainer.network.to_bytes(), n_symbols)
@@ -239,7 +314,7 @@ def _averaged(rows: DataFrame, vocabulary: Vocabulary, network: Network) -> Netw
         return pa.Table.from_batches([_mean(part, table)])
 
     schema = "part bigint, network binary, weight double"
-    found = rows.mapInArrow(trained, schema)
+    found = docs.select("symbols").mapInArrow(trained, schema)
     # Averages of averages: a group has GROUP networks at most, at any number of tasks.
     for _ in range(2):
         found = found.groupBy(F.floor(F.col("part") / GROUP)).applyInArrow(summed, schema)
@@ -280,53 +355,34 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     training = rows.where(~held_out(F.col("doc_id")))
     counts = cut(count_words(training))
     vocabulary = learn_vocabulary(counts)
-    network = train(training, vocabulary)
-    return _scored(rows, counts, vocabulary, network, id_col)
+    docs = cut(numbered(rows, vocabulary))
+    network = train(docs.where(~held_out(F.col("doc_id"))), vocabulary)
+    return _scored(docs, counts, vocabulary, network, id_col)
 
 
-def _scored(rows, counts, vocabulary: Vocabulary, network: Network, id_col: str) -> DataFrame:
-    kind = rows.schema["doc_id"].dataType.simpleString()
+def _scored(docs, counts, vocabulary: Vocabulary, network: Network, id_col: str) -> DataFrame:
     data = network.to_bytes()
-    schema = (
-        f"row bigint, doc_id {kind}, n_tokens bigint, n_listed bigint, log_listed double, "
-        "log_model double, rest array<binary>"
-    )
+    whole = docs.drop("rest")
+    schema = whole.withColumn("log_model", F.lit(0.0)).drop("symbols").schema
 
     def scored(batches):
-        index, own_network = Index(vocabulary), Network.from_bytes(data)
-        n_listed = len(vocabulary.words)
-        logs = np.zeros(len(index.symbols))
-        logs[:n_listed] = np.log10(vocabulary.counts + 1.0)
-        # What a word's share of its class divides by; a head word is scored by the network alone.
-        totals = np.log10(vocabulary.tail_totals)
-        number = TaskContext.get().partitionId() << 32
-        has_end = n_listed > 0
-        for some in _gathered(slices(batches, SCORE_BYTES), index, logs, totals):
+        keep_freed()
+        own_network = Network.from_bytes(data)
+        for some in _together(map(Stored.of, batches)):
             symbols = np.concatenate([own.symbols for own in some])
             first = np.concatenate([[0], np.cumsum(np.concatenate([own.counts for own in some]))])
             likely = gru.log_likelihoods(own_network, symbols, first, SCORED_SYMBOLS) / np.log(10)
             at = 0
             for own in some:
                 n = len(own.counts)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.arange(number, number + n)),
-                        own.doc_id,
-                        pa.array(own.counts + 1),
-                        pa.array(own.n_listed + has_end),
-                        pa.array(own.log_listed + (logs[0] if has_end else 0)),
-                        pa.array(likely[at : at + n] + own.log_shares),
-                        own.rest,
-                    ],
-                    ["row", "doc_id", "n_tokens", "n_listed", "log_listed", "log_model", "rest"],
-                )
-                number, at = number + n, at + n
+                yield own.others.append_column("log_model", pa.array(likely[at : at + n]))
+                at += n
+        give_back()
 
-    found = cut(rows.mapInArrow(scored, schema))
+    found = cut(whole.mapInArrow(scored, schema))
     others = (
-        found.select("row", F.explode("rest").alias("word"))
-        .groupBy("row", "word")
-        .agg(F.count(F.lit(1)).alias("times"))
+        docs.select("row", F.explode("rest").alias("own"))
+        .select("row", "own.word", "own.times")
         .join(counts, "word")
         .groupBy("row")
         .agg(
@@ -343,7 +399,7 @@ def _scored(rows, counts, vocabulary: Vocabulary, network: Network, id_col: str)
         (F.col("n_listed") + F.coalesce("n_others", F.lit(0))).alias("n_known"),
         F.lit(vocabulary.n_tokens).cast("bigint").alias("train_tokens"),
         (F.col("log_listed") + log_others - F.col("n_tokens") * F.lit(divisor)).alias("base_score"),
-        (F.col("log_model") + log_others).alias("score"),
+        (F.col("log_model") + F.col("log_shares") + log_others).alias("score"),
     )
 
 
@@ -360,12 +416,31 @@ class Read:
     rest: pa.Array
 
 
+@dataclass
+class Stored:
+    """A batch of numbered documents: symbols, and the columns beside them."""
+
+    counts: np.ndarray
+    symbols: np.ndarray
+    others: pa.RecordBatch
+
+    @staticmethod
+    def of(batch: pa.RecordBatch) -> Stored:
+        symbols, counts = _unpacked(batch)
+        return Stored(counts, symbols, batch.drop_columns(["symbols"]))
+
+
 def _gathered(batches, index: Index, logs: np.ndarray, totals: np.ndarray):
+    """What is read of batches of texts, in lists as `_together` makes them."""
+    return _together(_read(batch, index, logs, totals) for batch in batches)
+
+
+def _together(slices_read):
     """Lists of slices that hold SCORED_TOKENS tokens together, or the last of them."""
     some, n_tokens = [], 0
-    for batch in batches:
-        some.append(_read(batch, index, logs, totals))
-        n_tokens += len(some[-1].symbols) + batch.num_rows
+    for own in slices_read:
+        some.append(own)
+        n_tokens += len(own.symbols) + len(own.counts)
         if n_tokens >= SCORED_TOKENS:
             yield some
             some, n_tokens = [], 0
@@ -375,7 +450,8 @@ def _gathered(batches, index: Index, logs: np.ndarray, totals: np.ndarray):
 
 def _read(batch: pa.RecordBatch, index: Index, logs: np.ndarray, totals: np.ndarray) -> Read:
     words = Words(batch.column("text").to_pylist(), lower=True)
-    numbers = index.numbers(words)
+    digests = words.hashes()
+    numbers = index.numbers(words, digests)
     symbols = index.symbols[numbers]
     in_tail = symbols >= HEAD
     shares = np.where(in_tail, logs[numbers] - totals[np.where(in_tail, symbols - HEAD, 0)], 0)
@@ -383,11 +459,11 @@ def _read(batch: pa.RecordBatch, index: Index, logs: np.ndarray, totals: np.ndar
     return Read(
         batch.column("doc_id"),
         words.counts,
-        symbols.astype(np.int16),
+        symbols.astype(SYMBOL),
         words.per_words(is_listed),
         _float_sums(logs[numbers], words.first),
         _float_sums(shares, words.first),
-        _rest(words, ~is_listed),
+        _rest(words, digests, ~is_listed),
     )
 
 
@@ -396,8 +472,14 @@ def _float_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def _rest(words: Words, chosen: np.ndarray) -> pa.Array:
-    """The chosen words of each text."""
+def _rest(words: Words, digests: np.ndarray, chosen: np.ndarray) -> pa.Array:
+    """The distinct ones of the chosen words of each text, and how often each occurs there."""
     places = np.flatnonzero(chosen)
-    found = pa.array(words.words(places), pa.binary())
+    kept, times = distinct(mixed(digests[places], words.text[places].astype(np.uint64)))
+    order = np.argsort(kept)
+    places = places[kept[order]]
+    found = pa.StructArray.from_arrays(
+        [words.array(places), pa.array(times[order], pa.int64())],
+        ["word", "times"],
+    )
     return pa.ListArray.from_arrays(np.searchsorted(places, words.first).astype(np.int32), found)
