@@ -6,6 +6,7 @@ import random
 import pytest
 from conftest import rows_of
 
+from tidemark.plans import boosting
 from tidemark.plans.boosting import BoostedTrees, _binned, _cells, fit_boosted_trees
 from tidemark.plans.modeling import measured_auc, score
 
@@ -81,6 +82,18 @@ def test_equals_trees_grown_by_hand(spark, seed):
     assert again == model
 
 
+def test_scores_written_between_trees(spark, monkeypatch):
+    """Trees that are already in the written scores and trees that are not count once each."""
+    monkeypatch.setattr(boosting, "TREES_A_PLAN", 2)
+    data = rows(3)
+    frame = spark.createDataFrame(
+        [(n, *row) for n, row in enumerate(data)], "n int, a double, b double, label int"
+    )
+    model = fit_boosted_trees(frame, ["a", "b"], 5, 2, RATE, 1000, PENALTY, LEAST)
+    found = [r[0] for r in rows_of(score(model, frame).orderBy("n"), "score")]
+    assert found == pytest.approx(by_hand(data, 5, 2), abs=1e-9)
+
+
 def test_gaps_that_say_something(spark):
     """Buyers leave the value out; filled in with the middle value, they look like the others."""
     rng = random.Random(5)

@@ -7,11 +7,14 @@ from bisect import bisect_left
 
 import pytest
 from conftest import day, long_values, put, rows_of
+from pyspark.sql import functions as F
 
 from tidemark.operators.drift import (
     PSI_ALERT,
+    deciding_counts,
     drift_checks,
     quantile_edges,
+    quantiles,
     reference_distribution,
     stability_index,
     value_counts,
@@ -24,6 +27,7 @@ from tidemark.operators.explore import (
     means_by_label,
     missing_share,
 )
+from tidemark.operators.reshape import to_long
 from tidemark.plans.monitoring import (
     freshness,
     monitor_features,
@@ -171,6 +175,30 @@ def psi(spark, before, after):
     return index.first()["psi"]
 
 
+def test_only_deciding_values_are_counted_one_by_one(spark):
+    """Columns of distinct values: the same quantiles, out of a small part of the values."""
+    rng = random.Random(3)
+    wide = [
+        (rng.uniform(-8, 8), rng.choice([None, float("nan"), -0.0, 0.0, 2.5, rng.random()]), n % 3)
+        for n in range(200_000)
+    ]
+    frame = spark.createDataFrame(wide, "a double, b double, c int").repartition(3)
+    frame = frame.withColumn("gone", F.lit(None).cast("double"))
+    frame = frame.withColumn("once", F.when(F.col("a") == wide[0][0], 4.0))
+    names = frame.columns
+    every, deciding = value_counts(to_long(frame, names, [])), deciding_counts(frame, names, 8)
+    for bins in (2, 8):
+        expected = sorted(rows_of(quantiles(every, bins)))
+        assert sorted(rows_of(quantiles(deciding, bins))) == expected
+        assert {name for name, *_ in expected} == {"a", "b", "c"}
+    present = every.where("value IS NOT NULL")
+    sums = lambda counts: sorted(
+        rows_of(counts.groupBy("feature_name").agg(F.sum("n"), F.max("value")))
+    )
+    assert sums(deciding) == sums(present)
+    assert deciding.count() < present.count() / 2
+
+
 def test_stability_index(spark):
     base = [float(n) for n in range(1000)]
     shifted = [psi(spark, base, [v + by for v in base]) for by in (0, 30, 400)]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.metrics import (
     classification_metrics,
     precision_at_recall,
+    ranking,
     roc_auc,
     score_counts,
 )
@@ -82,6 +83,26 @@ def test_ranking_metrics(spark, slices):
         assert found == pytest.approx(best)
 
 
+@pytest.mark.parametrize("slices", [1, 7])
+def test_ranking_of_several_scores_in_one_pass(spark, slices):
+    """The same as one metric at a time, for parts of one label, repeated scores and lost labels."""
+    rng = random.Random(8)
+    rows = [(rng.randrange(2), rng.random(), rng.choice([0, 0, 1, None])) for _ in range(400)]
+    rows += [(2, 0.5, 0), (2, 0.25, 0), (3, 0.5, None)]
+    frame = spark.createDataFrame(rows, "part int, fine double, label int").repartition(3)
+    frame = frame.withColumn("rough", F.round("fine", 1))
+    found = ranking(frame, ["fine", "rough"], 0.4, slices)
+    assert set(found) == {(name, part) for name in ("fine", "rough") for part in range(4)}
+    for name, part in found:
+        own = frame.where(F.col("part") == part).withColumn("score", F.col(name))
+        counts = score_counts(own)
+        expected = (None, None)
+        if part < 2:
+            expected = roc_auc(counts).first()[0], precision_at_recall(counts, 0.4).first()[0]
+        assert found[name, part] == pytest.approx(expected)
+    assert ranking(frame, ["fine"], 0.0, slices)["fine", 0][1] == 1.0
+
+
 def test_classification_metrics(spark):
     rows = [(1, 1), (1, 0), (0, 1), (0, 0), (0, 0)]
     frame = spark.createDataFrame(rows, "prediction int, label int")
